@@ -153,6 +153,10 @@ TABLES = {
     "beneficiary_agg": f"""SELECT id_beneficiario, count(id_boleto) AS beneficiary_boleto_count,
        avg(is_defaulted) AS beneficiary_default_rate, {_mean('vlr_nominal')} AS beneficiary_avg_nominal_value,
        {_money('vlr_nominal')} AS beneficiary_total_portfolio_value FROM temporal GROUP BY id_beneficiario""",
+    "feature_table": """SELECT t.*, cast(nullif(regexp_extract(tipo_baixa, '^([0-9]+)', 1), '') AS bigint) AS settlement_code,
+            pa.* EXCLUDE (id_pagador), ba.* EXCLUDE (id_beneficiario) FROM temporal t
+            LEFT JOIN payer_agg pa ON t.id_pagador = pa.id_pagador
+            LEFT JOIN beneficiary_agg ba ON t.id_beneficiario = ba.id_beneficiario""",
     "split": """SELECT *, CASE WHEN (cast(substring(id_boleto, 2) AS bigint) * 7919 + 42) % 1000 < 200
        THEN 'test' ELSE 'train' END AS split FROM temporal""",
 }
@@ -422,10 +426,10 @@ def _statements() -> dict[str, str]:
         ),
         "payer_features": "SELECT id_boleto, a.* EXCLUDE (id_pagador) FROM payments p LEFT JOIN payer_agg a ON p.id_pagador = a.id_pagador",
         "beneficiary_features": "SELECT id_boleto, a.* EXCLUDE (id_beneficiario) FROM payments p LEFT JOIN beneficiary_agg a ON p.id_beneficiario = a.id_beneficiario",
-        "payments_features": """SELECT t.*, cast(nullif(regexp_extract(tipo_baixa, '^([0-9]+)', 1), '') AS bigint) AS settlement_code,
-            pa.* EXCLUDE (id_pagador), ba.* EXCLUDE (id_beneficiario) FROM temporal t
-            LEFT JOIN payer_agg pa ON t.id_pagador = pa.id_pagador
-            LEFT JOIN beneficiary_agg ba ON t.id_beneficiario = ba.id_beneficiario""",
+        "payments_features": "SELECT * FROM feature_table",
+        "leakage_audit": " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", true AS present, count({c}) AS values FROM feature_table" for c in contracts.LEAKY
+        ),
         "settlement_mix": f"""SELECT tipo_baixa, count(*) AS count,
             {_lookup("substring(tipo_baixa, 1, 1)", fv.SETTLEMENT_MEANING)} AS meaning FROM payments GROUP BY tipo_baixa""",
         "cnae_division": f"""SELECT id_cnpj, {_division('cd_cnae_prin')} AS division,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from lastro.ml import metrics, models, prepare
 from lastro.operators import profile, quality
 from lastro.operators.dedup import keep_one
 from lastro.plans import alerts, cleaning, dashboard, enrichment, features, portfolio, scoring
-from lastro.session import scratch_path
+from lastro.session import scratch_path, stored
 from lastro.sources import files, sinks
 from lastro.functions.measures import round_even
 
@@ -596,3 +597,76 @@ def confusion_matrix(b: Book) -> DataFrame:
 @query
 def f1_score(b: Book) -> DataFrame:
     return _confusion(b).select("series", round_even("f1", 8).alias("f1"))
+
+
+@query
+def leakage_audit(b: Book) -> DataFrame:
+    return prepare.leakage_audit(b.features)
+
+
+@query
+def stratified_split(b: Book) -> DataFrame:
+    return prepare.split_audit(prepare.stratified_split(features.add_label(b.payments)))
+
+
+# ---------------------------------------------------------------- trained models
+
+# Smaller models than the published ones, so that a check of all queries stays short.  The
+# parameters of the published models are the defaults of ``models.Settings``.
+SHORT = models.Settings(
+    trees=20, forest_depth=10, boosting_rounds=10, boosting_depth=4, logistic_iterations=200
+)
+
+
+def _fitted(b: Book, names: tuple[str, ...]):
+    """Stored feature table, fitted preprocessor, trained models and assembled test rows."""
+    table = stored(b.features, "features")
+    split = stored(prepare.stratified_split(prepare.select_features(table)), "split")
+    train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
+    fitted = prepare.Preprocessor.fit(train)
+    matrix = stored(fitted.assemble(train).select("features", TARGET), "matrix")
+    trained = models.train_models(matrix, replace(SHORT, models=names))
+    return table, fitted, trained, fitted.assemble(test)
+
+
+@query
+def model_comparison(b: Book) -> DataFrame:
+    _, _, trained, test = _fitted(b, SHORT.models)
+    return models.comparison(models.evaluate_models(trained, test))
+
+
+@query
+def model_metrics_rank(b: Book) -> DataFrame:
+    """Metrics written as JSON and read back for display."""
+    _, _, trained, test = _fitted(b, (models.LOGISTIC, models.FOREST))
+    path = scratch_path(b.spark, "model-evaluation")
+    models.metrics_json(models.evaluate_models(trained, test)).write.text(path)
+    return files.read_model_metrics(b.spark, path)
+
+
+@query
+def feature_importance(b: Book) -> DataFrame:
+    _, fitted, trained, _ = _fitted(b, SHORT.models)
+    return models.feature_importance(b.spark, trained, fitted.feature_columns)
+
+
+@query
+def feature_importance_labels(b: Book) -> DataFrame:
+    """The ten most important inputs with their display names."""
+    _, fitted, trained, _ = _fitted(b, (models.LOGISTIC,))
+    importance = models.feature_importance(b.spark, trained, fitted.feature_columns)
+    return dashboard.top_importance(importance).withColumn(
+        "label", text.feature_label(F.col("feature"))
+    )
+
+
+@query
+def score_dataset(b: Book) -> DataFrame:
+    table, fitted, trained, _ = _fitted(b, (models.LOGISTIC,))
+    return models.score_dataset(table, trained[models.LOGISTIC], fitted)
+
+
+@query
+def model_portfolio_overview(b: Book) -> DataFrame:
+    """Portfolio totals of the receivables scored by a trained model."""
+    return portfolio.portfolio_overview(score_dataset(b))

@@ -38,12 +38,19 @@ def leaky_columns(df: DataFrame) -> list[str]:
 
 
 def leakage_audit(df: DataFrame) -> DataFrame:
-    """Every known leaky column, and whether the table has it."""
+    """Every known leaky column: whether the table has it, and how many values it would leak."""
+    known = sorted(contracts.LEAKY)
+    counts = [
+        (F.count(c) if c in df.columns else F.count(F.lit(None))).alias(c) for c in known
+    ]
     cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(c in df.columns).alias("present"))
-        for c in sorted(contracts.LEAKY)
+        F.struct(
+            F.lit(c).alias("column"), F.lit(c in df.columns).alias("present"),
+            F.col(c).alias("values"),
+        )
+        for c in known
     ])
-    return df.sparkSession.range(1).select(F.explode(cells).alias("c")).select("c.*")
+    return df.agg(*counts).select(F.explode(cells).alias("c")).select("c.*")
 
 
 def stratified_split(df: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastro import contracts
@@ -371,9 +371,7 @@ def panels(
         "alerts": compact(alerts, ALERT_COLUMNS),
     }
     if importance is not None:
-        result["feature_importance"] = importance.orderBy(
-            F.desc("importance"), "model", "feature"
-        ).limit(ROW_LIMITS["feature_importance"])
+        result["feature_importance"] = top_importance(importance)
     if metrics is not None:
         result["model_metrics"] = metrics
     return result
@@ -384,3 +382,19 @@ def first_payers(payers: DataFrame) -> DataFrame:
     return payers.orderBy(
         F.desc_nulls_last("avg_risk_score"), F.desc("total_value"), "id_pagador"
     ).limit(ROW_LIMITS["payers"])
+
+
+def top_importance(importance: DataFrame, per_model: bool = False) -> DataFrame:
+    """The most important inputs over all models together, or of each model.
+
+    Importances of different kinds of models have different scales, so the common list
+    favours one kind; it is what the dashboard shows.
+    """
+    order = [F.desc("importance"), F.col("model"), F.col("feature")]
+    if not per_model:
+        return importance.orderBy(*order).limit(ROW_LIMITS["feature_importance"])
+    rank = F.row_number().over(Window.partitionBy("model").orderBy(*order))
+    kept = importance.withColumn("_rank", rank).where(
+        F.col("_rank") <= ROW_LIMITS["feature_importance"]
+    )
+    return kept.drop("_rank").orderBy("model", F.desc("importance"))
