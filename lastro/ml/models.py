@@ -18,6 +18,7 @@ from lastro import contracts
 from lastro.functions.risk import score_outputs
 from lastro.ml.metrics import evaluate
 from lastro.ml.prepare import ROW_ID, Preprocessor, class_weights
+from lastro.session import scratch_path
 
 LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
 
@@ -77,7 +78,10 @@ def train_models(train: DataFrame, settings: Settings = Settings(), path: str |
     """Fit each classifier on assembled train rows, which should come from a stored table.
 
     The rows are kept in memory with disk behind it; a lost executor re-reads its part.
+    Each model is saved and returned as loaded, which leaves the training summary behind:
+    it holds a session and would travel with every prediction task.
     """
+    path = path or scratch_path(train.sparkSession, "models")
     weighted = with_weights(train).select(
         "features", contracts.TARGET, "balanced_weight", "positive_weight"
     ).persist()
@@ -85,9 +89,9 @@ def train_models(train: DataFrame, settings: Settings = Settings(), path: str |
         rows = weighted.count()
         models = {}
         for name in settings.models:
-            models[name] = _estimator(name, rows, settings).fit(weighted)
-            if path:
-                models[name].write().overwrite().save(f"{path}/{name}")
+            fitted = _estimator(name, rows, settings).fit(weighted)
+            fitted.write().overwrite().save(f"{path}/{name}")
+            models[name] = type(fitted).load(f"{path}/{name}")
         return models
     finally:
         weighted.unpersist()
