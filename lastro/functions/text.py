@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lastro import fixed_values as fv
+from lastro.functions.literals import lookup
 
 
 def strip(column: Column) -> Column:
@@ -23,8 +24,7 @@ def settlement_code(label: Column) -> Column:
 
 
 def settlement_meaning(label: Column) -> Column:
-    pairs = [F.lit(x) for pair in fv.SETTLEMENT_MEANING.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), leading_code(label))
+    return lookup(leading_code(label), fv.SETTLEMENT_MEANING)
 
 
 def unknown_if_null(column: Column) -> Column:
@@ -49,8 +49,7 @@ def cnae_division_of_number(code: Column) -> Column:
 
 def cnae_label(division: Column) -> Column:
     """Readable sector name.  The lookup has 87 fixed entries, so it is a literal map."""
-    pairs = [F.lit(x) for pair in fv.CNAE_DIVISIONS.items() for x in pair]
-    name = F.coalesce(F.try_element_at(F.create_map(*pairs), division), F.lit(fv.CNAE_DEFAULT_NAME))
+    name = F.coalesce(lookup(division, fv.CNAE_DIVISIONS), F.lit(fv.CNAE_DEFAULT_NAME))
     return F.concat(name, F.lit(" (CNAE "), division, F.lit(")"))
 
 
@@ -64,9 +63,8 @@ def short_id(column: Column) -> Column:
 
 def feature_label(name: Column) -> Column:
     """Display name of a model input: the fixed name, or one derived from the column name."""
-    pairs = [F.lit(x) for pair in fv.FEATURE_DISPLAY.items() for x in pair]
     derived = name
     for prefix, shown in fv.FEATURE_PREFIX_DISPLAY.items():
         derived = F.regexp_replace(derived, f"^{prefix}", shown)
     derived = F.initcap(F.regexp_replace(derived, "_", " "))
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), name), derived)
+    return F.coalesce(lookup(name, fv.FEATURE_DISPLAY), derived)

@@ -7,12 +7,12 @@ is counted, so a frequent value is reduced in the map tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lastro import fixed_values as fv
 from lastro.contracts import PAYMENTS, ColumnSpec
-from lastro.functions import text
+from lastro.functions.literals import in_list, name, quoted
 from lastro.session import stored
 from lastro.functions.measures import round_even
 
@@ -26,101 +26,96 @@ REPORT = (
 
 
 def _present(df: DataFrame, contract: Contract) -> Contract:
-    return {name: spec for name, spec in contract.items() if name in df.columns}
+    columns = set(df.columns)
+    return {name: spec for name, spec in contract.items() if name in columns}
 
 
 class _Pass:
-    """Collects aggregate expressions and the report cells that read them."""
+    """Collects aggregates, as SQL text, and the report rows that read them."""
 
     def __init__(self) -> None:
-        self.measures: list[Column] = []
-        self.cells: list[Column] = []
+        self.measures: list[str] = []
+        self.rows: list[str] = []
 
-    def add(self, check: str, column: str, severity: str, limit: float, **parts: Column) -> None:
+    def add(self, check: str, column: str, severity: str, limit: float, **parts: str) -> None:
         """A check whose observed value is the sum of its named parts."""
         names = {}
         for part, measure in parts.items():
             names[part] = f"_m{len(self.measures)}"
-            self.measures.append(measure.alias(names[part]))
-        observed = sum((F.col(n).cast("double") for n in names.values()), F.lit(0.0))
-        detail = F.create_map(*[
-            x for part, n in names.items() for x in (F.lit(part), F.col(n).cast("string"))
-        ])
-        self.cells.append(_cell(check, column, severity, observed, limit, detail))
+            self.measures.append(f"{measure} AS {names[part]}")
+        observed = " + ".join(f"cast({n} AS double)" for n in names.values())
+        detail = ", ".join(f"{quoted(p)}, cast({n} AS string)" for p, n in names.items())
+        self.rows.append(_row(check, quoted(column), severity, observed, limit, f"map({detail})"))
 
     def run(self, df: DataFrame) -> DataFrame:
-        return df.agg(*self.measures).select(F.explode(F.array(*self.cells)).alias("r")).select("r.*")
-
-
-def _cell(
-    check: str, column: Column | str, severity: str, observed: Column, limit: float, detail: Column
-) -> Column:
-    """One report row; a check fails when the observed value is above its limit."""
-    passed = F.coalesce(observed <= limit, F.lit(True))
-    name = column if isinstance(column, Column) else F.lit(column)
-    return F.struct(
-        F.lit(check).alias("check"), name.alias("column"), F.lit(severity).alias("severity"),
-        passed.alias("passed"), observed.alias("observed"), F.lit(float(limit)).alias("threshold"),
-        detail.alias("detail"),
-    )
+        counted = df.agg(*[F.expr(m) for m in self.measures])
+        return counted.selectExpr(f"inline(array({', '.join(self.rows)}))")
 
 
+def _row(check: str, column: str, severity: str, observed: str, limit: float, detail: str) -> str:
+    """One report row as SQL; a check fails when the observed value is above its limit."""
+    return (
+        f"named_struct('check', '{check}', 'column', {column}, 'severity', '{severity}', "
+        f"'passed', coalesce({observed} <= {limit!r}D, true), 'observed', {observed}, "
+        f"'threshold', {float(limit)!r}D, 'detail', {detail})"
+    )
+
 
 def _add_columns(checks: _Pass, df: DataFrame, contract: Contract) -> None:
     """Contract columns that are missing; additional columns are fine."""
     missing = sorted(set(contract) - set(df.columns))
-    detail = F.create_map(F.lit("missing"), F.lit(", ".join(missing)))
-    checks.cells.append(_cell(
-        "columns", F.lit(None).cast("string"), ERROR, F.lit(float(len(missing))), 0, detail
-    ))
+    detail = f"map('missing', {quoted(', '.join(missing))})"
+    checks.rows.append(
+        _row("columns", "cast(NULL AS string)", ERROR, f"{float(len(missing))}D", 0, detail)
+    )
 
 
 def _add_structure(checks: _Pass, df: DataFrame, contract: Contract) -> None:
     """Nulls in required columns, values out of range, null rates above their usual level."""
-    for name, spec in _present(df, contract).items():
-        column = F.col(name)
+    for column, spec in _present(df, contract).items():
+        shown = name(column)
         if not spec.nullable:
-            checks.add("nullable", name, ERROR, 0, null_count=F.count_if(column.isNull()))
+            checks.add("nullable", column, ERROR, 0, null_count=f"count_if({shown} IS NULL)")
         bounds = {}
         if spec.min_value is not None:
-            bounds["below"] = F.count_if(column < spec.min_value)
+            bounds["below"] = f"count_if({shown} < {spec.min_value!r}D)"
         if spec.max_value is not None:
-            bounds["above"] = F.count_if(column > spec.max_value)
+            bounds["above"] = f"count_if({shown} > {spec.max_value!r}D)"
         if bounds:
-            checks.add("range", name, ERROR, 0, **bounds)
+            checks.add("range", column, ERROR, 0, **bounds)
         if spec.nullable and spec.baseline_null_rate:
-            rate = F.avg(column.isNull().cast("int"))
-            checks.add("null_rate", name, WARNING, spec.null_rate_threshold(), null_rate=rate)
+            rate = f"avg(cast({shown} IS NULL AS int))"
+            checks.add("null_rate", column, WARNING, spec.null_rate_threshold(), null_rate=rate)
 
 
 def _add_rules(checks: _Pass, df: DataFrame) -> None:
     """Rules across payments columns; a rule whose columns are missing is reported as failed."""
-    label, paid, value = (F.col(c) for c in ("tipo_baixa", "dt_pagamento", "vlr_baixa"))
-    code = F.coalesce(text.leading_code(label), F.lit(""))
-    no_value_expected = label.isNull() | code.isin(list(fv.NON_FINANCIAL_CODES))
+    code = r"regexp_extract(tipo_baixa, '^(\\d+)', 1)"
+    silent = f"(tipo_baixa IS NULL OR {code} IN {in_list(fv.NON_FINANCIAL_CODES)})"
     rules = {
-        ("tipo_baixa", "dt_pagamento"): {"mismatches": label.isNull() != paid.isNull()},
-        ("vlr_baixa", "tipo_baixa"): {
-            "missing_vlr_baixa": value.isNull() & ~no_value_expected,
-            "unexpected_vlr_baixa": value.isNotNull() & no_value_expected,
+        ("tipo_baixa", "dt_pagamento"): {
+            "mismatches": "(tipo_baixa IS NULL) <> (dt_pagamento IS NULL)",
         },
-        ("dt_emissao", "dt_vencimento"): {
-            "invalid_count": F.col("dt_emissao") > F.col("dt_vencimento"),
+        ("vlr_baixa", "tipo_baixa"): {
+            "missing_vlr_baixa": f"vlr_baixa IS NULL AND NOT {silent}",
+            "unexpected_vlr_baixa": f"vlr_baixa IS NOT NULL AND {silent}",
         },
+        ("dt_emissao", "dt_vencimento"): {"invalid_count": "dt_emissao > dt_vencimento"},
     }
+    present = set(df.columns)
     for columns, parts in rules.items():
-        missing = sum(c not in df.columns for c in columns)
+        missing = sum(c not in present for c in columns)
         if missing:
-            counts = {"columns_missing": F.max(F.lit(missing))}
+            counts = {"columns_missing": f"max({missing})"}
         else:
-            counts = {name: F.count_if(broken) for name, broken in parts.items()}
+            counts = {part: f"count_if({broken})" for part, broken in parts.items()}
         checks.add("business_rule", " / ".join(columns), ERROR, 0, **counts)
 
 
 def column_check(df: DataFrame, contract: Contract) -> DataFrame:
     checks = _Pass()
     _add_columns(checks, df, contract)
-    return df.sparkSession.range(1).select(F.explode(F.array(*checks.cells)).alias("r")).select("r.*")
+    return df.sparkSession.range(1).selectExpr(f"inline(array({checks.rows[0]}))")
 
 
 def structural_checks(df: DataFrame, contract: Contract) -> DataFrame:
@@ -149,32 +144,27 @@ def duplicate_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def unique_checks(df: DataFrame, contract: Contract) -> DataFrame | None:
-    columns = [n for n, s in _present(df, contract).items() if s.unique]
+    columns = [c for c, spec in _present(df, contract).items() if spec.unique]
     if not columns:
         return None
-    observed = F.col("duplicates").cast("double")
-    detail = F.create_map(F.lit("duplicate_count"), F.col("duplicates").cast("string"))
-    cell = _cell("unique", F.col("column"), ERROR, observed, 0, detail)
-    return duplicate_counts(df, columns).select(cell.alias("r")).select("r.*")
+    detail = "map('duplicate_count', cast(duplicates AS string))"
+    row = _row("unique", "column", ERROR, "cast(duplicates AS double)", 0, detail)
+    return duplicate_counts(df, columns).selectExpr(f"inline(array({row}))")
 
 
 def _coded(df: DataFrame, contract: Contract) -> dict[str, ColumnSpec]:
-    return {n: s for n, s in _present(df, contract).items() if s.allowed is not None}
+    return {c: spec for c, spec in _present(df, contract).items() if spec.allowed is not None}
 
 
 def unexpected_values(df: DataFrame, contract: Contract) -> DataFrame:
     """Labels outside the allowed sets with their row counts: ``column``, ``value``, ``rows``."""
-    cells = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.when(~F.col(name).isin(list(spec.allowed)), F.col(name)).alias("value"),
-        )
-        for name, spec in _coded(df, contract).items()
-    ]
-    return (
-        df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("value IS NOT NULL")
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+    cells = ", ".join(
+        f"named_struct('column', {quoted(c)}, 'value', "
+        f"CASE WHEN {name(c)} NOT IN {in_list(spec.allowed)} THEN {name(c)} END)"
+        for c, spec in _coded(df, contract).items()
     )
+    unexpected = df.selectExpr(f"inline(array({cells}))").where("value IS NOT NULL")
+    return unexpected.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def allowed_value_checks(df: DataFrame, contract: Contract) -> DataFrame | None:
@@ -187,14 +177,12 @@ def allowed_value_checks(df: DataFrame, contract: Contract) -> DataFrame | None:
     shown = found.withColumn("_rank", rank).where(F.col("_rank") <= SHOWN_VALUES)
     named = shown.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values"))
     counted = found.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    every = df.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(c) for c in coded])).alias("column")
-    )
+    every = df.sparkSession.range(1).selectExpr(f"explode(array{in_list(coded)}) AS column")
     joined = every.join(counted, "column", "left").join(named, "column", "left")
-    detail = F.create_map(F.lit("unexpected_values"), F.coalesce(F.array_join("values", ", "), F.lit("")))
-    observed = F.coalesce(F.col("n"), F.lit(0)).cast("double")
-    cell = _cell("allowed_values", F.col("column"), ERROR, observed, 0, detail)
-    return joined.select(cell.alias("r")).select("r.*")
+    detail = "map('unexpected_values', coalesce(array_join(values, ', '), ''))"
+    observed = "cast(coalesce(n, 0) AS double)"
+    row = _row("allowed_values", "column", ERROR, observed, 0, detail)
+    return joined.selectExpr(f"inline(array({row}))")
 
 
 def validate(df: DataFrame, contract: Contract, dataset: str, with_rules: bool | None = None) -> DataFrame:

@@ -87,9 +87,8 @@ def _with_bucket(df: DataFrame) -> DataFrame:
 
 
 def _totals_by_bucket(grouped: DataFrame, weights: Sequence[str], descending: bool) -> DataFrame:
-    cuts = F.percentile_approx(
-        "x", F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)]), F.lit(BUCKETS * 10)
-    )
+    shares = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
+    cuts = F.expr(f"percentile_approx(x, array({shares}), {BUCKETS * 10})")
     series = grouped.groupBy("series").agg(
         cuts.alias("_cuts"), *[F.sum(w).alias(f"all_{w}") for w in weights]
     )

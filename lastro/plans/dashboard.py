@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lastro import contracts
 from lastro import fixed_values as fv
 from lastro.functions import dates, risk, text
+from lastro.functions.literals import lookup
 from lastro.functions.measures import SCORE, total
 from lastro.plans import alerts as alerting
 
@@ -107,8 +108,7 @@ def sector_display(code: Column) -> Column:
 
 
 def _risk_display(band: Column) -> Column:
-    pairs = [F.lit(x) for pair in fv.RISK_DISPLAY.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), band)
+    return lookup(band, fv.RISK_DISPLAY)
 
 
 def _search_text(*columns: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 
 from lastro import contracts
 from lastro import fixed_values as fv
+from lastro.functions.literals import in_list, name
 
 # The date layouts accepted in the files.
 DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy")
@@ -20,10 +21,10 @@ INGEST_ORDER = "_ingest_seq"
 
 def null_tokens(df: DataFrame) -> DataFrame:
     """Missing-value tokens of text columns become null."""
-    tokens = list(fv.MISSING_TOKENS)
-    return df.select([
-        F.when(~F.col(f.name).isin(tokens), F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f.name)
+    tokens = in_list(fv.MISSING_TOKENS)
+    return df.selectExpr(*[
+        f"CASE WHEN {name(f.name)} NOT IN {tokens} THEN {name(f.name)} END AS {name(f.name)}"
+        if isinstance(f.dataType, T.StringType) else name(f.name)
         for f in df.schema.fields
     ])
 
@@ -100,10 +101,10 @@ REQUIRED = tuple(n for n in PUBLISHED if n != "feature_importance")
 def read_published(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], bool]:
     """The published datasets found in a folder, and whether all required ones are there."""
     found = {}
-    for name in PUBLISHED:
-        df = read_optional(spark, f"{folder}/{name}")
+    for dataset in PUBLISHED:
+        df = read_optional(spark, f"{folder}/{dataset}")
         if df is not None:
-            found[name] = df
+            found[dataset] = df
     return found, set(REQUIRED) <= set(found)
 
 
