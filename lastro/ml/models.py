@@ -18,7 +18,7 @@ from lastro import contracts
 from lastro.functions.risk import score_outputs
 from lastro.ml.metrics import evaluate
 from lastro.ml.prepare import ROW_ID, Preprocessor, class_weights
-from lastro.session import scratch_path
+from lastro.session import scratch_path, stored
 
 LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
 
@@ -118,8 +118,8 @@ def predict(models: dict[str, Model], assembled: DataFrame, *keep: str) -> DataF
 
 
 def evaluate_models(models: dict[str, Model], assembled_test: DataFrame) -> DataFrame:
-    """Metrics of all models on the test rows."""
-    predicted = predict(models, assembled_test)
+    """Metrics of all models on the test rows; the predictions are computed once and stored."""
+    predicted = stored(predict(models, assembled_test), "predictions")
     return evaluate(
         predicted,
         {n: F.col(f"score_{n}") for n in models},

@@ -18,6 +18,7 @@ from lastro.functions import dates
 from lastro.functions.measures import mean, total
 from lastro.operators.joins import left_join_many_to_one
 from lastro.plans.enrichment import company_profile
+from lastro.session import stored
 
 
 def add_label(df: DataFrame, threshold: int = fv.DEFAULT_THRESHOLD_DAYS) -> DataFrame:
@@ -67,7 +68,7 @@ def behaviour(df: DataFrame, role: Role) -> DataFrame:
 
 def add_behaviour(df: DataFrame, role: Role, **skew) -> DataFrame:
     """Aggregates of a role joined back to every receivable."""
-    profile = behaviour(df, role)
+    profile = stored(behaviour(df, role), f"{role.prefix}-behaviour")
     counts = profile.select(role.key, "_rows")
     joined = left_join_many_to_one(
         df, profile.drop("_rows"), role.key, "id_boleto", counts, **skew
@@ -79,18 +80,25 @@ def add_behaviour(df: DataFrame, role: Role, **skew) -> DataFrame:
 def build_features(
     payments: DataFrame, auxiliary: DataFrame, as_of: Column | None = None, **skew
 ) -> DataFrame:
-    """Enriched receivables with all features: the 47 columns, one shuffle of the wide table per role."""
-    df = add_temporal_features(payments, as_of)
+    """Enriched receivables with all features, 47 columns for cleaned payments.
+
+    The profiles are stored: they are read both for the join and for its key counts, and
+    their real size decides whether the wide table has to be shuffled at all.
+    """
+    temporal_table = add_temporal_features(payments, as_of)
+    df = temporal_table
     for role in contracts.ROLES:
-        totals = behaviour(add_temporal_features(payments, as_of), role)
-        profile = totals.join(company_profile(auxiliary, role), role.key, "left")
-        counts = totals.select(role.key, "_rows")
+        totals = behaviour(temporal_table, role)
+        profile = stored(
+            totals.join(company_profile(auxiliary, role), role.key, "left"), f"{role.prefix}-profile"
+        )
+        counts = profile.select(role.key, "_rows")
         df = left_join_many_to_one(
             df, profile.drop("_rows"), role.key, "id_boleto", counts, **skew
         )
     enriched = [
         f"{role.prefix}_{c}" for role in contracts.ROLES for c in contracts.COMPANY_ATTRIBUTES
     ]
-    temporal = [c for c in add_temporal_features(payments, as_of).columns if c not in payments.columns]
+    temporal = [c for c in temporal_table.columns if c not in payments.columns]
     aggregates = [c for c in df.columns if c not in {*payments.columns, *enriched, *temporal}]
     return df.select(*payments.columns, *enriched, *temporal, *aggregates)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lastro import contracts
 from lastro.contracts import Role
 from lastro.functions import dates, risk
-from lastro.functions.measures import PROBABILITY, SCORE, mean, round_even, share, total
+from lastro.functions.measures import MONEY, PROBABILITY, SCORE, mean, round_even, share, total
 
 _LABEL = contracts.TARGET
 
@@ -83,16 +83,41 @@ def entity_risk(
 ) -> DataFrame:
     """Risk per payer or beneficiary, riskiest first.
 
-    State and sector depend on the company, so their maximum is their only value.  The
-    band follows the unrounded mean, of the probability or of the score.
+    State and sector depend on the company.  They are grouping keys of the first step, so
+    that the receivables go through a hash aggregate, and become one value per company in
+    the second, over the few rows left.  The band follows the unrounded mean, of the
+    probability or of the score.
     """
     rows = df if keep_null_keys else df.where(F.col(role.key).isNotNull())
-    grouped = rows.groupBy(role.key).agg(
-        *_group_measures(),
-        mean(F.col("vlr_nominal")).alias("avg_boleto_value"),
-        F.max("risk_score").alias("max_risk_score"),
-        F.max(f"{role.prefix}_uf").alias("uf"),
-        F.max(f"{role.prefix}_cd_cnae_prin").alias("cd_cnae_prin"),
+    uf, sector = f"{role.prefix}_uf", f"{role.prefix}_cd_cnae_prin"
+    summed = {
+        "vlr_nominal": MONEY, _LABEL: "int", "risk_score": SCORE, "default_probability": PROBABILITY,
+    }
+    first = [_count().alias("_rows"), F.max("risk_score").alias("_max")]
+    for column, kind in summed.items():
+        first += [
+            F.sum(F.col(column).cast(kind)).alias(f"_sum_{column}"),
+            F.count(column).alias(f"_count_{column}"),
+        ]
+    companies = rows.groupBy(role.key, uf, sector).agg(*first)
+
+    def added(column: str) -> Column:
+        return F.sum(f"_sum_{column}").cast("double")
+
+    def mean_of(column: str) -> Column:
+        return F.try_divide(added(column), F.sum(f"_count_{column}"))
+
+    grouped = companies.groupBy(role.key).agg(
+        F.sum("_rows").alias("total_boletos"),
+        F.coalesce(added("vlr_nominal"), F.lit(0.0)).alias("total_value"),
+        mean_of("vlr_nominal").alias("avg_boleto_value"),
+        F.coalesce(F.sum(f"_sum_{_LABEL}"), F.lit(0)).alias("defaulted_boletos"),
+        mean_of(_LABEL).alias("default_rate"),
+        mean_of("default_probability").alias("avg_default_probability"),
+        mean_of("risk_score").alias("avg_risk_score"),
+        F.max("_max").alias("max_risk_score"),
+        F.max(uf).alias("uf"),
+        F.max(sector).alias("cd_cnae_prin"),
     )
     if band_on_score:
         band = risk.risk_band(F.col("avg_risk_score"), scale=100)
