@@ -496,6 +496,13 @@ def _statements() -> dict[str, str]:
             WHERE id_beneficiario = 'S7' AND period_month IS NOT NULL GROUP BY period_month ORDER BY 1 DESC LIMIT 12""",
         "beneficiary_drilldown": """SELECT id_boleto, dt_emissao, dt_vencimento, dt_pagamento, vlr_baixa, tipo_baixa FROM detail
             WHERE id_beneficiario = 'S7'""",
+        "beneficiary_first_rows": """SELECT dt_emissao, dt_vencimento, dt_pagamento, vlr_baixa, tipo_baixa FROM detail
+            WHERE id_beneficiario = 'S7' ORDER BY id_boleto LIMIT 8""",
+        "beneficiary_kpis": f"""SELECT id_beneficiario, {_SUMMARY}, avg(coalesce(payment_delay_days, 0)) AS delay,
+            round_even(avg(coalesce(beneficiary_cedente_indice_liquidez_1m, 0)), 6) AS liquidity
+            FROM detail GROUP BY id_beneficiario""",
+        "export_sectors": f"""SELECT * FROM ({_segment("cd_cnae_prin", "cd_cnae", "scored", True)}) s
+            ORDER BY perspective, total_boletos DESC, cd_cnae LIMIT 300""",
         "aging_buckets": " UNION ALL ".join(
             f"SELECT id_beneficiario, '{n}' AS bucket, count_if({c}) AS count FROM detail GROUP BY id_beneficiario"
             for n, c in zip(fv.AGING_LABELS, (

@@ -421,6 +421,21 @@ def beneficiary_drilldown(b: Book) -> DataFrame:
     )
 
 
+@query
+def beneficiary_first_rows(b: Book) -> DataFrame:
+    return dashboard.drilldown(b.detail, "S7")
+
+
+@query
+def beneficiary_kpis(b: Book) -> DataFrame:
+    return dashboard.beneficiary_kpis(b.detail).withColumn("liquidity", round_even("liquidity", 6))
+
+
+@query
+def export_sectors(b: Book) -> DataFrame:
+    return sinks.json_safe(dashboard.first_sectors(portfolio.cnae_analysis(b.scored)))
+
+
 @query
 def aging_buckets(b: Book) -> DataFrame:
     return dashboard.aging_buckets(b.detail)

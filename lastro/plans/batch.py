@@ -7,6 +7,7 @@ back keeps later plans short and gives a lost executor something to restart from
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -31,16 +32,23 @@ class Run:
     out: str
     written: dict[str, tuple[int, int]] = field(default_factory=dict)
 
-    def store(self, name: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        """Write a table, counting its rows on the way, and return the stored copy."""
+    def _counted(self, name: str, df: DataFrame, write: Callable[[DataFrame], None]) -> None:
+        """Write a dataset and note its rows, which are counted by the same job."""
         counter = Observation(name.replace("/", "_"))
-        observed = df.observe(counter, F.count(F.lit(1)).alias("rows"))
-        path = f"{self.out}/{name}"
-        sinks.write_parquet(observed, path, partition_by)
+        write(df.observe(counter, F.count(F.lit(1)).alias("rows")))
         self.written[name] = (counter.get["rows"], len(df.columns))
         log.info("%s: %d rows", name, counter.get["rows"])
+
+    def store(self, name: str, df: DataFrame, *partition_by: str) -> DataFrame:
+        """Write a table as Parquet and return the stored copy."""
+        path = f"{self.out}/{name}"
+        self._counted(name, df, lambda d: sinks.write_parquet(d, path, partition_by))
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def export(self, name: str, df: DataFrame) -> None:
+        """Write a dataset as JSON."""
+        self._counted(name, df, lambda d: sinks.write_json(d, f"{self.out}/{name}"))
+
     def report(self) -> DataFrame:
         rows = [(n, r, c, "ok" if r else "empty") for n, (r, c) in self.written.items()]
         return self.spark.createDataFrame(rows, "dataset string, rows long, columns int, status string")
@@ -73,10 +81,13 @@ def run(
     settings: ml.Settings = ml.Settings(),
     fail_on_error: bool = False,
 ) -> Run:
-    """Load, check, clean, enrich, derive features, train, evaluate, score and publish."""
+    """Load, check, clean, enrich, derive features, train, evaluate, score and publish.
+
+    The files are parsed once into typed tables, which also fixes the position of each row.
+    """
     result = Run(spark, out.rstrip("/"))
-    raw_payments = files.load_payments(spark, payments_path, with_order=True)
-    raw_auxiliary = files.load_auxiliary(spark, auxiliary_path, with_order=True)
+    raw_payments = result.store("raw/payments", files.load_payments(spark, payments_path, with_order=True))
+    raw_auxiliary = result.store("raw/auxiliary", files.load_auxiliary(spark, auxiliary_path, with_order=True))
 
     report = result.store(
         "quality_report", validate_inputs(without_order(raw_payments), without_order(raw_auxiliary))
@@ -98,8 +109,9 @@ def run(
     ])
     result.store("enriched/payments_enriched", enriched)
 
-    trained, scored = train_and_score(result, table, settings)
-    publish(result, scored, table, trained)
+    importance, scored = train_and_score(result, table, settings)
+    publish(result, scored, table, importance)
+    sinks.write_parquet(result.report(), f"{result.out}/run_report")
     return result
 
 
@@ -147,7 +159,7 @@ def write_dashboard(
     metrics: DataFrame | None = None,
 ) -> None:
     for name, df in dashboard.panels(detail, tables, importance, metrics).items():
-        sinks.write_json(df, f"{result.out}/dashboard/{name}")
+        result.export(f"dashboard/{name}", df)
 
 
 def build_dashboard(

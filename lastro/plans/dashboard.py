@@ -289,6 +289,15 @@ def drilldown(detail: DataFrame, beneficiary: str, limit: int = ROW_LIMITS["dril
     )
 
 
+def beneficiary_kpis(detail: DataFrame) -> DataFrame:
+    """Headline numbers of every beneficiary, with its mean delay and liquidity."""
+    return summarise_by(
+        detail, F.col("id_beneficiario"), "id_beneficiario",
+        delay=mean_with_gaps(F.col("payment_delay_days")),
+        liquidity=mean_with_gaps(F.col("beneficiary_cedente_indice_liquidez_1m")),
+    )
+
+
 def _aging() -> list[Column]:
     delay = F.coalesce(F.col("payment_delay_days"), F.lit(0))
     defaulted = F.coalesce(F.col(contracts.TARGET), F.lit(0))
@@ -364,9 +373,7 @@ def panels(
         "payers": compact(first_payers(payers), ENTITY_COLUMNS),
         "temporal": tables["temporal_analysis"],
         "uf_analysis": tables["uf_analysis"],
-        "cnae_analysis": tables["cnae_analysis"].orderBy(
-            "perspective", F.desc("total_boletos"), "cd_cnae"
-        ).limit(ROW_LIMITS["cnae_analysis"]),
+        "cnae_analysis": first_sectors(tables["cnae_analysis"]),
         "score_distribution": tables["score_distribution"],
         "alerts": compact(alerts, ALERT_COLUMNS),
     }
@@ -377,6 +384,12 @@ def panels(
     return result
 
 
+def first_sectors(cnae: DataFrame) -> DataFrame:
+    """The largest sectors, as many as the dashboard lists."""
+    order = ("perspective", F.desc("total_boletos"), "cd_cnae")
+    return cnae.orderBy(*order).limit(ROW_LIMITS["cnae_analysis"])
+
+
 def first_payers(payers: DataFrame) -> DataFrame:
     """The riskiest payers, as many as the dashboard lists."""
     return payers.orderBy(

@@ -16,18 +16,24 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     writer.parquet(path)
 
 
+def _safe(column: Column, kind: T.DataType) -> Column:
+    """A value JSON can hold: day texts for dates, null for NaN and infinities, at any depth."""
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.date_format(column, "yyyy-MM-dd")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(~(F.isnan(column) | column.isin(float("inf"), float("-inf"))), column)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda item: _safe(item, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(column, lambda _, item: _safe(item, kind.valueType))
+    if isinstance(kind, T.StructType):
+        fields = [_safe(column[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    return column
+
+
 def json_safe(df: DataFrame) -> DataFrame:
-    """Dates as ``yyyy-MM-dd`` text; NaN and infinities as null; nested values left alone."""
-    infinite = [float("inf"), float("-inf")]
-    columns = []
-    for field in df.schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, (T.DateType, T.TimestampType)):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            column = F.when(~(F.isnan(column) | column.isin(infinite)), column)
-        columns.append(column.alias(field.name))
-    return df.select(columns)
+    return df.select([_safe(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
 def records(df: DataFrame, order: Sequence[Column] = (), limit: int | None = None) -> DataFrame:
