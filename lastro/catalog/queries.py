@@ -22,10 +22,12 @@ from lastro.functions.measures import round_even
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+BUILDERS: dict[str, Callable[[Book], DataFrame]] = {}
 
 
 def query(build: Callable[[Book], DataFrame]) -> Callable[[Book], DataFrame]:
     """Register a function of a :class:`Book` under its own name."""
+    BUILDERS[build.__name__] = build
     QUERIES[build.__name__] = lambda spark, folder: build(Book(spark, folder))
     return build
 
