@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.llm import exact_dedup, mixing, rules
+from lastro.llm import exact_dedup, katz, mixing, near_dedup, packing, rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,6 +39,16 @@ FROM t WINDOW g AS (PARTITION BY plain)
 """
 
 
+@query
+def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
+@query
+def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.cluster(table(spark, folder, "documents"))
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.plan(table(spark, folder, "documents"))
@@ -48,6 +58,12 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_katz(spark: SparkSession, folder: str) -> DataFrame:
+    train = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 1
+    return katz.score(table(spark, folder, "documents"), train)
+
+
 @query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     ledger = rules.ledger(table(spark, folder, "documents"))
