@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.llm import exact_dedup, katz, mixing, near_dedup, packing, rules
+from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,6 +64,11 @@ def op7_katz(spark: SparkSession, folder: str) -> DataFrame:
     return katz.score(table(spark, folder, "documents"), train)
 
 
+@query
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return content.main_text(table(spark, folder, "pages"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     ledger = rules.ledger(table(spark, folder, "documents"))
