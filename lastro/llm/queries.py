@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, rules
+from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, rules, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,11 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.cluster(table(spark, folder, "documents"))
 
 
+@query
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"))
+
+
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.plan(table(spark, folder, "documents"))
