@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, rules, urls
+from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, pii, rules, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +49,17 @@ def op3_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.cluster(table(spark, folder, "documents"))
 
 
+@query
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda c: c["k"] == pii.KINDS.index(kind))).cast("long")
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"))
