@@ -59,6 +59,12 @@ def test_chains_of_variants(spark, changed):
     check(spark, list(enumerate(texts)))
 
 
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    texts = [t for seed in range(3) for t in variants(seed, 40, 90, 3)]
+    check(spark, list(enumerate(texts)))
+
+
 def test_odd_rows(spark):
     text = "The quick brown fox jumps over the lazy dog"
     docs = spark.createDataFrame(
@@ -88,7 +94,8 @@ def test_keys_agree_as_often_as_sets_do():
         both = rng.integers(0, 1 << 63, 600, dtype=np.uint64)
         rest = rng.integers(0, 1 << 63, 200, dtype=np.uint64)
         sets += [np.unique(np.append(both, rest[:100])), np.unique(np.append(both, rest[100:]))]
-    keys = near_dedup.min_hash_keys(sets)
+    keys, codes = near_dedup.min_hash_keys(sets)
+    assert abs((codes[0::2] == codes[1::2]).mean() - 0.75) < 0.02
     agree = (keys[0::2] == keys[1::2]).mean()
     assert abs(agree - 0.75**3) < 0.02
     assert len(np.unique(keys)) > 0.5 * keys.size
