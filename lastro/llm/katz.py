@@ -1,16 +1,17 @@
-"""Katz backoff language model: Good-Turing discounts, exactly normalised backoff weights, scores of whole texts.
-
-    P1(w)       = d(c) c / N               for words seen in training
-    P1(unknown) = what the discounts leave
-    Pk(w | h)   = d(c) c / c(h)            for a seen n-gram hw, c = c(hw)
-    Pk(w | h)   = a(h) Pk-1(w | h')        otherwise, h' is h without its first word
-    a(h)        = (1 - sum of seen Pk(w | h)) / (1 - sum over the same w of Pk-1(w | h'))
-
-An n-gram is known by a 64-bit hash.  Texts are read once into blocks of about ``BLOCK_TOKENS`` tokens, each a row
-of a table in the shared folder.  For each order the blocks send their distinct n-grams with their training
-counts, cut by hash into buckets; a bucket sums what the blocks sent and answers each block with the totals.  A
-frequent n-gram is one number per block, whatever its frequency, so no bucket is hot.  One of the blocks that
-hold an n-gram is its owner and adds it to the sums of its history, so every n-gram enters a(h) once.
+"""Katz backoff bigram model: Good-Turing discounts, exactly normalised backoff weights, scores of whole texts.
+
+    P(w)       = d1(c) / N                for words seen in training, c = c(w)
+    P(unknown) = what the discounts leave
+    P(w | h)   = d2(c) / c(h)             for a seen bigram, c = c(h w)
+    P(w | h)   = a(h) P(w)                for an unseen one, and P(w) where h was never seen
+    a(h)       = (1 - sum of seen P(w | h)) / (1 - sum of P(w) over the same w)
+
+Words and bigrams are known by 64-bit hashes.  Texts are read once into blocks of about ``BLOCK_TOKENS`` tokens, each a
+row of a table in the shared folder.  The blocks send their distinct words and bigrams with their training counts,
+cut by hash into buckets; a bucket sums what the blocks sent and answers each block with the totals.  A frequent
+bigram is one number per block, whatever its frequency, so no bucket is hot.  One of the blocks that hold a bigram is
+its owner and adds it to the sums of its history, so every bigram enters a(h) once.  All that is sent is packed into
+as few bytes as the numbers need.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lastro.llm.text import split_words, text_of
 from lastro.session import stored
@@ -31,6 +35,8 @@ BLOCK_TOKENS = 1 << 20
 BUCKET_KEYS = 1 << 20
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
+#: What larger counts lose.
+LARGE = 0.5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xC2B2AE3D27D4EB4F)
 #: Hash of the end of a text; of a word: its own, salted.
@@ -43,43 +49,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Unsigned numbers in as many bytes each as the largest needs; that width comes first."""
+    """64-bit numbers: the lowest bytes of all, then the next ones, as many as the largest needs, compressed."""
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    narrow = np.frombuffer(data, np.uint8, offset=1).reshape(-1, data[0])
-    wide = np.zeros((len(narrow), 8), np.uint8)
-    wide[:, : data[0]] = narrow
+    narrow = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    wide = np.zeros((narrow.shape[1], 8), np.uint8)
+    wide[:, : data[0]] = narrow.T
     return wide.view("<u8").ravel()
 
 
+def _packed_floats(values: np.ndarray) -> bytes:
+    return _packed(np.ascontiguousarray(values, np.float64).view(np.uint64))
+
+
+def _unpacked_floats(data: bytes) -> np.ndarray:
+    return _unpacked(data).view(np.float64)
+
+
 def _packed_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys as the first one and the steps between them."""
-    return _packed(np.diff(keys, prepend=np.uint64(0))[1:]) + keys[:1].tobytes()
+    """Sorted keys as the steps between them."""
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _unpacked_keys(data: bytes) -> np.ndarray:
-    steps = _unpacked(data[:-8])
-    return np.cumsum(np.concatenate([np.frombuffer(data[-8:], np.uint64), steps]), dtype=np.uint64)
+    return np.cumsum(_unpacked(data), dtype=np.uint64)
 
 
 def discounts(of_counts: dict[int, int], k: int = DISCOUNTED) -> np.ndarray:
-    """d(r) for r = 0..k+1 (the last for all larger counts) from the numbers of n-grams seen r times.
+    """Discounted counts of r = 0..k from the numbers of items seen r times.
 
-    Katz: d(r) = (r*/r - x) / (1 - x), r* = (r + 1) n(r+1) / n(r), x = (k + 1) n(k+1) / n(1).  Where the counts of
-    counts are too sparse for a ratio between 0 and 1, the count is discounted by n(1) / (n(1) + 2 n(2)) instead
-    (absolute discounting), so that mass is always left for what was not seen.
+    Katz: r (r*/r - x) / (1 - x), r* = (r + 1) n(r+1) / n(r), x = (k + 1) n(k+1) / n(1).  Where the counts of counts
+    are too sparse for a ratio between 0 and 1, n(1) / (n(1) + 2 n(2)) of a count goes instead (absolute
+    discounting).  Larger counts lose ``LARGE``, where Katz leaves them whole: else a history with large counts
+    only would leave nothing for words it was not seen with.
     """
     n = {r: of_counts.get(r, 0) for r in range(1, k + 2)}
     x = (k + 1) * n[k + 1] / n[1] if n[1] else 1.0
     plain = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
-    d = np.ones(k + 2)
+    left = np.zeros(k + 1)
     for r in range(1, k + 1):
         ratio = ((r + 1) * n[r + 1] / (r * n[r]) - x) / (1 - x) if n[r] and x < 1 else -1.0
-        d[r] = ratio if 0 < ratio < 1 else 1 - min(plain, 0.999) / r
-    return d
+        left[r] = r * ratio if 0 < ratio < 1 else r - min(plain, 0.999)
+    return left
 
 
 class _Hashes(dict):
@@ -114,14 +129,15 @@ def _block(held: list) -> pa.RecordBatch:
         "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
         "lengths": pa.array([lengths], pa.list_(pa.int32())),
         "train": pa.array([[t for _, _, t in held]], pa.list_(pa.bool_())),
-        "words": pa.array([words.tobytes()], pa.binary()),
+        "words": pa.array([_packed_keys(words)], pa.binary()),
         "numbers": pa.array([_packed(numbers)], pa.binary()),
+        "distinct": pa.array([len(words)], pa.int32()),
     })
 
 
 @dataclass
 class _Block:
-    """The tokens of a block and, order by order, the numbers of its distinct n-grams."""
+    """The tokens of a block: sorted keys of its words, the words by number, texts one after the other."""
 
     words: np.ndarray
     numbers: np.ndarray
@@ -132,24 +148,23 @@ class _Block:
     def read(cls, row: dict) -> "_Block":
         lengths = np.array(row["lengths"], np.int64)
         return cls(
-            np.frombuffer(row["words"], np.uint64), _unpacked(row["numbers"]).astype(np.int64),
-            lengths, np.repeat(np.array(row["train"], bool), lengths),
+            _unpacked_keys(row["words"]), _unpacked(row["numbers"]).astype(np.int32), lengths,
+            np.repeat(np.array(row["train"], bool), lengths),
         )
 
+    def second(self) -> np.ndarray:
+        """Tokens with another one before them in their text: the second ones of bigrams."""
+        return np.setdiff1d(np.arange(len(self.numbers)), np.cumsum(self.lengths) - self.lengths, assume_unique=True)
+
     def grams(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct keys of the n-grams (sorted), the key's number at each token (-1 where a text is too short
-        before the token) and the key of the history at each token."""
-        place = np.arange(len(self.numbers)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
-        tokens = self.words[self.numbers]
-        whole = place >= order - 1
-        history = np.zeros(len(tokens), np.uint64)
-        for back in range(order - 1, 0, -1):
-            history[back:] = _mix(history[back:] * _ODD + tokens[:-back])
-        history[~whole] = 0
-        keys, numbers = np.unique(_mix(history * _ODD + tokens)[whole], return_inverse=True)
-        at = np.full(len(tokens), -1, np.int64)
-        at[whole] = numbers
-        return keys, at, history
+        """Sorted keys of the distinct words or bigrams, the tokens at which they end and their number there."""
+        if order == 1:
+            return self.words, np.arange(len(self.numbers)), self.numbers
+        at = self.second()
+        keys, numbers = np.unique(
+            _mix(self.words[self.numbers[at - 1]] * _ODD + self.words[self.numbers[at]]), return_inverse=True
+        )
+        return keys, at, numbers
 
 
 def _cut(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -158,17 +173,22 @@ def _cut(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
+def _some(ends: np.ndarray) -> list[int]:
+    return np.flatnonzero(np.diff(ends)).tolist()
+
+
 def _send(order: int, buckets: int):
-    """Blocks -> per bucket: the block's distinct n-grams and their training counts."""
+    """Blocks -> per bucket: the block's distinct words or bigrams and their training counts."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
                 block = _Block.read(row)
-                keys, at, _ = block.grams(order)
-                counts = np.bincount(at[(at >= 0) & block.train], minlength=len(keys))
+                keys, at, numbers = block.grams(order)
+                counts = np.bincount(numbers[block.train[at]], minlength=len(keys))
                 ends = _cut(keys, buckets)
-                some = [b for b in range(buckets) if ends[b] < ends[b + 1]]
+                some = _some(ends)
                 yield pa.record_batch({
                     "bucket": pa.array(some, pa.int32()),
                     "block": pa.array([row["block"]] * len(some), pa.int64()),
@@ -180,7 +200,7 @@ def _send(order: int, buckets: int):
 
 
 def _sum(table: pa.Table) -> pa.Table:
-    """The totals of one bucket, sent back to its blocks; n-grams that the block owns are marked."""
+    """The totals of one bucket, sent back to its blocks; items that the block owns are marked."""
     table = table.sort_by("block")
     keys = [_unpacked_keys(x.as_py()) for x in table["keys"]]
     counts = [_unpacked(x.as_py()) for x in table["counts"]]
@@ -188,13 +208,13 @@ def _sum(table: pa.Table) -> pa.Table:
     added = np.concatenate(counts)
     totals = np.bincount(number, weights=added, minlength=len(distinct)).astype(np.uint64)
     trained = np.flatnonzero(added)
-    owner = np.zeros(len(number), bool)
-    owner[trained[np.unique(number[trained], return_index=True)[1]]] = True
+    owner = np.zeros(len(number), np.uint64)
+    owner[trained[np.unique(number[trained], return_index=True)[1]]] = 1
     of_counts = np.bincount(np.minimum(totals, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
     answers, at = [], 0
     for part in keys:
         span = slice(at, at + len(part))
-        answers.append(_packed(totals[number[span]] * np.uint64(2) + owner[span].astype(np.uint64)))
+        answers.append(_packed(totals[number[span]] * np.uint64(2) + owner[span]))
         at += len(part)
     rows = table.num_rows
     # The bucket's own figures travel with its first row.
@@ -237,176 +257,181 @@ def _totals(row: dict, order: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class _Model:
-    """What every task needs to know: a few numbers for each order."""
+    """What every task needs to know: a few numbers."""
 
-    order: int
-    tokens: int
-    distinct: int
-    discount: list[np.ndarray]
-    unknown: float
+    tokens: int = 0
+    distinct: int = 0
+    words: np.ndarray | None = None
+    bigrams: np.ndarray | None = None
+    unknown: float = 1.0
 
-    def discounted(self, order: int, counts: np.ndarray) -> np.ndarray:
-        return self.discount[order - 1][np.minimum(counts, DISCOUNTED + 1).astype(np.int64)] * counts
+    @staticmethod
+    def discounted(table: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return np.where(counts > DISCOUNTED, counts - LARGE, table[np.minimum(counts, DISCOUNTED).astype(np.int64)])
 
     def unigrams(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, self.discounted(1, counts) / max(self.tokens, 1), self.unknown)
-
-
-def _probabilities(block: _Block, row: dict, model: _Model, upto: int) -> tuple[np.ndarray, np.ndarray]:
-    """P(token | history) at each token with orders 1..upto, and training counts of the tokens."""
-    counts, _ = _totals(row, 1)
-    _, at, _ = block.grams(1)
-    known = counts[at]
-    p = model.unigrams(known)
-    for order in range(2, upto + 1):
-        grams, _ = _totals(row, order)
-        _, at, _ = block.grams(order)
-        weight, seen = _weights(block, row, model, order)
-        there = at >= 0
-        c = np.where(there, grams[np.maximum(at, 0)] if len(grams) else 0.0, 0.0)
-        direct = model.discounted(order, c) / np.maximum(seen, 1)
-        p = np.where(there, np.where(c > 0, direct, weight * p), p)
-    return p, known
-
-
-def _histories(block: _Block, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct histories of an order and their number at each token that has one."""
-    _, at, history = block.grams(order)
-    keys, numbers = np.unique(history[at >= 0], return_inverse=True)
-    full = np.full(len(at), -1, np.int64)
-    full[at >= 0] = numbers
-    return keys, full
-
-
-def _weights(block: _Block, row: dict, model: _Model, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """a(h) and c(h) at each token; a(h) is 1 where h was never followed by anything in training.
-
-    Where a history has only large, undiscounted counts, c(h) grows by one, which is left for unseen words.
-    """
-    _, at = _histories(block, order)
-    sums = np.frombuffer(b"".join(_answers(row, f"history{order}")), np.float64).reshape(-1, 3)
-    if not len(sums):
-        return np.ones(len(at)), np.zeros(len(at))
-    seen, high, low = sums[np.maximum(at, 0)].T
-    spent = (seen > 0) & (high > 1 - 1e-9)
-    high = np.where(spent, seen / (seen + 1), high)
-    a = np.where(seen > 0, (1 - high) / np.maximum(1 - low, 1e-12), 1.0)
-    return a, seen + spent
+        return np.where(counts > 0, self.discounted(self.words, counts) / max(self.tokens, 1), self.unknown)
 
 
-def _send_histories(model: _Model, order: int, buckets: int):
-    """Blocks -> per bucket of histories: c(h), sum of seen Pk and sum of Pk-1 over the n-grams the block owns.
+_EVALUATED = (
+    "block bigint, bucket int, keys binary, freed binary, lower binary, wanted binary, ids array<{id}>, "
+    "held_out array<boolean>, n_tokens array<int>, n_known array<int>, base array<double>, partial array<double>, "
+    "text binary, weight binary"
+)
 
-    Both probabilities need c(h), which only the bucket knows: the discounted counts are summed instead of Pk.
-    """
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _Block.read(row)
-                grams, owner = _totals(row, order)
-                keys, at, _ = block.grams(order)
-                histories, of = _histories(block, order)
-                lower, _ = _probabilities(block, row, model, order - 1)
-                there = np.flatnonzero(at >= 0)
-                # One token of each distinct n-gram stands for it.
-                first = there[np.unique(at[there], return_index=True)[1]]
-                use = first[owner[at[first]]] if len(grams) else first[:0]
-                c = grams[at[use]]
-                sums = np.stack([
-                    np.bincount(of[use], weights=x, minlength=len(histories))
-                    for x in (c, model.discounted(order, c), lower[use])
-                ], axis=1) if len(histories) else np.empty((0, 3))
-                ends = _cut(histories, buckets)
-                some = [b for b in range(buckets) if ends[b] < ends[b + 1]]
-                yield pa.record_batch({
-                    "bucket": pa.array(some, pa.int32()),
-                    "block": pa.array([row["block"]] * len(some), pa.int64()),
-                    "keys": pa.array([_packed_keys(histories[ends[b] : ends[b + 1]]) for b in some], pa.binary()),
-                    "sums": pa.array([sums[ends[b] : ends[b + 1]].tobytes() for b in some], pa.binary()),
-                })
-
-    return send
 
+def _evaluate(model: _Model, buckets: int, shape: pa.Schema):
+    """Blocks with their totals -> one row with the scores of the block's texts but for backoff weights, and one
+    row per bucket of histories: what the block's own bigrams freed and their lower probabilities, and the
+    histories whose weight the block wants."""
 
-def _sum_histories(table: pa.Table) -> pa.Table:
+    def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from _evaluated(model, buckets, batch.slice(i, 1), shape)
+
+    return evaluate
+
+
+def _evaluated(model: _Model, buckets: int, rows: pa.RecordBatch, shape: pa.Schema) -> Iterator[pa.RecordBatch]:
+    row = rows.drop_columns(["ids"]).to_pylist()[0]
+    block, (counts, _), (grams, owned) = _Block.read(row), _totals(row, 1), _totals(row, 2)
+    lower = model.unigrams(counts)
+    logs = np.log10(lower)[block.numbers]
+    keys, at, numbers = block.grams(2)
+    history, word = block.numbers[at - 1], block.numbers[at]
+    c, seen = grams[numbers], counts[history]
+    there = c > 0
+    logs[at[there]] = np.log10(_Model.discounted(model.bigrams, c[there]) / seen[there])
+    # Unseen after a seen history: log a(h) is added later, without its division by c(h).
+    backed = ~there & (seen > 0)
+    logs[at[backed]] -= np.log10(seen[backed])
+    starts = np.cumsum(block.lengths) - block.lengths
+    texts = np.repeat(np.arange(len(starts)), block.lengths)[at[backed]]
+    wanted, weight = np.unique(history[backed], return_inverse=True)
+    known = counts[block.numbers]
+    base = np.log10((known + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
+    listed = lambda x: pa.array([x.tolist()])
+    whole = {
+        "block": [row["block"]], "bucket": [-1], "ids": rows.column("ids"), "held_out": listed(~np.array(row["train"], bool)),
+        "n_tokens": listed(block.lengths), "n_known": listed(np.add.reduceat((known > 0).astype(np.int64), starts)),
+        "base": listed(np.add.reduceat(base, starts)), "partial": listed(np.add.reduceat(logs, starts)),
+        "text": [_packed(texts)], "weight": [_packed(weight)],
+    }
+    yield _shaped(whole, 1, shape)
+    # One token of each distinct bigram that the block owns stands for it.
+    first = np.unique(numbers, return_index=True)[1]
+    first = first[owned[numbers[first]]]
+    own = history[first]
+    freed = np.bincount(own, weights=c[first] - _Model.discounted(model.bigrams, c[first]), minlength=len(block.words))
+    below = np.bincount(own, weights=lower[word[first]], minlength=len(block.words))
+    some = np.flatnonzero(np.bincount(own, minlength=len(block.words)))
+    ends, ends_wanted = _cut(block.words[some], buckets), _cut(block.words[wanted], buckets)
+    used = sorted({*_some(ends), *_some(ends_wanted)})
+    yield _shaped({
+        "block": [row["block"]] * len(used), "bucket": used,
+        "keys": [_packed_keys(block.words[some[ends[b] : ends[b + 1]]]) for b in used],
+        "freed": [_packed_floats(freed[some[ends[b] : ends[b + 1]]]) for b in used],
+        "lower": [_packed_floats(below[some[ends[b] : ends[b + 1]]]) for b in used],
+        "wanted": [_packed_keys(block.words[wanted[ends_wanted[b] : ends_wanted[b + 1]]]) for b in used],
+    }, len(used), shape)
+
+
+def _shaped(columns: dict, rows: int, shape: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        (columns[f.name].cast(f.type) if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], f.type))
+        if f.name in columns else pa.nulls(rows, f.type)
+        for f in shape
+    ], schema=shape)
+
+
+def _backoff(table: pa.Table) -> pa.Table:
+    """log10(c(h) a(h)) of the histories that the blocks want from one bucket."""
     table = table.sort_by("block")
-    keys = [_unpacked_keys(x.as_py()) for x in table["keys"]]
-    added = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in table["sums"]]).reshape(-1, 3)
-    distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.stack([np.bincount(number, weights=added[:, i], minlength=len(distinct)) for i in range(3)], axis=1)
-    totals[:, 1] /= np.maximum(totals[:, 0], 1)
-    answers, at = [], 0
-    for part in keys:
-        answers.append(totals[number[at : at + len(part)]].tobytes())
-        at += len(part)
+    keys = np.concatenate([_unpacked_keys(x.as_py()) for x in table["keys"]])
+    distinct, number = np.unique(keys, return_inverse=True)
+    freed, lower = (
+        np.bincount(number, weights=np.concatenate([_unpacked_floats(x.as_py()) for x in table[c]]), minlength=len(distinct))
+        for c in ("freed", "lower")
+    )
+    logs = np.log10(freed / np.maximum(1 - lower, 1e-12))
+    # A wanted history was seen in training, so some block owns one of its bigrams.
+    answers = [_packed_floats(logs[np.searchsorted(distinct, _unpacked_keys(x.as_py()))]) for x in table["wanted"]]
     return pa.table({"bucket": table["bucket"], "block": table["block"], "answer": pa.array(answers, pa.binary())})
 
 
-def _score(model: _Model, id_name: str):
+def _score(model: _Model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, row in enumerate(batch.to_pylist()):
-                block = _Block.read(row)
-                p, known = _probabilities(block, row, model, model.order)
-                base = np.log10((known + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
-                starts = np.cumsum(block.lengths) - block.lengths
-                total = lambda x: pa.array(np.add.reduceat(x, starts))
+            for i in range(batch.num_rows):
+                rows = batch.slice(i, 1)
+                row = rows.drop_columns(["ids"]).to_pylist()[0]
+                weights = [_unpacked_floats(x) for x in _answers(row, "weight")]
+                weights = np.concatenate(weights) if weights else np.zeros(0)
+                n = len(row["partial"])
+                texts, wanted = _unpacked(row["text"]).astype(np.int64), _unpacked(row["weight"]).astype(np.int64)
+                added = np.bincount(texts, weights=weights[wanted], minlength=n) if len(texts) else np.zeros(n)
                 yield pa.record_batch({
-                    "id": batch.column("ids")[i].values,
-                    "held_out": pa.array([not t for t in row["train"]], pa.bool_()),
-                    "n_tokens": pa.array(block.lengths),
-                    "n_known": total((known > 0).astype(np.int64)),
-                    "train_tokens": pa.array(np.full(len(starts), model.tokens, np.int64)),
-                    "base_score": total(base),
-                    "score": total(np.log10(p)),
+                    "id": rows.column("ids").flatten(),
+                    "held_out": pa.array(row["held_out"], pa.bool_()),
+                    "n_tokens": pa.array(row["n_tokens"], pa.int64()),
+                    "n_known": pa.array(row["n_known"], pa.int64()),
+                    "train_tokens": pa.array([model.tokens] * n, pa.int64()),
+                    "base_score": pa.array(row["base"], pa.float64()),
+                    "score": pa.array(np.array(row["partial"]) + added),
                 })
 
     return score
 
 
-def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text", order: int = 2) -> DataFrame:
+def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
     The model learns from the rows for which ``train`` is true.  Tokens are words with A-Z in lower case and one
-    end per text.  A null or empty text is its end alone.  Without training text all tokens are unknown, the
-    base is log10(1) and the model is 0 too.  Null ids and repeated rows are scored like others; an empty table gives
+    end per text.  A null or empty text is its end alone.  Without training text all tokens are unknown, and base
+    and model both give log10(1).  Null ids and repeated rows are scored like others; an empty table gives
     no rows.  Other columns are ignored.
     """
-    id_type = docs.schema[id_column].dataType.simpleString()
+    kind = docs.schema[id_column].dataType
+    id_type = kind.simpleString()
     held = F.coalesce(train, F.lit(False))
     texts = docs.select(docs[id_column].alias("id"), text_of(docs[text_column]).alias("text"), held.alias("train"))
-    shape = f"ids array<{id_type}>, lengths array<int>, train array<boolean>, words binary, numbers binary"
+    layout = f"ids array<{id_type}>, lengths array<int>, train array<boolean>, words binary, numbers binary, distinct int"
     blocks = stored(
-        texts.mapInArrow(_blocks, shape).withColumn("block", F.monotonically_increasing_id()), "katz-blocks"
+        texts.mapInArrow(_blocks, layout).withColumn("block", F.monotonically_increasing_id()), "katz-blocks"
     )
-    size = blocks.agg(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)")), F.sum(F.expr("octet_length(words) / 8"))).first()
-    tokens, words = int(size[0] or 0), int(size[1] or 0)
-    model, answers = _Model(order, 0, 0, [], 1.0), {}
-    for n in range(1, order + 1):
-        counted = _exchange(blocks, n, (words if n == 1 else tokens) // BUCKET_KEYS + 1)
+    size = blocks.agg(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)")), F.sum("distinct")).first()
+    keys, model, answers = {1: int(size[1] or 0), 2: int(size[0] or 0)}, _Model(), {}
+    for n in (1, 2):
+        counted = _exchange(blocks, n, keys[n] // BUCKET_KEYS + 1)
         figures = counted.where("of_counts IS NOT NULL").agg(
             F.sum("distinct"), F.sum("total"), *[F.sum(F.col("of_counts")[r]) for r in range(DISCOUNTED + 2)]
         ).first()
         of_counts = {r: int(figures[2 + r] or 0) for r in range(DISCOUNTED + 2)}
-        model.discount.append(discounts(of_counts))
+        table = discounts(of_counts)
         if n == 1:
-            model.distinct, model.tokens = int(figures[0] or 0), int(figures[1] or 0)
-            left = sum(r * of_counts[r] * (1 - model.discount[0][r]) for r in range(1, DISCOUNTED + 1))
-            model.unknown = float(left / model.tokens) if left else 1.0 / (model.tokens + 1)
-            if not left:
-                model.discount[0] = model.discount[0] * (1 - model.unknown)
+            model.distinct, model.tokens, model.words = int(figures[0] or 0), int(figures[1] or 0), table
+            large = model.distinct - sum(of_counts[r] for r in range(1, DISCOUNTED + 1))
+            left = sum((r - table[r]) * of_counts[r] for r in range(1, DISCOUNTED + 1)) + LARGE * large
+            model.unknown = float(left / model.tokens) if model.tokens else 1.0
+        else:
+            model.bigrams = table
         answers[f"count{n}"] = counted
-    for n in range(2, order + 1):
-        sums = _gathered(blocks, answers).mapInArrow(
-            _send_histories(model, n, (words if n == 2 else tokens) // BUCKET_KEYS + 1),
-            "bucket int, block bigint, keys binary, sums binary",
-        )
-        back = sums.groupBy("bucket").applyInArrow(_sum_histories, "bucket int, block bigint, answer binary")
-        answers[f"history{n}"] = stored(back, f"katz-histories-{n}")
-    table = _gathered(blocks, answers)
-    scored = table.mapInArrow(
-        _score(model, id_column),
+    shape = _EVALUATED.format(id=id_type)
+    arrow = to_arrow_schema(StructType.fromDDL(shape))
+    buckets = keys[1] // BUCKET_KEYS + 1
+    evaluated = stored(
+        _gathered(blocks, answers).select("block", "ids", "lengths", "train", "words", "numbers", "answers").mapInArrow(
+            _evaluate(model, buckets, arrow), shape
+        ), "katz-evaluated",
+    )
+    weights = evaluated.where("bucket >= 0").select("bucket", "block", "keys", "freed", "lower", "wanted")
+    weights = weights.groupBy("bucket").applyInArrow(_backoff, "bucket int, block bigint, answer binary")
+    whole = evaluated.where("bucket < 0").select(
+        "block", "ids", "held_out", "n_tokens", "n_known", "base", "partial", "text", "weight"
+    )
+    scored = _gathered(whole, {"weight": weights}).mapInArrow(
+        _score(model),
         f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )
     return scored.withColumnRenamed("id", id_column)

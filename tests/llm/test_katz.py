@@ -9,69 +9,58 @@ from pyspark.sql import functions as F
 from lastro.llm import katz
 
 
-def brute(texts, train, order):
+def brute(texts, train):
     """Katz with dictionaries; texts are lists of words, None is the end."""
-    grams = [collections.Counter() for _ in range(order + 1)]
-    for words, learned in zip(texts, train):
-        for n in range(1, order + 1):
-            for at in range(n - 1, len(words)):
-                if learned:
-                    grams[n][tuple(words[at - n + 1 : at + 1])] += 1
-    discount = [None] + [katz.discounts(collections.Counter(grams[n].values())) for n in range(1, order + 1)]
-    total = sum(grams[1].values())
-    d = lambda n, c: discount[n][min(c, katz.DISCOUNTED + 1)]
-    left = sum(c * (1 - d(1, c)) for c in grams[1].values())
-    unknown = left / total if left else 1 / (total + 1)
-    shrink = 1.0 if left else 1 - unknown
-    follow = [collections.defaultdict(dict) for _ in range(order + 1)]
-    for n in range(2, order + 1):
-        for gram, c in grams[n].items():
-            follow[n][gram[:-1]][gram[-1]] = c
-
-    def p(gram):
-        n = len(gram)
-        if n == 1:
-            return d(1, grams[1][gram]) * shrink * grams[1][gram] / total if grams[1][gram] else unknown
-        seen = follow[n].get(gram[:-1])
+    words, follow = collections.Counter(), collections.defaultdict(collections.Counter)
+    for text, learned in zip(texts, train):
+        if learned:
+            words.update(text)
+            for h, w in zip(text, text[1:]):
+                follow[h][w] += 1
+    tables = [katz.discounts(collections.Counter(words.values())),
+              katz.discounts(collections.Counter(c for seen in follow.values() for c in seen.values()))]
+    d = lambda n, c: tables[n][c] if c <= katz.DISCOUNTED else c - katz.LARGE
+    total = sum(words.values())
+    unknown = sum(c - d(0, c) for c in words.values()) / total
+
+    def p(h, w):
+        single = d(0, words[w]) / total if words[w] else unknown
+        seen = follow.get(h)
         if not seen:
-            return p(gram[1:])
+            return single
         size = sum(seen.values())
-        high = sum(d(n, c) * c for c in seen.values()) / size
-        size += high > 1 - 1e-9
-        high = sum(d(n, c) * c for c in seen.values()) / size
-        if gram[-1] in seen:
-            return d(n, seen[gram[-1]]) * seen[gram[-1]] / size
-        return (1 - high) / (1 - sum(p((*gram[1:-1], w)) for w in seen)) * p(gram[1:])
+        if w in seen:
+            return d(1, seen[w]) / size
+        return (1 - sum(d(1, c) for c in seen.values()) / size) / (1 - sum(p(False, x) for x in seen)) * single
 
-    scores = [sum(math.log10(p(tuple(w[max(0, i - order + 1) : i + 1]))) for i in range(len(w))) for w in texts]
-    return scores, p, grams
+    return [sum(math.log10(p(h, w)) for h, w in zip([False, *text], text)) for text in texts], p, words
 
 
 def words_of(text):
     return (text or "").encode().lower().split() + [None]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_scores_equal_brute_force(spark, folder, order, monkeypatch):
-    monkeypatch.setattr(katz, "BUCKET_KEYS", 4000)
+@pytest.mark.parametrize("keys, tokens", [(4000, 9000), (1 << 20, 1 << 20)])
+def test_scores_equal_brute_force(spark, folder, keys, tokens, monkeypatch):
+    monkeypatch.setattr(katz, "BUCKET_KEYS", keys)
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", tokens)
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(60)
     rows = rows.collect()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    found = {r.doc_id: r for r in katz.score(docs, F.col("doc_id") % 4 != 1, order=order).collect()}
+    found = {r.doc_id: r for r in katz.score(docs, F.col("doc_id") % 4 != 1).collect()}
     texts, train = [words_of(r.text) for r in rows], [r.doc_id % 4 != 1 for r in rows]
-    scores, p, grams = brute(texts, train, order)
-    tokens, distinct = sum(grams[1].values()), len(grams[1])
+    scores, p, counts = brute(texts, train)
+    tokens, distinct = sum(counts.values()), len(counts)
     for row, words, expected in zip(rows, texts, scores):
         got = found[row.doc_id]
         assert got.score == pytest.approx(expected, rel=1e-9)
         assert got.base_score == pytest.approx(
-            sum(math.log10((grams[1][(w,)] + 0.5) / (tokens + 0.5 * (distinct + 1))) for w in words), rel=1e-9
+            sum(math.log10((counts[w] + 0.5) / (tokens + 0.5 * (distinct + 1))) for w in words), rel=1e-9
         )
-        assert (got.n_tokens, got.n_known) == (len(words), sum(grams[1][(w,)] > 0 for w in words))
+        assert (got.n_tokens, got.n_known) == (len(words), sum(counts[w] > 0 for w in words))
         assert got.train_tokens == tokens and got.held_out == (row.doc_id % 4 == 1)
-    vocabulary = list(grams[1]) + [("never seen",)]
-    for history in [(), *[g for g, _ in grams[1].most_common(3) if g[0] is not None]][: 1 if order == 1 else None]:
-        assert sum(p((*history, *w)) for w in vocabulary) == pytest.approx(1)
+    for history in [False, *[w for w, _ in counts.most_common(4) if w is not None]]:
+        assert sum(p(history, w) for w in [*counts, "never seen"]) == pytest.approx(1)
 
 
 def test_odd_rows(spark):
@@ -92,6 +81,7 @@ def test_packed_numbers_round_trip():
         array = np.array(values, np.uint64)
         assert katz._unpacked(katz._packed(array)).tolist() == values
         if values:
+            assert katz._unpacked_floats(katz._packed_floats(array / 7)).tolist() == (array / 7).tolist()
             assert katz._unpacked_keys(katz._packed_keys(np.sort(array))).tolist() == sorted(values)
 
 
