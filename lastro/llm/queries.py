@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, pii, rules, urls
+from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, pii, quality, rules, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +23,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _fold(name: str) -> Column:
+    return F.pmod(F.crc32(F.col(name).cast("string").cast("binary")), F.lit(5))
+
+
 @query
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.mark(table(spark, folder, "documents"), keep="largest")
@@ -76,7 +80,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_katz(spark: SparkSession, folder: str) -> DataFrame:
-    train = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 1
+    train = _fold("doc_id") != 1
     return katz.score(table(spark, folder, "documents"), train)
 
 
@@ -95,3 +99,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "_m.n_repeat_words", base_failed.alias("base_failed"),
         (~base_failed & rules.passes(F.col("_bits"), verdict)).alias("kept"), F.col("_bits").alias("failed_rules"),
     )
+
+
+@query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), _fold("doc_id") != 0)
