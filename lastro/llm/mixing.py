@@ -158,9 +158,10 @@ def plan(
     joined = placed.join(dealt, met).drop("b_source", "b_block")
     # Blocks that a target cuts: one of each source at most.
     cut = (F.col("left") > 0) & (F.col("left") < F.col("words"))
-    inside = Window.partitionBy("source").orderBy("order", "id").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.sum("size").over(Window.partitionBy("source").orderBy("order", "id"))  # with all rows of one order and id
+    alike = F.sum("size").over(Window.partitionBy("source", "order", "id"))
     whole = joined.where(~cut).withColumn("extra", F.when(F.col("left") > 0, F.col("size")).otherwise(0))
-    part = joined.where(cut).withColumn("seen", F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn(
+    part = joined.where(cut).withColumn("seen", upto - alike).withColumn(
         "extra", F.greatest(F.lit(0), F.least(F.col("left") - F.col("seen"), F.col("size")))
     ).drop("seen")
     both = whole.unionByName(part)

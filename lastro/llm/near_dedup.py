@@ -11,9 +11,9 @@ A pair of documents with similarity s shares a table with probability (1 - (1 -
 No bucket is expanded into all pairs.  Equal sets are one node.  Each bucket first ties its nodes to its most
 central one, whose keys are the most frequent: among edited copies that is the text they were made from.  Nodes that
 verified links have joined need no more tests.  Only nodes of a bucket that are still in different components can
-add a link between components; tasks compare them, block by block, by ``2 * SIDE * ROWS`` bytes of their MinHash
-values and hand on those pairs only that agree in ``AGREE`` of 100.  A pair with similarity 0.75 fails that once in
-20,000 times, and one with 0.78 never in practice.
+add a link between components; tasks compare those that share a key of the first collection, block by block, by
+``CHECKS`` more MinHash values of one byte and hand on the pairs only that agree in ``AGREE`` of 100.  A pair with
+similarity 0.75 fails that once in 30,000 times, and one with 0.77 never in practice.
 """
 
 from __future__ import annotations
@@ -35,12 +35,14 @@ SHINGLE = 5
 SIDE = 20
 ROWS = 3
 PERCENT = 75
-#: Share of agreeing MinHash values, in percent, below which no full sets are compared.
-AGREE = 60
-#: Nodes of one bucket that are compared in one task, with as many others.
+#: MinHash bytes that two nodes are compared by before their full sets are, and the share that has to agree, in percent.
+CHECKS = 512
+AGREE = 67
+#: Nodes with one key that are compared in one task, with as many others.
 BLOCK = 1024
 
 _MULTIPLIERS = np.random.default_rng(20240501).integers(0, 1 << 63, 2 * SIDE * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_CHECKERS = np.random.default_rng(20240503).integers(0, 1 << 63, CHECKS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACES = np.random.default_rng(20240502).integers(0, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Shingles hashed at a time, so that the working arrays stay in the processor's cache.
@@ -74,17 +76,27 @@ def shingle_set(text: str | None, hashes: dict) -> np.ndarray:
     return np.unique(_mix(total))
 
 
-def min_hash_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """2 * SIDE keys of each (non-empty) set, and one byte of each of its MinHash values."""
+def _min_hashes(sets: list[np.ndarray], multipliers: np.ndarray) -> np.ndarray:
     values = np.concatenate(sets)
     starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    least = np.empty((len(_MULTIPLIERS), len(sets)), np.uint64)
-    for row, multiplier in enumerate(_MULTIPLIERS):
+    least = np.empty((len(multipliers), len(sets)), np.uint64)
+    for row, multiplier in enumerate(multipliers):
         least[row] = np.minimum.reduceat(values * multiplier, starts)
+    return least
+
+
+def min_hash_bytes(sets: list[np.ndarray]) -> np.ndarray:
+    """``CHECKS`` bytes of each (non-empty) set."""
+    return (_mix(_min_hashes(sets, _CHECKERS)) & np.uint64(255)).astype(np.uint8).T
+
+
+def min_hash_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """2 * SIDE keys of each (non-empty) set."""
+    least = _min_hashes(sets, _MULTIPLIERS)
     keys = np.zeros((2 * SIDE, len(sets)), np.uint64)
     for row in range(ROWS):
         keys = _mix(keys + least[row::ROWS] + np.arange(1, 2 * SIDE + 1, dtype=np.uint64)[:, None] * _MIX)
-    return keys.T, (_mix(least) & np.uint64(255)).astype(np.uint8).T
+    return keys.T
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,15 +114,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketch_batch(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
     full = [s for s in sets if len(s)]
-    pairs = iter(zip(*min_hash_keys(full)) if full else ())
-    drawn = [next(pairs) if len(s) else None for s in sets]
+    keys = iter(min_hash_keys(full) if full else ())
     digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
     return pa.record_batch({
         "id": ids,
         "n": pa.array([len(s) for s in sets], pa.int64()),
         "digest": pa.array(digests, pa.binary()),
-        "keys": pa.array([d and d[0].tobytes() for d in drawn], pa.binary()),
-        "bytes": pa.array([d and d[1].tobytes() for d in drawn], pa.binary()),
+        "keys": pa.array([next(keys).tobytes() if len(s) else None for s in sets], pa.binary()),
     })
 
 
@@ -151,18 +161,37 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _first_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open nodes with their sets -> one row per key of the first collection, with all these keys and MinHash bytes."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column("shingles")]
+            codes = [x.tobytes() for x in min_hash_bytes(sets)]
+            keys = np.frombuffer(b"".join(part.column("keys").to_pylist()), np.int64).reshape(len(sets), -1)[:, :SIDE]
+            place = pa.array(np.repeat(np.arange(len(sets)), SIDE))
+            known = pa.array([x.tobytes() for x in keys.astype(np.int32)], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel()), pa.array(np.tile(np.arange(SIDE, dtype=np.int32), len(sets)))]
+                + [part.column(c).take(place) for c in ("node", "component", "n")]
+                + [known.take(place), pa.array(codes, pa.binary()).take(place)],
+                ["key", "place", "node", "component", "n", "keys", "bytes"],
+            )
+
+
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order of bucket and part -> pairs of one part whose MinHash bytes agree well, across components.
+    """Rows in order of key and part -> pairs of one part whose MinHash bytes agree well, across components.
 
-    A part holds two blocks of a bucket, or one: pairs within a block belong to the part of that block alone.
+    A part holds two blocks of the nodes with a key, or one: pairs within a block belong to the part of that block
+    alone.  A pair with several keys in common is taken where the first of these is.
     """
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        marks = np.flatnonzero(np.diff(batch.column("bucket").to_numpy()) | np.diff(batch.column("part").to_numpy())) + 1
+        marks = np.flatnonzero(np.diff(batch.column("key").to_numpy()) | np.diff(batch.column("part").to_numpy())) + 1
         at = 0
         for mark in [*marks, batch.num_rows]:
             run = batch.slice(at, mark - at)
-            if held and (held[-1].column("bucket")[0], held[-1].column("part")[0]) != (run.column("bucket")[0], run.column("part")[0]):
+            if held and (held[-1].column("key")[0], held[-1].column("part")[0]) != (run.column("key")[0], run.column("part")[0]):
                 yield from _close_pairs(held)
                 held = []
             held.append(run)
@@ -173,12 +202,13 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _close_pairs(runs: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = pa.Table.from_batches(runs)
-    if table.num_rows < 2:
-        return
     component, n, block = (table[c].to_numpy() for c in ("component", "n", "block"))
-    codes = np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
-    least, two = codes.shape[1] * AGREE // 100, block.min() != block.max()
     names, sizes = np.unique(component, return_counts=True)
+    if len(names) < 2:
+        return
+    codes = np.frombuffer(b"".join(table["bytes"].to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    keys = np.frombuffer(b"".join(table["keys"].to_pylist()), np.int32).reshape(table.num_rows, -1)
+    place, least, two = table["place"][0].as_py(), codes.shape[1] * AGREE // 100, block.min() != block.max()
     # Every pair across components has a member outside the largest one.
     small = np.flatnonzero(component != names[sizes.argmax()])
     us, vs = [], []
@@ -187,20 +217,26 @@ def _close_pairs(runs: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if two:
             fits &= block != block[i]
         others = np.flatnonzero(fits)
+        others = others[~(keys[others, :place] == keys[i, :place]).any(axis=1)]
+        # A few of the bytes sort most of them out.
+        others = others[(codes[others, :64] == codes[i, :64]).sum(axis=1) >= 26]
         others = others[(codes[others] == codes[i]).sum(axis=1) >= least]
         us.append(np.full(len(others), i))
         vs.append(others)
-    u, v = np.concatenate(us or [[]]).astype(np.int64), np.concatenate(vs or [[]]).astype(np.int64)
+    u, v = np.concatenate(us).astype(np.int64), np.concatenate(vs).astype(np.int64)
     nodes = table["node"].combine_chunks()
     yield pa.RecordBatch.from_arrays([nodes.take(pa.array(u)), nodes.take(pa.array(v))], ["u", "v"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
-    """Those pairs ``u, v`` whose full sets are similar enough."""
-    pairs = stored(pairs, "near-pairs")
+def _full_sets(pairs: DataFrame, texts: DataFrame, id_type: str) -> DataFrame:
     needed = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = texts.join(needed, texts["id"] == needed["node"], "left_semi")
-    sets = stored(wanted.mapInArrow(_sets, f"node {id_type}, shingles binary"), "near-sets")
+    # Always by a shuffle of ids and texts, whatever the number of ids: no broadcast that grows with the corpus.
+    wanted = texts.join(needed.hint("merge"), texts["id"] == needed["node"], "left_semi")
+    return stored(wanted.mapInArrow(_sets, f"node {id_type}, shingles binary"), "near-sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, id_type: str) -> DataFrame:
+    """Those pairs ``u, v`` whose full sets are similar enough."""
     # The set of v travels with each pair; that of u, which many pairs can share, is met last.
     half = pairs.join(sets.withColumnRenamed("shingles", "right"), F.col("v") == F.col("node")).drop("node")
     full = half.join(sets.withColumnRenamed("shingles", "left"), F.col("u") == F.col("node"))
@@ -222,12 +258,12 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(docs[id_column].alias("id"), text_of(docs[text_column]).alias("text"))
     sketches = stored(
-        texts.mapInArrow(_sketches, f"id {id_type}, n bigint, digest binary, keys binary, bytes binary"), "near-sketches"
+        texts.mapInArrow(_sketches, f"id {id_type}, n bigint, digest binary, keys binary"), "near-sketches"
     )
     filled = sketches.where("id IS NOT NULL AND n > 0")
     # Equal sets have equal keys, whichever row they are taken from.
     nodes = stored(
-        filled.groupBy("digest").agg(F.min("id").alias("node"), F.min("keys").alias("keys"), F.min("bytes").alias("bytes"), F.min("n").alias("n")), "near-nodes"
+        filled.groupBy("digest").agg(F.min("id").alias("node"), F.min("keys").alias("keys"), F.min("n").alias("n")), "near-nodes"
     )
     keys = nodes.select("node", "keys").mapInArrow(_expand, f"node {id_type}, key bigint, first boolean")
     shared = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").withColumnRenamed("key", "live")
@@ -246,29 +282,39 @@ def cluster(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     leaders = stored(leaders.where("least <> last").select(F.col("bucket").alias("met"), "leader"), "near-leaders")
     members = tables.join(leaders, F.col("bucket") == F.col("met")).select("bucket", "leader", "node")
     pairs = members.where("node <> leader").select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct()
-    links = _verified(pairs, texts, id_type)
+    pairs = stored(pairs, "near-pairs")
+    sets = _full_sets(pairs, texts, id_type)
+    links = _verified(pairs, sets, id_type)
     found = stored(components(links), "near-components")
 
     labelled = members.join(found.withColumnRenamed("node", "named"), F.col("node") == F.col("named"), "left").select(
         "bucket", "leader", "node", F.coalesce("component", "node").alias("component")
     )
     labelled = stored(labelled, "near-labelled")
-    open_ = labelled.groupBy("bucket").agg(
+    open_ = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    open_ = open_.where("least <> most").select(F.col("bucket").alias("open"))
+    # The leader has been compared with all others of its bucket.
+    rest = labelled.join(open_, F.col("bucket") == F.col("open")).where("node <> leader").select("node", "component").distinct()
+    rest = stored(rest, "near-open").join(
+        nodes.select(F.col("node").alias("known"), "n", "keys"), F.col("node") == F.col("known")
+    ).join(sets.withColumnRenamed("node", "with_set"), F.col("node") == F.col("with_set"))
+    rest = stored(rest.select("node", "component", "n", "keys", "shingles").mapInArrow(
+        _first_keys, f"key bigint, place int, node {id_type}, component {id_type}, n bigint, keys binary, bytes binary"
+    ), "near-open-keys")
+    several = rest.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("rows")
-    ).where("least <> most").select(F.col("bucket").alias("open"), F.ceil(F.col("rows") / BLOCK).alias("blocks"))
-    rest = labelled.join(open_, F.col("bucket") == F.col("open")).where("node <> leader")  # compared with all others
-    known = nodes.select(F.col("node").alias("known"), "n", "bytes")
-    rest = rest.join(known, F.col("node") == F.col("known")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    ).where("least <> most").select(F.col("key").alias("open"), F.ceil(F.col("rows") / BLOCK).alias("blocks"))
+    rest = rest.join(several, F.col("key") == F.col("open")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     # A part for each two blocks, and for each block alone.
     part = F.explode(F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda other: F.least("block", other) * F.col("blocks") + F.greatest("block", other),
     ))
-    rest = rest.select("bucket", part.alias("part"), "block", "node", "component", "n", "bytes")
-    across = rest.repartition("bucket", "part").sortWithinPartitions("bucket", "part").mapInArrow(
+    rest = rest.select("key", "place", part.alias("part"), "block", "node", "component", "n", "keys", "bytes")
+    across = rest.repartition("key", "part").sortWithinPartitions("key", "part").mapInArrow(
         _close, f"u {id_type}, v {id_type}"
     ).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    more = _verified(across, texts, id_type)
+    more = _verified(stored(across, "near-pairs"), sets, id_type)
     if not more.isEmpty():
         found = stored(components(links.unionByName(more)), "near-components")
 
