@@ -91,7 +91,7 @@ FROM scored WHERE {key} IS NOT NULL GROUP BY {key}"""
 
 
 _TX_TEXT = (
-    "lower(concat_ws(' ', coalesce(substring(id_beneficiario, 1, 12), ''), coalesce(substring(id_pagador, 1, 12), ''),"
+    "lower(concat_ws(' ', coalesce(id_beneficiario, ''), coalesce(id_pagador, ''),"
     " coalesce(entity_uf, ''), coalesce(beneficiary_uf, ''), coalesce(payer_uf, ''),"
     " coalesce(cast(entity_sector AS varchar), ''), "
     f"coalesce({_sector(_division('entity_sector'))}, 'Setor CNAE -'), "
@@ -114,7 +114,7 @@ SELECT 'Cedente' AS entity_type, id_pagador AS entity_id, uf, cd_cnae_prin AS se
               || '/1000.' END AS description
 FROM (
   SELECT *, CASE WHEN avg_risk_score >= 75 THEN 1 WHEN default_rate >= 0.5 THEN 2 WHEN avg_risk_score >= 60 THEN 3 END AS kind
-  FROM (SELECT * FROM {entities} ORDER BY avg_risk_score DESC, total_value DESC, id_pagador LIMIT 80) top) k
+  FROM {entities}) k
 WHERE kind IS NOT NULL"""
 
 _SUMMARY = f"""count(*) AS total, {_money('vlr_nominal')} AS value,
@@ -377,8 +377,8 @@ def _match(role: contracts.Role) -> str:
 def _statements() -> dict[str, str]:
     pay, aux = contracts.PAYMENTS, contracts.AUXILIARY
     return {
-        "scan_payments": "SELECT * FROM payments",
-        "scan_auxiliary": "SELECT * FROM raw_auxiliary",
+        "scan_payments": """SELECT * REPLACE ('a "b", ' || tipo_especie || chr(10) || '"' AS tipo_especie) FROM payments""",
+        "scan_auxiliary": """SELECT * REPLACE ('a "b", ' || uf || chr(10) || '"' AS uf) FROM raw_auxiliary""",
         "coerce_types": """SELECT id_boleto, try_cast(dt_emissao AS date) AS dt_emissao, try_cast(dt_vencimento AS date) AS dt_vencimento,
             try_cast(dt_pagamento AS date) AS dt_pagamento, try_cast(vlr_nominal AS double) AS vlr_nominal,
             try_cast(vlr_baixa AS double) AS vlr_baixa FROM text_payments""",
@@ -418,6 +418,7 @@ def _statements() -> dict[str, str]:
             f"a.{c} AS payer_{c}" for c in contracts.COMPANY_ATTRIBUTES
         ) + " FROM payments p LEFT JOIN auxiliary a ON p.id_pagador = a.id_cnpj",
         "enrich": "SELECT * EXCLUDE (payment_delay_days, is_defaulted) FROM enriched",
+        "enrich_split_keys": "SELECT * EXCLUDE (payment_delay_days, is_defaulted) FROM enriched",
         "temporal_features": """SELECT id_boleto, boleto_term_days, payment_delay_days, days_overdue, is_defaulted, due_month,
             due_day_of_week FROM temporal""",
         "default_flag": _FLAGS.format("SELECT * FROM labelled"),
@@ -469,19 +470,30 @@ def _statements() -> dict[str, str]:
             payer_uf beneficiary_uf payer_cd_cnae_prin beneficiary_cd_cnae_prin payment_delay_days beneficiary_media_atraso_dias
             beneficiary_cedente_indice_liquidez_1m beneficiary_share_vl_inad_pag_bol_6_a_15d default_probability risk_score
             risk_category period_month due_year_month entity_uf entity_sector score_display""") + """,
-            substring(id_pagador, 1, 12) AS id_pagador, substring(id_beneficiario, 1, 12) AS id_beneficiario,
-            substring(coalesce(tipo_baixa, ''), 1, 54) AS tipo_baixa FROM detail""",
-        "export_records": """SELECT * REPLACE (substring(id_pagador, 1, 12) AS id_pagador), round_even(avg_risk_score * 10, 0) AS score_display
-            FROM payer_risk ORDER BY avg_risk_score DESC, total_value DESC, id_pagador LIMIT 500""",
+            id_pagador, id_beneficiario, tipo_baixa, substring(id_pagador, 1, 12) AS id_pagador_short,
+            substring(id_beneficiario, 1, 12) AS id_beneficiario_short,
+            substring(coalesce(tipo_baixa, ''), 1, 54) AS tipo_baixa_short FROM detail""",
+        "export_records": """SELECT *, substring(id_pagador, 1, 12) AS id_pagador_short, round_even(avg_risk_score * 10, 0) AS score_display
+            FROM payer_risk""",
         "filter_transactions": f"""SELECT {_TX_COLUMNS} FROM detail WHERE {_PERIOD} AND {_RJ} AND contains({_TX_TEXT}, 'comercio')
             UNION ALL SELECT {_TX_COLUMNS} FROM detail WHERE (
               {' OR '.join(f"{_division(c)} = '46'" for c in ('entity_sector', 'beneficiary_cd_cnae_prin', 'payer_cd_cnae_prin'))})
               AND contains({_TX_TEXT}, 'alto')""",
+        "filtered_kpis": f"""SELECT {_SUMMARY}, count(DISTINCT nullif(id_beneficiario, '')) AS beneficiaries FROM detail
+            WHERE {_RJ} AND contains({_TX_TEXT}, 'comercio')""",
+        "filtered_segments": f"""SELECT CASE WHEN d = '-' THEN 'Setor CNAE -' ELSE {_sector('d')} END AS segment, value, default_rate,
+            liquidity, avg_score AS score FROM (
+              SELECT d, {_SUMMARY}, round_even(avg(coalesce(beneficiary_cedente_indice_liquidez_1m, 0)), 6) AS liquidity
+              FROM (SELECT *, coalesce({_division('entity_sector')}, '-') AS d FROM detail
+                WHERE {_RJ} AND contains({_TX_TEXT}, 'comercio')) x GROUP BY d ORDER BY value DESC, d LIMIT 8) t""",
+        "filtered_months": f"""SELECT month, avg_score, default_rate FROM (
+            SELECT period_month AS month, {_SUMMARY} FROM detail WHERE period_month IS NOT NULL AND {_RJ}
+              AND contains({_TX_TEXT}, 'comercio') GROUP BY period_month ORDER BY 1 DESC LIMIT 12) t""",
         "filtered_beneficiaries": f"""SELECT id_beneficiario, uf, cd_cnae_prin, total_value, avg_risk_score FROM beneficiary_risk
             WHERE uf = 'RJ' AND id_beneficiario IN (SELECT id_beneficiario FROM detail WHERE {_PERIOD} AND {_RJ})""",
         "filtered_alerts": f"""SELECT entity_id, uf, alert_type, level, risk_score FROM payer_alerts
             WHERE level = 'Critico' AND entity_id IN (SELECT id_pagador FROM detail WHERE {_PERIOD})
-              AND contains(lower(concat_ws(' ', substring(entity_id, 1, 12), alert_type, description, coalesce(uf, ''))), 'score')""",
+              AND contains(lower(concat_ws(' ', entity_id, alert_type, description, coalesce(uf, ''))), 'score')""",
         "dashboard_kpis": f"SELECT {_SUMMARY}, count(DISTINCT nullif(id_beneficiario, '')) AS beneficiaries FROM detail",
         "default_rate_by_issue_month": f"""SELECT month, avg_score, default_rate FROM (
             SELECT period_month AS month, {_SUMMARY} FROM detail WHERE period_month IS NOT NULL
@@ -497,12 +509,12 @@ def _statements() -> dict[str, str]:
         "beneficiary_drilldown": """SELECT id_boleto, dt_emissao, dt_vencimento, dt_pagamento, vlr_baixa, tipo_baixa FROM detail
             WHERE id_beneficiario = 'S7'""",
         "beneficiary_first_rows": """SELECT dt_emissao, dt_vencimento, dt_pagamento, vlr_baixa, tipo_baixa FROM detail
-            WHERE id_beneficiario = 'S7' ORDER BY id_boleto LIMIT 8""",
+            WHERE id_beneficiario = 'S7'""",
         "beneficiary_kpis": f"""SELECT id_beneficiario, {_SUMMARY}, avg(coalesce(payment_delay_days, 0)) AS delay,
             round_even(avg(coalesce(beneficiary_cedente_indice_liquidez_1m, 0)), 6) AS liquidity
             FROM detail GROUP BY id_beneficiario""",
         "export_sectors": f"""SELECT * FROM ({_segment("cd_cnae_prin", "cd_cnae", "scored", True)}) s
-            ORDER BY perspective, total_boletos DESC, cd_cnae LIMIT 300""",
+            """,
         "aging_buckets": " UNION ALL ".join(
             f"SELECT id_beneficiario, '{n}' AS bucket, count_if({c}) AS count FROM detail GROUP BY id_beneficiario"
             for n, c in zip(fv.AGING_LABELS, (
@@ -526,8 +538,7 @@ def _statements() -> dict[str, str]:
         "alert_counts": """SELECT count(*) AS alerts, count_if(level = 'Critico') AS critical,
             count_if(alert_type = 'Score') AS score_alerts, count_if(alert_type <> 'Score') AS operational FROM payer_alerts""",
         "alert_types": "SELECT alert_type, count(*) AS count FROM payer_alerts GROUP BY alert_type",
-        "priority_queue": """SELECT * FROM payer_risk ORDER BY (risk_category = 'high') DESC, avg_risk_score DESC, total_value DESC,
-            total_boletos DESC, id_pagador LIMIT 100""",
+        "priority_queue": """SELECT * FROM payer_risk""",
         "default_rate_by_uf": f"""SELECT payer_uf AS uf, round_even(avg({_label(5)}), 6) AS default_rate
             FROM enriched WHERE payer_uf IS NOT NULL GROUP BY payer_uf""",
         "describe_value": _describe("vlr_nominal", "vlr_nominal", "payments"),
@@ -552,6 +563,7 @@ def _statements() -> dict[str, str]:
             round_even((1 - avg(is_defaulted)) / avg(is_defaulted), 6) AS imbalance FROM split GROUP BY split""",
         "feature_audit": _audit_rows(),
         "impute_median": _median_rows(),
+        "quantiles_bucketed": _median_rows(),
         "encode_ordinal": _code_rows(),
         "class_weights": """SELECT is_defaulted AS label, count(*) AS rows,
             cast((SELECT count(*) FROM labelled) AS double) / (2 * count(*)) AS balanced_weight,

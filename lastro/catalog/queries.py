@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from lastro.catalog.views import AS_OF, Book
 from lastro.contracts import AUXILIARY, BENEFICIARY, PAYER, PAYMENTS, TARGET
 from lastro.functions import dates, risk, text
 from lastro.ml import metrics, models, prepare
-from lastro.operators import profile, quality
+from lastro.operators import profile, quality, ranking
 from lastro.operators.dedup import keep_one
 from lastro.plans import alerts, cleaning, dashboard, enrichment, features, portfolio, scoring
 from lastro.session import scratch_path, stored
@@ -40,18 +39,23 @@ def _as_of():
 
 def _csv_round_trip(df: DataFrame, name: str) -> str:
     path = scratch_path(df.sparkSession, name)
-    df.write.option("header", True).csv(path)
+    df.write.option("header", True).option("escape", '"').csv(path)
     return path
 
 
+def _quoted(df: DataFrame, name: str) -> DataFrame:
+    """The labels of a column with quotes, a comma and a line break in them."""
+    return df.withColumn(name, F.concat(F.lit('a "b", '), name, F.lit('\n"')))
+
+
 @query
 def scan_payments(b: Book) -> DataFrame:
-    return files.load_payments(b.spark, _csv_round_trip(b.payments, "payments"))
+    return files.load_payments(b.spark, _csv_round_trip(_quoted(b.payments, "tipo_especie"), "payments"))
 
 
 @query
 def scan_auxiliary(b: Book) -> DataFrame:
-    return files.load_auxiliary(b.spark, _csv_round_trip(b.raw_auxiliary, "auxiliary"))
+    return files.load_auxiliary(b.spark, _csv_round_trip(_quoted(b.raw_auxiliary, "uf"), "auxiliary"))
 
 
 @query
@@ -356,7 +360,6 @@ def export_records(b: Book) -> DataFrame:
     )
 
 
-FILTERS = dashboard.Filters(uf="RJ", risk="high")
 SEARCH = dashboard.Filters(sector="46", search=" Alto ")
 
 
@@ -368,6 +371,26 @@ def filter_transactions(b: Book) -> DataFrame:
     return found.select("id_boleto", "period_month", "entity_uf", "entity_sector", "risk_category")
 
 
+def _filtered_view(b: Book) -> dict[str, DataFrame]:
+    tables = {"beneficiary_risk": b.beneficiaries}
+    return dashboard.view(b.detail, tables, dashboard.Filters(uf="RJ", search="comercio"))
+
+
+@query
+def filtered_kpis(b: Book) -> DataFrame:
+    return _filtered_view(b)["kpis"]
+
+
+@query
+def filtered_segments(b: Book) -> DataFrame:
+    return _filtered_view(b)["segments"].withColumn("liquidity", round_even("liquidity", 6))
+
+
+@query
+def filtered_months(b: Book) -> DataFrame:
+    return _filtered_view(b)["months"]
+
+
 @query
 def filtered_beneficiaries(b: Book) -> DataFrame:
     found = dashboard.filter_beneficiaries(b.beneficiaries, b.detail, dashboard.Filters(
@@ -475,7 +498,7 @@ def alert_types(b: Book) -> DataFrame:
 
 @query
 def priority_queue(b: Book) -> DataFrame:
-    return alerts.priority_queue(b.payers, "id_pagador", 100)
+    return alerts.priority_queue(b.payers, "id_pagador")
 
 
 # ---------------------------------------------------------------- exploration
@@ -570,6 +593,20 @@ def _train(b: Book) -> DataFrame:
     return split.where("split = 'train'")
 
 
+@query
+def enrich_split_keys(b: Book) -> DataFrame:
+    """The joins of ``enrich`` by shuffle, with every key of more than 20 rows cut into pieces."""
+    return enrichment.enrich(b.payments, b.auxiliary, small_bytes=0, min_hot_rows=20)
+
+
+@query
+def quantiles_bucketed(b: Book) -> DataFrame:
+    """The medians of ``impute_median`` with values ranked bucket by bucket."""
+    return ranking.exact_quantiles(
+        _train(b), {c: F.col(c) for c in contracts.NUMERIC_FEATURES}, [0.5], one_task_rows=0
+    ).withColumnRenamed("q0", "median")
+
+
 @query
 def impute_median(b: Book) -> DataFrame:
     return prepare.fit_medians(_train(b), contracts.NUMERIC_FEATURES).withColumnRenamed("q0", "median")
@@ -628,62 +665,62 @@ def stratified_split(b: Book) -> DataFrame:
 
 # ---------------------------------------------------------------- trained models
 
-# Smaller models than the published ones, so that a check of all queries stays short.  The
-# parameters of the published models are the defaults of ``models.Settings``.
-SHORT = models.Settings(
-    trees=20, forest_depth=10, boosting_rounds=10, boosting_depth=4, logistic_iterations=200
-)
+# The published models in full; ``Settings.labelled_rows`` bounds the rows they are fitted on.  All queries of a
+# folder share one fit, as all outputs of a batch run do.
+_FITS: dict[tuple[str, str], tuple] = {}
 
 
-def _fitted(b: Book, names: tuple[str, ...]):
-    """Stored feature table, fitted preprocessor, trained models and assembled test rows."""
-    table = stored(b.features, "features")
-    split = stored(prepare.stratified_split(prepare.select_features(table)), "split")
-    train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
-    fitted = prepare.Preprocessor.fit(train)
-    matrix = stored(fitted.assemble(train).select("features", TARGET), "matrix")
-    trained = models.train_models(matrix, replace(SHORT, models=names))
-    return table, fitted, trained, fitted.assemble(test)
+def _fitted(b: Book):
+    """Stored feature table, fitted preprocessor, trained models and metrics on the stored test rows."""
+    where = (b.spark.sparkContext.applicationId, b.folder)
+    if where not in _FITS:
+        table = stored(b.features, "features")
+        split = stored(prepare.stratified_split(prepare.select_features(table)), "split")
+        train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
+        fitted = prepare.Preprocessor.fit(train)
+        matrix = stored(fitted.assemble(models.bounded(train)).select("features", TARGET), "matrix")
+        trained = models.train_models(matrix)
+        tested = stored(models.evaluate_models(trained, fitted.assemble(test)), "metrics")
+        _FITS[where] = table, fitted, trained, tested
+    return _FITS[where]
 
 
 @query
 def model_comparison(b: Book) -> DataFrame:
-    _, _, trained, test = _fitted(b, SHORT.models)
-    return models.comparison(models.evaluate_models(trained, test))
+    return models.comparison(_fitted(b)[3])
 
 
 @query
 def model_metrics_rank(b: Book) -> DataFrame:
     """Metrics written as JSON and read back for display."""
-    _, _, trained, test = _fitted(b, (models.LOGISTIC, models.FOREST))
     path = scratch_path(b.spark, "model-evaluation")
-    models.metrics_json(models.evaluate_models(trained, test)).write.text(path)
+    models.metrics_json(_fitted(b)[3]).write.text(path)
     return files.read_model_metrics(b.spark, path)
 
 
 @query
 def feature_importance(b: Book) -> DataFrame:
-    _, fitted, trained, _ = _fitted(b, SHORT.models)
+    _, fitted, trained, _ = _fitted(b)
     return models.feature_importance(b.spark, trained, fitted.feature_columns)
 
 
 @query
 def feature_importance_labels(b: Book) -> DataFrame:
-    """The ten most important inputs with their display names."""
-    _, fitted, trained, _ = _fitted(b, (models.LOGISTIC,))
+    """The model inputs by importance with their display names."""
+    _, fitted, trained, _ = _fitted(b)
     importance = models.feature_importance(b.spark, trained, fitted.feature_columns)
-    return dashboard.top_importance(importance).withColumn(
-        "label", text.feature_label(F.col("feature"))
-    )
+    return dashboard.top_importance(importance).withColumn("label", text.feature_label(F.col("feature")))
 
 
 @query
 def score_dataset(b: Book) -> DataFrame:
-    table, fitted, trained, _ = _fitted(b, (models.LOGISTIC,))
-    return models.score_dataset(table, trained[models.LOGISTIC], fitted)
+    """All receivables scored by the best of the three models."""
+    table, fitted, trained, tested = _fitted(b)
+    best = models.best_model(tested, models.Settings().models)
+    return models.score_dataset(table, trained[best], fitted)
 
 
 @query
 def model_portfolio_overview(b: Book) -> DataFrame:
-    """Portfolio totals of the receivables scored by a trained model."""
+    """Portfolio totals of the receivables scored by the best model."""
     return portfolio.portfolio_overview(score_dataset(b))

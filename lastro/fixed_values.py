@@ -71,7 +71,6 @@ COMPANY_SCORES = (
 
 # Business thresholds.
 DEFAULT_THRESHOLD_DAYS = 0        # official label: later than the due date
-EXPLORATORY_THRESHOLD_DAYS = 5    # looser label used while exploring the data
 LOW_BELOW = 0.3                   # probability scale; times 100 on the score scale
 MEDIUM_BELOW = 0.6
 NULL_RATE_FACTOR = 2.0            # null-rate alarm: max(factor x base, base + margin)
@@ -83,7 +82,6 @@ WEIGHT_DELAY, WEIGHT_OVERDUE, WEIGHT_ILLIQUIDITY, WEIGHT_MATERIALITY = 35, 25, 2
 
 # Alert rules and texts.
 ALERT_ENTITY_TYPE = "Cedente"
-ALERT_CANDIDATES = 80
 ALERT_SCORE_CRITICAL = 75
 ALERT_DEFAULT_RATE = 0.5
 ALERT_SCORE_HIGH = 60

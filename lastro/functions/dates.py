@@ -33,6 +33,3 @@ def default_flag(
 def month_key(day: Column) -> Column:
     return F.date_format(day, "yyyy-MM")
 
-
-def month_key_or_dash(day: Column) -> Column:
-    return F.coalesce(month_key(day), F.lit("-"))

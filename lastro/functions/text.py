@@ -57,10 +57,6 @@ def compact_id(column: Column) -> Column:
     return F.substring(column.cast("string"), 1, 12)
 
 
-def short_id(column: Column) -> Column:
-    return F.substring(F.coalesce(column.cast("string"), F.lit("")), 1, 8)
-
-
 def feature_label(name: Column) -> Column:
     """Display name of a model input: the fixed name, or one derived from the column name."""
     derived = name

@@ -37,6 +37,7 @@ class Settings:
     inverse_penalty: float = 0.1
     logistic_iterations: int = 5000
     bins: int = 64
+    labelled_rows: int = 20_000     # rows the models are fitted on, about; all others count in every statistic
 
 
 def _estimator(name: str, rows: int, s: Settings):
@@ -60,6 +61,18 @@ def _estimator(name: str, rows: int, s: Settings):
     )
 
 
+def bounded(train: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Train rows to fit on: all, or about ``labelled_rows`` of them, picked by a hash of their id.
+
+    Trees without a depth limit grow with the rows they see and are put together on the driver; this bound is
+    what limits them.  Both labels keep their share.
+    """
+    share = settings.labelled_rows / max(train.count(), 1)
+    if share >= 1:
+        return train
+    return train.where(F.pmod(F.xxhash64(F.col(ROW_ID), F.lit(settings.seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
 def with_weights(train: DataFrame) -> DataFrame:
     """Balanced weights, and the weights that only lift the positive label."""
     weights = class_weights(train).agg(F.struct(

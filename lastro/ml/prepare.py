@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lastro import contracts
 from lastro.functions.text import unknown_if_null
-from lastro.operators.joins import left_join_many_to_one
+from lastro.operators.joins import is_small, key_counts, left_join_many_to_one
 from lastro.operators.ranking import exact_quantiles
 from lastro.session import scratch_path
 
@@ -28,10 +28,6 @@ def select_features(df: DataFrame) -> DataFrame:
     return df.select(*kept)
 
 
-def missing_features(df: DataFrame) -> list[str]:
-    return [c for c in contracts.SAFE_FEATURES if c not in df.columns]
-
-
 def leaky_columns(df: DataFrame) -> list[str]:
     """Columns of the table that would give the outcome away."""
     return sorted(set(contracts.LEAKY) & set(df.columns))
@@ -185,11 +181,14 @@ class Preprocessor:
             c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in self.numeric
         })
         df = df.withColumns({c: unknown_if_null(F.col(c)) for c in self.categorical})
-        for c in self.categorical:
-            codes = self.categories.where(F.col("column") == c).select(
-                F.col("value").alias(c), F.col("code").alias("_code")
-            )
-            joined = left_join_many_to_one(df, codes, c, ROW_ID)
+        tables = {
+            c: self.categories.where(F.col("column") == c).select(F.col("value").alias(c), F.col("code").alias("_code"))
+            for c in self.categorical
+        }
+        large = [c for c, codes in tables.items() if not is_small(codes)]
+        counts = key_counts(df, large) if large else {}
+        for c, codes in tables.items():
+            joined = left_join_many_to_one(df, codes, c, ROW_ID, counts=counts.get(c))
             df = joined.withColumn(c, F.coalesce("_code", F.lit(-1.0))).drop("_code")
         return df
 

@@ -1,18 +1,20 @@
 """Keep one row per key.
 
-The whole row travels as the argument of ``max_by`` / ``min_by``.  Every map task first
-reduces its own copies of a key to one row, so a key with a third of all rows reaches
-its reducer as one row per map task, where ``row_number`` over a window would sort all
-copies in a single task.
+Only keys and orders are aggregated, with map-side combining, so a key with a third of all rows reaches its
+reducer as one row per map task.  The repeated keys, usually few, are joined to the full rows, of which all but one
+per key go.  While their table is small enough for Spark to broadcast, full rows are neither shuffled nor sorted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lastro.session import stored
+
 
 def keep_one(
     df: DataFrame,
@@ -26,12 +28,19 @@ def keep_one(
     Null keys are equal to each other.  ``order`` has to be unique within a key.
     ``removed=True`` adds ``_copies``, the number of input rows of the key.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    pick = F.min_by(row, order) if keep == "first" else F.max_by(row, order)
-    picked = df.groupBy(*keys).agg(pick.alias("_row"), F.count(F.lit(1)).alias("_copies"))
-    if keep is False:
-        picked = picked.where("_copies = 1")
-    return picked.select("_row.*", *(["_copies"] if removed else []))
+    best = (F.min if keep == "first" else F.max)("_order")
+    narrow = df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], order.alias("_order"))
+    many = narrow.groupBy(*[f"_key{i}" for i in range(len(keys))]).agg(
+        best.alias("_best"), F.count(F.lit(1)).alias("_copies")
+    )
+    many = stored(many.where("_copies > 1"), "repeated-keys")
+    same = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    joined = df.withColumn("_order", order).join(many, reduce(lambda a, b: a & b, same), "left")
+    stays = F.col("_copies").isNull()
+    if keep is not False:
+        stays |= F.col("_order") == F.col("_best")
+    copies = [F.coalesce("_copies", F.lit(1)).cast("long").alias("_copies")] if removed else []
+    return joined.where(stays).select(*df.columns, *copies)
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

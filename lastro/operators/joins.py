@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lastro.operators.dedup import repeated_keys
+from lastro.session import stored
 
 # A dimension is broadcast only when Catalyst estimates it below this size.
 SMALL_BYTES = 10 * 1024 * 1024
@@ -22,10 +25,25 @@ def require_unique(dim: DataFrame, key: str) -> None:
         raise ValueError(f"many-to-one join needs unique values in {key}")
 
 
-def is_small(dim: DataFrame) -> bool:
-    """True when Catalyst's size estimate (the one ``explain('cost')`` prints) is small."""
-    estimate = dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= SMALL_BYTES
+def is_small(dim: DataFrame, small_bytes: int = SMALL_BYTES) -> bool:
+    """True when Catalyst's size estimate, as ``EXPLAIN COST`` prints it for the whole plan, is small."""
+    plan = dim.sparkSession.sql("EXPLAIN COST SELECT * FROM {dim}", dim=dim).first()[0]
+    estimate = re.search(r"sizeInBytes=([0-9.E+]+) (\w+)", plan)
+    scale = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
+    return bool(estimate) and float(estimate[1]) * scale[estimate[2]] <= small_bytes
+
+
+def key_counts(fact: DataFrame, keys: list[str]) -> dict[str, DataFrame]:
+    """Rows of each value of several keys, counted in one pass over those columns and stored."""
+    cells = F.array(*[F.struct(F.lit(k).alias("_key"), F.col(k).cast("string").alias("_value")) for k in keys])
+    counted = fact.select(F.explode(cells).alias("c")).select("c.*").groupBy("_key", "_value").agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    counted = stored(counted, "key-counts")
+    kinds = {f.name: f.dataType for f in fact.schema.fields}
+    return {
+        k: counted.where(F.col("_key") == k).select(F.col("_value").cast(kinds[k]).alias(k), "_rows") for k in keys
+    }
 
 
 def hot_keys(counts: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
@@ -43,6 +61,7 @@ def left_join_many_to_one(
     row_id: str,
     counts: DataFrame | None = None,
     min_hot_rows: int = MIN_HOT_ROWS,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """``fact LEFT JOIN dim`` on the equally named ``key``, which is unique in ``dim``.
 
@@ -52,7 +71,7 @@ def left_join_many_to_one(
     once per piece.  ``counts`` (``key``, ``_rows``) may be passed when the caller has
     already counted the keys.
     """
-    if is_small(dim):
+    if is_small(dim, small_bytes):
         return fact.join(F.broadcast(dim), key, "left")
     if counts is None:
         counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))

@@ -16,12 +16,14 @@ def _whole(value: Column) -> Column:
 
 
 def make_alerts(
-    beneficiaries: DataFrame, key: str = "id_beneficiario", candidates: int = fv.ALERT_CANDIDATES
+    beneficiaries: DataFrame, key: str = "id_beneficiario", candidates: int | None = None
 ) -> DataFrame:
-    """Alerts among the riskiest beneficiaries; an empty result stays an empty table."""
-    top = beneficiaries.orderBy(
-        F.desc_nulls_last("avg_risk_score"), F.desc_nulls_last("total_value"), key
-    ).limit(candidates)
+    """Alerts of all beneficiaries, or of the ``candidates`` riskiest; an empty result stays an empty table."""
+    top = beneficiaries
+    if candidates is not None:
+        top = beneficiaries.orderBy(
+            F.desc_nulls_last("avg_risk_score"), F.desc_nulls_last("total_value"), key
+        ).limit(candidates)
     score, rate, value = (
         F.coalesce(F.col(c), F.lit(0.0)) for c in ("avg_risk_score", "default_rate", "total_value")
     )
@@ -90,9 +92,10 @@ def alerts_by_type(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy(kind).agg(F.count(F.lit(1)).alias("count"))
 
 
-def priority_queue(entities: DataFrame, key: str, length: int) -> DataFrame:
+def priority_queue(entities: DataFrame, key: str, length: int | None = None) -> DataFrame:
     """Who to look at first: high risk, then score, exposure and number of receivables."""
-    return entities.orderBy(
+    queue = entities.orderBy(
         F.desc(F.col("risk_category") == "high"),
         F.desc_nulls_last("avg_risk_score"), F.desc("total_value"), F.desc("total_boletos"), key,
-    ).limit(length)
+    )
+    return queue if length is None else queue.limit(length)

@@ -92,6 +92,10 @@ def run(
     report = result.store(
         "quality_report", validate_inputs(without_order(raw_payments), without_order(raw_auxiliary))
     )
+    for name, raw, contract in (
+        ("payments", raw_payments, contracts.PAYMENTS), ("auxiliary", raw_auxiliary, contracts.AUXILIARY),
+    ):
+        result.store(f"quality/unexpected_{name}", quality.unexpected_values(without_order(raw), contract))
     failed = [r["dataset"] for r in quality.summarise(report).where("NOT passed").collect()]
     if failed:
         log.warning("contract violated by %s", ", ".join(sorted(failed)))
@@ -126,15 +130,23 @@ def train_and_score(
     train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
     fitted = prepare.Preprocessor.fit(train, f"{out}/ml/preprocessor")
 
-    matrix = result.store("ml/train_matrix", fitted.assemble(train).select("features", contracts.TARGET))
-    models = ml.train_models(matrix, settings, f"{out}/ml/models")
-    metrics = result.store("ml/evaluation/metrics", ml.evaluate_models(models, fitted.assemble(test)))
+    result.store("ml/train_matrix", fitted.assemble(train).select("features", contracts.TARGET))
+    tested = result.store("ml/test_matrix", fitted.assemble(test).select("features", contracts.TARGET))
+    for name, df in (("before_imputation", train), ("after_imputation", fitted.transform(train))):
+        result.store(f"ml/audits/features_{name}", prepare.feature_audit(df))
+        result.store(f"ml/audits/leakage_{name}", prepare.leakage_audit(df))
+    fit_rows = result.store(
+        "ml/fit_matrix", fitted.assemble(ml.bounded(train, settings)).select("features", contracts.TARGET)
+    )
+    models = ml.train_models(fit_rows, settings, f"{out}/ml/models")
+    metrics = result.store("ml/evaluation/metrics", ml.evaluate_models(models, tested))
     ml.metrics_json(metrics).write.mode("overwrite").text(f"{out}/ml/evaluation/model_evaluation")
     result.store("ml/evaluation/model_comparison", ml.comparison(metrics))
     importance = result.store(
         "bi/feature_importance", ml.feature_importance(result.spark, models, fitted.feature_columns)
     )
     best = ml.best_model(metrics, settings.models)
+    result.store("ml/evaluation/best_model", result.spark.createDataFrame([(best,)], "model string"))
     scored = ml.score_dataset(table, models[best], fitted)
     return importance, result.store("bi/boleto_scores", scored)
 

@@ -19,7 +19,6 @@ from lastro.functions.literals import lookup
 from lastro.functions.measures import SCORE, total
 from lastro.plans import alerts as alerting
 
-ROW_LIMITS = {"payers": 500, "cnae_analysis": 300, "feature_importance": 10, "drilldown": 8}
 MONTHS_SHOWN, SEGMENTS_SHOWN = 12, 8
 
 
@@ -86,15 +85,15 @@ SETTLEMENT_TEXT_LENGTH = 54
 
 
 def compact(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """The listed columns that exist, with short ids and a short settlement label."""
+    """The listed columns that exist; ids and settlement labels get a short form beside them for display."""
     kept = []
     for name in (c for c in columns if c in df.columns):
-        column = F.col(name)
+        kept.append(F.col(name))
         if name in COMPACT_IDS:
-            column = text.compact_id(column)
+            kept.append(text.compact_id(F.col(name)).alias(f"{name}_short"))
         elif name == "tipo_baixa":
-            column = F.substring(F.coalesce(column, F.lit("")), 1, SETTLEMENT_TEXT_LENGTH)
-        kept.append(column.alias(name))
+            short = F.substring(F.coalesce(F.col(name), F.lit("")), 1, SETTLEMENT_TEXT_LENGTH)
+            kept.append(short.alias(f"{name}_short"))
     return df.select(kept)
 
 
@@ -148,7 +147,7 @@ def transaction_filter(filters: Filters, include_search: bool = True) -> Column:
         conditions.append(F.col("risk_category") == filters.risk)
     if include_search:
         conditions += _searched(
-            filters, text.compact_id(F.col("id_beneficiario")), text.compact_id(F.col("id_pagador")),
+            filters, F.col("id_beneficiario"), F.col("id_pagador"),
             *[F.col(c) for c in states], F.col("entity_sector").cast("bigint"),
             sector_display(F.col("entity_sector")), _risk_display(F.col("risk_category")),
         )
@@ -171,7 +170,7 @@ def filter_beneficiaries(
     beneficiaries: DataFrame, detail: DataFrame, filters: Filters
 ) -> DataFrame:
     conditions = _searched(
-        filters, text.compact_id(F.col("id_beneficiario")), F.col("cd_cnae_prin").cast("bigint"),
+        filters, F.col("id_beneficiario"), F.col("cd_cnae_prin").cast("bigint"),
         F.col("uf"), sector_display(F.col("cd_cnae_prin")), _risk_display(F.col("risk_category")),
     )
     conditions += _entity_conditions(filters, "cd_cnae_prin")
@@ -183,7 +182,7 @@ def filter_beneficiaries(
 
 def filter_alerts(alerts: DataFrame, detail: DataFrame, filters: Filters) -> DataFrame:
     conditions = _searched(
-        filters, text.compact_id(F.col("entity_id")), F.col("alert_type"), F.col("description"),
+        filters, F.col("entity_id"), F.col("alert_type"), F.col("description"),
         F.col("uf"), F.col("sector").cast("bigint"), sector_display(F.col("sector")),
         _risk_display(F.col("risk_category")),
     )
@@ -242,21 +241,23 @@ def summarise_by(detail: DataFrame, key: Column, name: str, **more: Column) -> D
     return detail.groupBy(shown.alias(name)).agg(*[c.alias(n) for n, c in measures.items()])
 
 
-def latest_months(per_month: DataFrame, name: str = "month") -> DataFrame:
-    """The last twelve months, oldest first, without the group of missing dates."""
+def latest_months(per_month: DataFrame, months: int | None = MONTHS_SHOWN, name: str = "month") -> DataFrame:
+    """The last ``months`` months (all for None), oldest first, without the group of missing dates."""
     known = per_month.where(F.col(name) != "-")
-    return known.orderBy(F.desc(name)).limit(MONTHS_SHOWN).orderBy(name)
+    if months is not None:
+        known = known.orderBy(F.desc(name)).limit(months)
+    return known.orderBy(name)
 
 
-def default_rate_by_issue_month(detail: DataFrame) -> DataFrame:
+def default_rate_by_issue_month(detail: DataFrame, months: int | None = MONTHS_SHOWN) -> DataFrame:
     per_month = summarise_by(detail, dates.month_key(F.col("dt_emissao")), "month")
-    return latest_months(per_month.select("month", "avg_score", "default_rate"))
+    return latest_months(per_month.select("month", "avg_score", "default_rate"), months)
 
 
-def delay_by_issue_month(detail: DataFrame) -> DataFrame:
+def delay_by_issue_month(detail: DataFrame, months: int | None = MONTHS_SHOWN) -> DataFrame:
     delay = mean_with_gaps(F.col("payment_delay_days"))
     per_month = summarise_by(detail, dates.month_key(F.col("dt_emissao")), "month", delay=delay)
-    return latest_months(per_month.select("month", "delay"))
+    return latest_months(per_month.select("month", "delay"), months)
 
 
 def value_by_risk(detail: DataFrame) -> DataFrame:
@@ -282,11 +283,45 @@ def of_beneficiary(detail: DataFrame, beneficiary: str) -> DataFrame:
     return detail.where(F.col("id_beneficiario") == beneficiary)
 
 
-def drilldown(detail: DataFrame, beneficiary: str, limit: int = ROW_LIMITS["drilldown"]) -> DataFrame:
-    """First receivables of one beneficiary."""
-    return of_beneficiary(detail, beneficiary).orderBy("id_boleto").limit(limit).select(
-        "dt_emissao", "dt_vencimento", "dt_pagamento", "vlr_baixa", "tipo_baixa"
-    )
+def drilldown(detail: DataFrame, beneficiary: str, limit: int | None = None) -> DataFrame:
+    """Receivables of one beneficiary in order, all or the first ``limit``."""
+    rows = of_beneficiary(detail, beneficiary).orderBy("id_boleto")
+    if limit is not None:
+        rows = rows.limit(limit)
+    return rows.select("dt_emissao", "dt_vencimento", "dt_pagamento", "vlr_baixa", "tipo_baixa")
+
+
+def selected_beneficiary(beneficiaries: DataFrame, beneficiary: str | None = None) -> DataFrame:
+    """The profile row of one beneficiary; without a choice, of the riskiest (then the largest)."""
+    if beneficiary is not None:
+        return beneficiaries.where(F.col("id_beneficiario") == beneficiary)
+    return beneficiaries.orderBy(
+        F.desc_nulls_last("avg_risk_score"), F.desc_nulls_last("total_value"), "id_beneficiario"
+    ).limit(1)
+
+
+def view(
+    detail: DataFrame, tables: dict[str, DataFrame], filters: Filters = Filters(), months: int | None = MONTHS_SHOWN,
+) -> dict[str, DataFrame]:
+    """Every panel over the receivables, beneficiaries and alerts that match the filters."""
+    found = filter_transactions(detail, filters)
+    beneficiaries = tables["beneficiary_risk"]
+    alerts = filter_alerts(alerting.make_alerts(beneficiaries), detail, filters)
+    shown = filter_beneficiaries(beneficiaries, detail, filters)
+    return {
+        "kpis": kpis(found),
+        "segments": top_segments(found),
+        "months": default_rate_by_issue_month(found, months),
+        "delays": delay_by_issue_month(found, months),
+        "value_by_risk": value_by_risk(found),
+        "beneficiary_kpis": beneficiary_kpis(found),
+        "aging": aging_buckets(found),
+        "recall": high_risk_recall(found),
+        "beneficiaries": shown,
+        "selected_beneficiary": selected_beneficiary(shown),
+        "alerts": alerts,
+        "alert_counts": alerting.alert_counts(alerts),
+    }
 
 
 def beneficiary_kpis(detail: DataFrame) -> DataFrame:
@@ -381,33 +416,34 @@ def panels(
         result["feature_importance"] = top_importance(importance)
     if metrics is not None:
         result["model_metrics"] = metrics
-    return result
+    shown = view(detail, tables, months=None)
+    return result | {f"view_{name}": df for name, df in shown.items() if name not in ("beneficiaries", "alerts")}
+
 
+def _first(df: DataFrame, rows: int | None, *order) -> DataFrame:
+    df = df.orderBy(*order)
+    return df if rows is None else df.limit(rows)
 
-def first_sectors(cnae: DataFrame) -> DataFrame:
-    """The largest sectors, as many as the dashboard lists."""
-    order = ("perspective", F.desc("total_boletos"), "cd_cnae")
-    return cnae.orderBy(*order).limit(ROW_LIMITS["cnae_analysis"])
 
+def first_sectors(cnae: DataFrame, rows: int | None = None) -> DataFrame:
+    """Sectors, the largest of each perspective first; all, or as many as asked for."""
+    return _first(cnae, rows, "perspective", F.desc("total_boletos"), "cd_cnae")
 
-def first_payers(payers: DataFrame) -> DataFrame:
-    """The riskiest payers, as many as the dashboard lists."""
-    return payers.orderBy(
-        F.desc_nulls_last("avg_risk_score"), F.desc("total_value"), "id_pagador"
-    ).limit(ROW_LIMITS["payers"])
 
+def first_payers(payers: DataFrame, rows: int | None = None) -> DataFrame:
+    """Payers, the riskiest first; all, or as many as asked for."""
+    return _first(payers, rows, F.desc_nulls_last("avg_risk_score"), F.desc("total_value"), "id_pagador")
 
-def top_importance(importance: DataFrame, per_model: bool = False) -> DataFrame:
-    """The most important inputs over all models together, or of each model.
+
+def top_importance(importance: DataFrame, rows: int | None = None, per_model: bool = False) -> DataFrame:
+    """Inputs by importance, over all models together or of each model; all, or the first ``rows``.
 
     Importances of different kinds of models have different scales, so the common list
     favours one kind; it is what the dashboard shows.
     """
     order = [F.desc("importance"), F.col("model"), F.col("feature")]
-    if not per_model:
-        return importance.orderBy(*order).limit(ROW_LIMITS["feature_importance"])
+    if not per_model or rows is None:
+        return _first(importance, rows, *order)
     rank = F.row_number().over(Window.partitionBy("model").orderBy(*order))
-    kept = importance.withColumn("_rank", rank).where(
-        F.col("_rank") <= ROW_LIMITS["feature_importance"]
-    )
+    kept = importance.withColumn("_rank", rank).where(F.col("_rank") <= rows)
     return kept.drop("_rank").orderBy("model", F.desc("importance"))

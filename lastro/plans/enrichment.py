@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from lastro import contracts
 from lastro import fixed_values as fv
 from lastro.contracts import Role
-from lastro.operators.joins import left_join_many_to_one, require_unique
+from lastro.operators.joins import (
+    MIN_HOT_ROWS, SMALL_BYTES, is_small, key_counts, left_join_many_to_one, require_unique,
+)
 
 
 def company_profile(auxiliary: DataFrame, role: Role) -> DataFrame:
@@ -20,23 +22,40 @@ def company_profile(auxiliary: DataFrame, role: Role) -> DataFrame:
 
 
 def enrich_role(
-    payments: DataFrame, auxiliary: DataFrame, role: Role, validate: bool = True
+    payments: DataFrame, auxiliary: DataFrame, role: Role, validate: bool = True,
+    counts: DataFrame | None = None, min_hot_rows: int = MIN_HOT_ROWS, small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Left many-to-one join; ``validate=False`` when the key is unique by construction."""
     if validate:
         require_unique(auxiliary, contracts.COMPANY_KEY)
     profile = company_profile(auxiliary, role)
-    joined = left_join_many_to_one(payments, profile, role.key, row_id="id_boleto")
+    joined = left_join_many_to_one(
+        payments, profile, role.key, row_id="id_boleto", counts=counts,
+        min_hot_rows=min_hot_rows, small_bytes=small_bytes,
+    )
     return joined.select(*payments.columns, *[c for c in profile.columns if c != role.key])
 
 
-def enrich(payments: DataFrame, auxiliary: DataFrame, validate: bool = True) -> DataFrame:
-    """Payer and beneficiary attributes on every receivable."""
+def enrich(
+    payments: DataFrame, auxiliary: DataFrame, validate: bool = True,
+    min_hot_rows: int = MIN_HOT_ROWS, small_bytes: int = SMALL_BYTES,
+) -> DataFrame:
+    """Payer and beneficiary attributes on every receivable.
+
+    When the company table is not small, the keys of both roles are counted before the first join, in one
+    pass over the two key columns.
+    """
     if validate:
         require_unique(auxiliary, contracts.COMPANY_KEY)
+    counts = {}
+    if not all(is_small(company_profile(auxiliary, role), small_bytes) for role in contracts.ROLES):
+        counts = key_counts(payments, [role.key for role in contracts.ROLES])
     df = payments
     for role in contracts.ROLES:
-        df = enrich_role(df, auxiliary, role, validate=False)
+        df = enrich_role(
+            df, auxiliary, role, validate=False, counts=counts.get(role.key),
+            min_hot_rows=min_hot_rows, small_bytes=small_bytes,
+        )
     return df
 
 

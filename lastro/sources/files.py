@@ -14,7 +14,9 @@ from lastro import fixed_values as fv
 from lastro.functions.literals import in_list, name
 
 # The date layouts accepted in the files.
-DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "dd/MM/yyyy")
+DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy")
+# A decimal number; a cast alone would also take Java's type suffixes, as in 10D.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 INGEST_ORDER = "_ingest_seq"
 
@@ -35,26 +37,38 @@ def parse_date(column: Column) -> Column:
     return F.coalesce(*parsed).cast("date")
 
 
+def parse_number(column: Column) -> Column:
+    text = column.cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
 def coerce_types(
     df: DataFrame, dates: Sequence[str] = (), numbers: Sequence[str] = ()
 ) -> DataFrame:
     """Bad dates and numbers become null; columns that are absent are skipped."""
     present = set(df.columns)
     typed = {c: parse_date(F.col(c)) for c in dates if c in present}
-    typed |= {c: F.col(c).try_cast("double") for c in numbers if c in present}
+    typed |= {c: parse_number(F.col(c)) for c in numbers if c in present}
     return df.withColumns(typed) if typed else df
 
 
-def read_csv(spark: SparkSession, path: str, with_order: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, with_order: bool = False, multi_line: bool = True
+) -> DataFrame:
     """Header CSV as text columns.  Columns outside the contract are kept.
 
+    Quotes in a field are doubled.  A field may hold line breaks; where the files are known to have
+    none, ``multi_line=False`` lets Spark split large ones.  A file whose header differs from the first
+    one's, in names or their order, is an error.
+
     The header is read once to name the columns, so there is no inference pass over the
     data.  ``with_order`` adds the position of each row as (file, offset of the split,
     row within the task), the order in which a single reader would meet the rows.
     """
-    names = spark.read.option("header", True).csv(path).columns
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    raw = spark.read.schema(schema).options(**options, mode="PERMISSIVE", enforceSchema=False).csv(path)
     if with_order:
         position = F.struct(
             F.col("_metadata.file_path").alias("file"),

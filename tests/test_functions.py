@@ -2,6 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from lastro.functions import dates, measures, risk, text
 from lastro.plans import scoring
 from lastro.plans.features import add_label, add_temporal_features
@@ -124,4 +126,25 @@ def test_feature_label(spark):
 
 def test_short_ids(spark):
     assert values(spark, ["abcdefghijklmnop", None], text.compact_id, "string") == ["abcdefghijkl", None]
-    assert values(spark, ["abcdefghijklmnop", None], text.short_id, "string") == ["abcdefgh", ""]
+
+
+def test_numbers_and_month_first_dates(spark):
+    df = spark.createDataFrame(
+        [("10D", "03/04/2024"), (" 1.5e3 ", "2024-03-04"), ("0x1F", "13/13/2024"), ("-.5", None), ("1,000", "x")],
+        "n string, d string",
+    )
+    rows = files.coerce_types(df, ["d"], ["n"]).collect()
+    assert [r.n for r in rows] == [None, 1500.0, None, -0.5, None]
+    assert [r.d and r.d.isoformat() for r in rows] == ["2024-03-04", "2024-03-04", None, None, None]
+
+
+def test_csv_as_other_tools_write_it(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v\n1,"say ""hi"", ok"\n2,"two\nlines"\n3,plain\n')
+    rows = files.read_csv(spark, str(tmp_path / "a.csv")).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [("1", 'say "hi", ok'), ("2", "two\nlines"), ("3", "plain")]
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,v\n1,x\n")
+    (folder / "b.csv").write_text("v,id\nx,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, str(folder)).collect()

@@ -29,7 +29,7 @@ def test_feature_table_equals_the_steps_one_by_one(book, monkeypatch):
     expected = canonical(step)
     assert canonical(built) == expected
 
-    monkeypatch.setattr(joins, "is_small", lambda _: False)
+    monkeypatch.setattr(joins, "is_small", lambda *_: False)
     salted = features.build_features(payments, book.auxiliary, as_of, min_hot_rows=20)
     assert canonical(salted) == expected
 
