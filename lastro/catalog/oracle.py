@@ -1,7 +1,8 @@
 """The same results in plain SQL, for checking on a second engine.
 
 Named intermediate tables are put in front of each statement as needed.  The SQL follows
-the definitions row by row and shares nothing with the Spark plans but the input views.
+the definitions row by row.  It shares the input views with the Spark plans, and the fixed values of the contracts:
+column lists, allowed labels, lookup tables and null-rate thresholds.
 """
 
 from __future__ import annotations
