@@ -1,16 +1,18 @@
-"""Katz backoff bigram model: Good-Turing discounts, exactly normalised backoff weights, scores of whole texts.
+"""Katz backoff model of n-grams: Good-Turing discounts, exactly normalised backoff weights, scores of whole texts.
 
     P(w)       = d1(c) / N                for words seen in training, c = c(w)
     P(unknown) = what the discounts leave
-    P(w | h)   = d2(c) / c(h)             for a seen bigram, c = c(h w)
-    P(w | h)   = a(h) P(w)                for an unseen one, and P(w) where h was never seen
-    a(h)       = (1 - sum of seen P(w | h)) / (1 - sum of P(w) over the same w)
+    Pk(w | h)  = dk(c) / c(h)             for a seen k-gram, c = c(h w)
+    Pk(w | h)  = a(h) Pk-1(w | h')        for an unseen one, h' is h without its first word; Pk-1(w | h') where h was never seen
+    a(h)       = (1 - sum of seen Pk(w | h)) / (1 - sum of Pk-1(w | h') over the same w)
 
-Words and bigrams are known by 64-bit hashes.  Texts are read once into blocks of about ``BLOCK_TOKENS`` tokens, each a
-row of a table in the shared folder.  The blocks send their distinct words and bigrams with their training counts,
+A seen k-gram has a seen end, so both sums of a(h) need counts only, and all orders are evaluated at once.
+
+N-grams are known by 64-bit hashes.  Texts are read once into blocks of about ``BLOCK_TOKENS`` tokens, each a
+row of a table in the shared folder.  The blocks send their distinct n-grams of each order with their training counts,
 cut by hash into buckets; a bucket sums what the blocks sent and answers each block with the totals.  A frequent
-bigram is one number per block, whatever its frequency, so no bucket is hot.  One of the blocks that hold a bigram is
-its owner and adds it to the sums of its history, so every bigram enters a(h) once.  All that is sent is packed into
+n-gram is one number per block, whatever its frequency, so no bucket is hot.  One of the blocks that hold an n-gram is
+its owner and adds it to the sums of its history, so every n-gram enters a(h) once.  All that is sent is packed into
 as few bytes as the numbers need.
 """
 
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -152,19 +155,21 @@ class _Block:
             np.repeat(np.array(row["train"], bool), lengths),
         )
 
-    def second(self) -> np.ndarray:
-        """Tokens with another one before them in their text: the second ones of bigrams."""
-        return np.setdiff1d(np.arange(len(self.numbers)), np.cumsum(self.lengths) - self.lengths, assume_unique=True)
-
-    def grams(self, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted keys of the distinct words or bigrams, the tokens at which they end and their number there."""
-        if order == 1:
-            return self.words, np.arange(len(self.numbers)), self.numbers
-        at = self.second()
-        keys, numbers = np.unique(
-            _mix(self.words[self.numbers[at - 1]] * _ODD + self.words[self.numbers[at]]), return_inverse=True
-        )
-        return keys, at, numbers
+    def grams(self, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each order: sorted keys of the distinct n-grams, and at each token the number of the one that ends
+        there, -1 where its text has too few tokens."""
+        place = np.arange(len(self.numbers)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        found = [(self.words, self.numbers)]
+        for n in range(2, order + 1):
+            keys, numbers = found[-1]
+            at = np.flatnonzero(place >= n - 1)
+            distinct, number = np.unique(
+                _mix(keys[numbers[at - 1]] * _ODD + self.words[self.numbers[at]]), return_inverse=True
+            )
+            longer = np.full(len(numbers), -1, np.int32)
+            longer[at] = number
+            found.append((distinct, longer))
+        return found
 
 
 def _cut(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -178,15 +183,15 @@ def _some(ends: np.ndarray) -> list[int]:
 
 
 def _send(order: int, buckets: int):
-    """Blocks -> per bucket: the block's distinct words or bigrams and their training counts."""
+    """Blocks -> per bucket: the block's distinct n-grams and their training counts."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 block = _Block.read(row)
-                keys, at, numbers = block.grams(order)
-                counts = np.bincount(numbers[block.train[at]], minlength=len(keys))
+                keys, numbers = block.grams(order)[-1]
+                counts = np.bincount(numbers[block.train & (numbers >= 0)], minlength=len(keys))
                 ends = _cut(keys, buckets)
                 some = _some(ends)
                 yield pa.record_batch({
@@ -234,14 +239,12 @@ def _exchange(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
     return stored(answers, f"katz-{order}")
 
 
-def _gathered(blocks: DataFrame, answers: dict[str, DataFrame]) -> DataFrame:
+def _gathered(blocks: DataFrame, answers: DataFrame) -> DataFrame:
     """The blocks with all answers to them, by kind and in order of their buckets."""
-    parts = [x.select("block", F.lit(kind).alias("kind"), "bucket", "answer") for kind, x in answers.items()]
-    rows = parts[0]
-    for more in parts[1:]:
-        rows = rows.unionByName(more)
-    lists = rows.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("kind", "bucket", "answer"))).alias("answers"))
-    return blocks.join(lists.withColumnRenamed("block", "block_"), F.col("block") == F.col("block_"), "left").drop("block_")
+    lists = answers.groupBy(F.col("block").alias("block_")).agg(
+        F.sort_array(F.collect_list(F.struct("kind", "bucket", "answer"))).alias("answers")
+    )
+    return blocks.join(lists, F.col("block") == F.col("block_"), "left").drop("block_")
 
 
 def _answers(row: dict, kind: str) -> list[bytes]:
@@ -257,33 +260,33 @@ def _totals(row: dict, order: int) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class _Model:
-    """What every task needs to know: a few numbers."""
+    """What every task needs to know: a few numbers for each order."""
 
+    order: int
+    tables: list[np.ndarray]
     tokens: int = 0
     distinct: int = 0
-    words: np.ndarray | None = None
-    bigrams: np.ndarray | None = None
     unknown: float = 1.0
 
-    @staticmethod
-    def discounted(table: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def discounted(self, order: int, counts: np.ndarray) -> np.ndarray:
+        table = self.tables[order - 1]
         return np.where(counts > DISCOUNTED, counts - LARGE, table[np.minimum(counts, DISCOUNTED).astype(np.int64)])
 
     def unigrams(self, counts: np.ndarray) -> np.ndarray:
-        return np.where(counts > 0, self.discounted(self.words, counts) / max(self.tokens, 1), self.unknown)
+        return np.where(counts > 0, self.discounted(1, counts) / max(self.tokens, 1), self.unknown)
 
 
 _EVALUATED = (
-    "block bigint, bucket int, keys binary, freed binary, lower binary, wanted binary, ids array<{id}>, "
+    "block bigint, longer int, bucket int, keys binary, freed binary, lower binary, wanted binary, ids array<{id}>, "
     "held_out array<boolean>, n_tokens array<int>, n_known array<int>, base array<double>, partial array<double>, "
-    "text binary, weight binary"
+    "text array<binary>, weight array<binary>"
 )
 
 
-def _evaluate(model: _Model, buckets: int, shape: pa.Schema):
+def _evaluate(model: _Model, buckets: dict[int, int], shape: pa.Schema):
     """Blocks with their totals -> one row with the scores of the block's texts but for backoff weights, and one
-    row per bucket of histories: what the block's own bigrams freed and their lower probabilities, and the
-    histories whose weight the block wants."""
+    row per order and bucket of histories: what the block's own n-grams freed and their lower probabilities, and the
+    histories whose weight the block wants.  ``buckets``: by the order of the n-grams that follow the histories."""
 
     def evaluate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,48 +296,58 @@ def _evaluate(model: _Model, buckets: int, shape: pa.Schema):
     return evaluate
 
 
-def _evaluated(model: _Model, buckets: int, rows: pa.RecordBatch, shape: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _evaluated(model: _Model, buckets: dict[int, int], rows: pa.RecordBatch, shape: pa.Schema) -> Iterator[pa.RecordBatch]:
     row = rows.drop_columns(["ids"]).to_pylist()[0]
-    block, (counts, _), (grams, owned) = _Block.read(row), _totals(row, 1), _totals(row, 2)
-    lower = model.unigrams(counts)
-    logs = np.log10(lower)[block.numbers]
-    keys, at, numbers = block.grams(2)
-    history, word = block.numbers[at - 1], block.numbers[at]
-    c, seen = grams[numbers], counts[history]
-    there = c > 0
-    logs[at[there]] = np.log10(_Model.discounted(model.bigrams, c[there]) / seen[there])
-    # Unseen after a seen history: log a(h) is added later, without its division by c(h).
-    backed = ~there & (seen > 0)
-    logs[at[backed]] -= np.log10(seen[backed])
+    block, totals = _Block.read(row), [_totals(row, n) for n in range(1, model.order + 1)]
+    grams = block.grams(model.order)
+    counts = totals[0][0]
+    unigrams = model.unigrams(counts)
+    logs = np.log10(unigrams)[block.numbers]
     starts = np.cumsum(block.lengths) - block.lengths
-    texts = np.repeat(np.arange(len(starts)), block.lengths)[at[backed]]
-    wanted, weight = np.unique(history[backed], return_inverse=True)
+    of_text = np.repeat(np.arange(len(starts)), block.lengths)
+    texts, weights = [], []
+    for n in range(2, model.order + 1):
+        (keys, histories), (_, numbers) = grams[n - 2], grams[n - 1]
+        (before, _), (followed, owned) = totals[n - 2], totals[n - 1]
+        at = np.flatnonzero(numbers >= 0)
+        history, c = histories[at - 1], followed[numbers[at]]
+        seen, there = before[history], c > 0
+        logs[at[there]] = np.log10(model.discounted(n, c[there]) / seen[there])
+        # Unseen after a seen history: log a(h) is added later, without its division by c(h).
+        backed = ~there & (seen > 0)
+        logs[at[backed]] -= np.log10(seen[backed])
+        wanted, weight = np.unique(history[backed], return_inverse=True)
+        texts.append(_packed(of_text[at[backed]]))
+        weights.append(_packed(weight))
+        # One token of each distinct n-gram that the block owns stands for it.
+        first = np.unique(numbers[at], return_index=True)[1]
+        first = first[owned[numbers[at[first]]]]
+        own, ends_at = history[first], at[first]
+        if n == 2:
+            lower = unigrams[block.numbers[ends_at]]
+        else:
+            lower = model.discounted(n - 1, before[histories[ends_at]]) / totals[n - 3][0][grams[n - 3][1][ends_at - 1]]
+        freed = np.bincount(own, weights=c[first] - model.discounted(n, c[first]), minlength=len(keys))
+        below = np.bincount(own, weights=lower, minlength=len(keys))
+        some = np.flatnonzero(np.bincount(own, minlength=len(keys)))
+        ends, ends_wanted = _cut(keys[some], buckets[n]), _cut(keys[wanted], buckets[n])
+        used = sorted({*_some(ends), *_some(ends_wanted)})
+        yield _shaped({
+            "block": [row["block"]] * len(used), "longer": [n] * len(used), "bucket": used,
+            "keys": [_packed_keys(keys[some[ends[b] : ends[b + 1]]]) for b in used],
+            "freed": [_packed_floats(freed[some[ends[b] : ends[b + 1]]]) for b in used],
+            "lower": [_packed_floats(below[some[ends[b] : ends[b + 1]]]) for b in used],
+            "wanted": [_packed_keys(keys[wanted[ends_wanted[b] : ends_wanted[b + 1]]]) for b in used],
+        }, len(used), shape)
     known = counts[block.numbers]
     base = np.log10((known + 0.5) / (model.tokens + 0.5 * (model.distinct + 1)))
     listed = lambda x: pa.array([x.tolist()])
-    whole = {
+    yield _shaped({
         "block": [row["block"]], "bucket": [-1], "ids": rows.column("ids"), "held_out": listed(~np.array(row["train"], bool)),
         "n_tokens": listed(block.lengths), "n_known": listed(np.add.reduceat((known > 0).astype(np.int64), starts)),
         "base": listed(np.add.reduceat(base, starts)), "partial": listed(np.add.reduceat(logs, starts)),
-        "text": [_packed(texts)], "weight": [_packed(weight)],
-    }
-    yield _shaped(whole, 1, shape)
-    # One token of each distinct bigram that the block owns stands for it.
-    first = np.unique(numbers, return_index=True)[1]
-    first = first[owned[numbers[first]]]
-    own = history[first]
-    freed = np.bincount(own, weights=c[first] - _Model.discounted(model.bigrams, c[first]), minlength=len(block.words))
-    below = np.bincount(own, weights=lower[word[first]], minlength=len(block.words))
-    some = np.flatnonzero(np.bincount(own, minlength=len(block.words)))
-    ends, ends_wanted = _cut(block.words[some], buckets), _cut(block.words[wanted], buckets)
-    used = sorted({*_some(ends), *_some(ends_wanted)})
-    yield _shaped({
-        "block": [row["block"]] * len(used), "bucket": used,
-        "keys": [_packed_keys(block.words[some[ends[b] : ends[b + 1]]]) for b in used],
-        "freed": [_packed_floats(freed[some[ends[b] : ends[b + 1]]]) for b in used],
-        "lower": [_packed_floats(below[some[ends[b] : ends[b + 1]]]) for b in used],
-        "wanted": [_packed_keys(block.words[wanted[ends_wanted[b] : ends_wanted[b + 1]]]) for b in used],
-    }, len(used), shape)
+        "text": [texts], "weight": [weights],
+    }, 1, shape)
 
 
 def _shaped(columns: dict, rows: int, shape: pa.Schema) -> pa.RecordBatch:
@@ -355,9 +368,11 @@ def _backoff(table: pa.Table) -> pa.Table:
         for c in ("freed", "lower")
     )
     logs = np.log10(freed / np.maximum(1 - lower, 1e-12))
-    # A wanted history was seen in training, so some block owns one of its bigrams.
+    # A wanted history was seen in training, so some block owns one of its n-grams.
     answers = [_packed_floats(logs[np.searchsorted(distinct, _unpacked_keys(x.as_py()))]) for x in table["wanted"]]
-    return pa.table({"bucket": table["bucket"], "block": table["block"], "answer": pa.array(answers, pa.binary())})
+    return pa.table({
+        "longer": table["longer"], "bucket": table["bucket"], "block": table["block"], "answer": pa.array(answers, pa.binary()),
+    })
 
 
 def _score(model: _Model):
@@ -366,11 +381,13 @@ def _score(model: _Model):
             for i in range(batch.num_rows):
                 rows = batch.slice(i, 1)
                 row = rows.drop_columns(["ids"]).to_pylist()[0]
-                weights = [_unpacked_floats(x) for x in _answers(row, "weight")]
-                weights = np.concatenate(weights) if weights else np.zeros(0)
                 n = len(row["partial"])
-                texts, wanted = _unpacked(row["text"]).astype(np.int64), _unpacked(row["weight"]).astype(np.int64)
-                added = np.bincount(texts, weights=weights[wanted], minlength=n) if len(texts) else np.zeros(n)
+                added = np.zeros(n)
+                for order, (text, weight) in enumerate(zip(row["text"], row["weight"]), 2):
+                    weights = [_unpacked_floats(x) for x in _answers(row, f"weight{order}")]
+                    if weights:
+                        found = np.concatenate(weights)[_unpacked(weight).astype(np.int64)]
+                        added += np.bincount(_unpacked(text).astype(np.int64), weights=found, minlength=n)
                 yield pa.record_batch({
                     "id": rows.column("ids").flatten(),
                     "held_out": pa.array(row["held_out"], pa.bool_()),
@@ -384,10 +401,12 @@ def _score(model: _Model):
     return score
 
 
-def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def score(
+    docs: DataFrame, train: Column, id_column: str = "doc_id", text_column: str = "text", order: int = 2
+) -> DataFrame:
     """One row per input row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    The model learns from the rows for which ``train`` is true.  Tokens are words with A-Z in lower case and one
+    The model learns the n-grams of up to ``order`` tokens of the rows for which ``train`` is true.  Tokens are words with A-Z in lower case and one
     end per text.  A null or empty text is its end alone.  Without training text all tokens are unknown, and base
     and model both give log10(1).  Null ids and repeated rows are scored like others; an empty table gives
     no rows.  Other columns are ignored.
@@ -401,36 +420,36 @@ def score(docs: DataFrame, train: Column, id_column: str = "doc_id", text_column
         texts.mapInArrow(_blocks, layout).withColumn("block", F.monotonically_increasing_id()), "katz-blocks"
     )
     size = blocks.agg(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)")), F.sum("distinct")).first()
-    keys, model, answers = {1: int(size[1] or 0), 2: int(size[0] or 0)}, _Model(), {}
-    for n in (1, 2):
-        counted = _exchange(blocks, n, keys[n] // BUCKET_KEYS + 1)
+    tokens, model, counts = int(size[0] or 0), _Model(order, []), []
+    buckets = {n: (int(size[1] or 0) if n == 1 else tokens) // BUCKET_KEYS + 1 for n in range(1, order + 1)}
+    for n in range(1, order + 1):
+        counted = _exchange(blocks, n, buckets[n])
         figures = counted.where("of_counts IS NOT NULL").agg(
             F.sum("distinct"), F.sum("total"), *[F.sum(F.col("of_counts")[r]) for r in range(DISCOUNTED + 2)]
         ).first()
         of_counts = {r: int(figures[2 + r] or 0) for r in range(DISCOUNTED + 2)}
         table = discounts(of_counts)
+        model.tables.append(table)
         if n == 1:
-            model.distinct, model.tokens, model.words = int(figures[0] or 0), int(figures[1] or 0), table
+            model.distinct, model.tokens = int(figures[0] or 0), int(figures[1] or 0)
             large = model.distinct - sum(of_counts[r] for r in range(1, DISCOUNTED + 1))
             left = sum((r - table[r]) * of_counts[r] for r in range(1, DISCOUNTED + 1)) + LARGE * large
             model.unknown = float(left / model.tokens) if model.tokens else 1.0
-        else:
-            model.bigrams = table
-        answers[f"count{n}"] = counted
+        counts.append(counted.select("block", F.lit(f"count{n}").alias("kind"), "bucket", "answer"))
     shape = _EVALUATED.format(id=id_type)
     arrow = to_arrow_schema(StructType.fromDDL(shape))
-    buckets = keys[1] // BUCKET_KEYS + 1
     evaluated = stored(
-        _gathered(blocks, answers).select("block", "ids", "lengths", "train", "words", "numbers", "answers").mapInArrow(
-            _evaluate(model, buckets, arrow), shape
-        ), "katz-evaluated",
+        _gathered(blocks, reduce(DataFrame.unionByName, counts)).select(
+            "block", "ids", "lengths", "train", "words", "numbers", "answers"
+        ).mapInArrow(_evaluate(model, {n: buckets[n - 1] for n in range(2, order + 1)}, arrow), shape), "katz-evaluated",
     )
-    weights = evaluated.where("bucket >= 0").select("bucket", "block", "keys", "freed", "lower", "wanted")
-    weights = weights.groupBy("bucket").applyInArrow(_backoff, "bucket int, block bigint, answer binary")
+    weights = evaluated.where("bucket >= 0").select("longer", "bucket", "block", "keys", "freed", "lower", "wanted")
+    weights = weights.groupBy("longer", "bucket").applyInArrow(_backoff, "longer int, bucket int, block bigint, answer binary")
+    weights = weights.select("block", F.concat(F.lit("weight"), "longer").alias("kind"), "bucket", "answer")
     whole = evaluated.where("bucket < 0").select(
         "block", "ids", "held_out", "n_tokens", "n_known", "base", "partial", "text", "weight"
     )
-    scored = _gathered(whole, {"weight": weights}).mapInArrow(
+    scored = _gathered(whole, weights).mapInArrow(
         _score(model),
         f"id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )

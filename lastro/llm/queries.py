@@ -81,7 +81,7 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_katz(spark: SparkSession, folder: str) -> DataFrame:
     train = _fold("doc_id") != 1
-    return katz.score(table(spark, folder, "documents"), train)
+    return katz.score(table(spark, folder, "documents"), train, order=3)
 
 
 @query

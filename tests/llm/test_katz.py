@@ -63,6 +63,67 @@ def test_scores_equal_brute_force(spark, folder, keys, tokens, monkeypatch):
         assert sum(p(history, w) for w in [*counts, "never seen"]) == pytest.approx(1)
 
 
+def brute_of_order(texts, train, order):
+    """The same for n-grams of any length."""
+    grams = [collections.Counter() for _ in range(order + 1)]
+    follow = [collections.defaultdict(dict) for _ in range(order + 1)]
+    for words, learned in zip(texts, train):
+        for n in range(1, order + 1):
+            for at in range(n - 1, len(words) if learned else 0):
+                grams[n][tuple(words[at - n + 1 : at + 1])] += 1
+    for n in range(2, order + 1):
+        for gram, c in grams[n].items():
+            follow[n][gram[:-1]][gram[-1]] = c
+    tables = [None] + [katz.discounts(collections.Counter(grams[n].values())) for n in range(1, order + 1)]
+    d = lambda n, c: tables[n][c] if c <= katz.DISCOUNTED else c - katz.LARGE
+    total = sum(grams[1].values())
+    unknown = sum(c - d(1, c) for c in grams[1].values()) / total
+    weights = {}
+
+    def weight(h):
+        if h not in weights:
+            n, seen = len(h) + 1, follow[len(h) + 1][h]
+            high = sum(d(n, c) for c in seen.values()) / sum(seen.values())
+            weights[h] = (1 - high) / (1 - sum(p((*h[1:], w)) for w in seen))
+        return weights[h]
+
+    def p(gram):
+        n, h = len(gram), gram[:-1]
+        if n == 1:
+            return d(1, grams[1][gram]) / total if grams[1][gram] else unknown
+        seen = follow[n].get(h)
+        if not seen:
+            return p(gram[1:])
+        return d(n, seen[gram[-1]]) / sum(seen.values()) if gram[-1] in seen else weight(h) * p(gram[1:])
+
+    scores = [sum(math.log10(p(tuple(w[max(0, i - order + 1) : i + 1]))) for i in range(len(w))) for w in texts]
+    return scores, p, grams
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_scores_of_any_order_equal_brute_force(spark, folder, order, monkeypatch):
+    monkeypatch.setattr(katz, "BUCKET_KEYS", 4000)
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 3000)
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(60).collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.score for r in katz.score(docs, F.col("doc_id") % 4 != 1, order=order).collect()}
+    texts, train = [words_of(r.text) for r in rows], [r.doc_id % 4 != 1 for r in rows]
+    scores, p, grams = brute_of_order(texts, train, order)
+    assert [found[r.doc_id] for r in rows] == pytest.approx(scores, rel=1e-9)
+    vocabulary = [*grams[1], ("never seen",)]
+    for history in [g for g, _ in grams[order - 1].most_common(3) if g[-1] is not None] if order > 1 else [()]:
+        assert sum(p((*history, *w)) for w in vocabulary) == pytest.approx(1)
+
+
+def test_query_scores_trigrams(spark, folder):
+    from lastro.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    texts, train = [words_of(r.text) for r in docs], [zlib.crc32(str(r.doc_id).encode()) % 5 != 1 for r in docs]
+    found = {r.doc_id: r.score for r in QUERIES["op7_katz"](spark, folder).collect()}
+    assert [found[r.doc_id] for r in docs] == pytest.approx(brute_of_order(texts, train, 3)[0], rel=1e-9)
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame(
         [(1, None, 1), (None, "a b a b", 2), (2, "", 3), (3, "A b " * 30000, 4), (3, "A b " * 30000, 4)],
