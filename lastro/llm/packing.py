@@ -9,6 +9,7 @@ the pieces of its length.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections import defaultdict
@@ -75,9 +76,38 @@ class Encoder:
         return ids
 
 
+@cache
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings that the vocabulary file maps to one id each wherever a text holds them."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token with conditions on its surroundings: {token}")
+    return {token["content"]: token["id"] for token in added if token["content"]}
+
+
+class Tokenizer:
+    """Ids of a text as ``tokenizers`` gives them by default without adding any: the first and longest added tokens
+    in it are ids of their own, and the stretches between them are encoded each by itself."""
+
+    def __init__(self, path: str) -> None:
+        self.encode, self.added = Encoder(path), added_tokens(path)
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.pattern = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
+
+    def __call__(self, text: str) -> list[int]:
+        if self.pattern is None or self.pattern.search(text) is None:
+            return self.encode(text)
+        ids: list[int] = []
+        for i, part in enumerate(self.pattern.split(text)):
+            ids += [self.added[part]] if i % 2 else self.encode(part)
+        return ids
+
+
 def _pieces(path: str, max_len: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = Tokenizer(path)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for at in range(0, batch.num_rows, 256):
@@ -146,6 +176,7 @@ def pack(
 
     A null or empty text is the end id alone.  Longer documents are cut every ``max_len`` ids.  Null ids and
     repeated rows are packed like any others; an empty table gives no rows.  Other columns are ignored.
+    Added tokens of the vocabulary, such as ``<|endoftext|>``, are ids of their own where a text holds their strings.
     ``path`` is the vocabulary file, on every executor; a rank file of the same name lies beside it.
     """
     spark, id_type = docs.sparkSession, docs.schema[id_column].dataType.simpleString()

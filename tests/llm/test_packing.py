@@ -37,6 +37,23 @@ def test_encoder_gives_the_ids_of_the_tokenizer(text):
     assert packing.Encoder(PATH)(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "The", " ", "  ", "\n", "é", "!!", "<|endoftext|>", "<|", "|>", "endoftext"]), max_size=20).map("".join))
+def test_added_tokens_as_the_tokenizer_maps_them_by_default(text):
+    from tokenizers import Tokenizer
+
+    if not hasattr(packing, "_default_tokenizer"):
+        packing._default_tokenizer = Tokenizer.from_file(PATH)
+    assert packing.Tokenizer(PATH)(text) == packing._default_tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packed_ids_of_a_text_with_an_added_token(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    (row,) = packing.pack(docs).collect()
+    ids = np.array([64, 220, 50256, 275, 1], "<u4")
+    assert (row.doc_tokens, row.length, row.ids_crc32) == (5, 5, zlib.crc32(ids.tobytes()))
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=64))
 def test_patterns_hold_every_length_once(histogram):
