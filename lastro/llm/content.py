@@ -264,32 +264,57 @@ def best_run(page: Page, weights: dict[str, float]) -> tuple[int, int] | None:
     return best_run_
 
 
+def _outermost(page: Page, element: int, name: str) -> int:
+    return next((a for a in _ancestors(page, element) if page.elements[a].tag == name), -1)
+
+
+def _holder(page: Page, element: int) -> int:
+    """The innermost element around a place that is more than a block of text, -1 for the page itself."""
+    while element >= 0 and (page.elements[element].tag in TEXT_BLOCKS or page.elements[element].tag in INLINE):
+        element = page.elements[element].parent
+    return -1 if element < 0 or page.elements[element].tag in ("body", "html") else element
+
+
+def _completed(page: Page, first: int, last: int, marked: list[int]) -> tuple[int, int]:
+    """The run with the elements in which it begins and ends: marked ones, or the innermost that hold its blocks.
+
+    Words of the page itself, in no element of their own, are left off where the run has them beyond all marked ones.
+    """
+    loose = lambda b: page.elements[page.blocks[b][0]].tag in ("body", "html")
+    while marked[first] < 0 and loose(first):
+        first += 1
+    while marked[last] < 0 and loose(last):
+        last -= 1
+    text = lambda b: page.elements[page.blocks[b][0]].tag in TEXT_BLOCKS and marked[b] < 0
+    ends = []
+    for at, step in ((first, -1), (last, 1)):
+        edge = marked[at] if marked[at] >= 0 else _holder(page, page.blocks[at][0])
+        inside = (lambda b: edge in _ancestors(page, page.blocks[b][0])) if edge >= 0 else text  # noqa: B023
+        while 0 <= at + step < len(page.blocks) and inside(at + step):
+            at += step
+        ends.append(at)
+    return ends[0], ends[1]
+
+
 def extract(source: str, weights: dict[str, float]) -> str:
-    """Blocks of the article, two line ends between them."""
+    """Blocks of the article, two line ends between them.
+
+    The run with the largest sum sets the bounds; elements complete it at both ends.
+    """
     page = parse(source)
     run = best_run(page, weights)
     if run is None:
         return ""
     first, last = run
+    for name in ("article", "main"):
+        marked = [_outermost(page, e, name) for e, _ in page.blocks]
+        if any(m >= 0 for m in marked[first : last + 1]):
+            first, last = _completed(page, first, last, marked)
+            return "\n\n".join(t for _, t in page.blocks[first : last + 1])
     paths = [_ancestors(page, page.blocks[b][0]) for b in range(first, last + 1)]
     common = [a for a, *others in zip(*paths) if all(o == a for o in others)]
-    holder = common[-1] if common else -1
-    # Where a good part of the run lies in one marked element, that is the article, even if the run goes beyond it.
-    shares: Counter = Counter()
-    for b in range(first, last + 1):
-        shares[_inside(page, page.blocks[b][0], ("article",))] += len(page.blocks[b][1])
-    if -1 in shares and len(shares) == 1:
-        shares = Counter()
-        for b in range(first, last + 1):
-            shares[_inside(page, page.blocks[b][0], ("main",))] += len(page.blocks[b][1])
-    marked, size = max(shares.items(), key=lambda x: (x[0] >= 0, x[1]))
-    if marked >= 0 and 4 * size > sum(shares.values()):
-        outer = _inside(page, page.elements[marked].parent, ("article",))
-        holder = outer if outer >= 0 else marked
-    else:
-        while holder >= 0 and (page.elements[holder].tag in TEXT_BLOCKS or page.elements[holder].tag in INLINE):
-            holder = page.elements[holder].parent
-    if holder >= 0 and page.elements[holder].tag not in ("body", "html"):
+    holder = _holder(page, common[-1] if common else -1)
+    if holder >= 0:
         chosen = [t for e, t in page.blocks if holder in _ancestors(page, e)]
     else:
         text = lambda b: page.elements[page.blocks[b][0]].tag in TEXT_BLOCKS

@@ -36,6 +36,25 @@ def test_article_without_its_surroundings(page):
     assert text_of(page) == f"Title\n\n{ONE}\n\n{TWO}"
 
 
+FOUR, FIVE = paragraphs("Fourth", "Fifth")
+
+
+@pytest.mark.parametrize("page, names", [
+    # A story in a div beside a teaser that holds two fifths of the run, before and after it.
+    (f"<div class=story><p>{ONE}<p>{TWO}<p>{FIVE}</div><article><p>{THREE}<p>{FOUR}</article>", (ONE, TWO, FIVE, THREE, FOUR)),
+    (f"<article><p>{THREE}<p>{FOUR}</article><div class=story><h2>Title</h2><p>{ONE}<p>{TWO}<p>{FIVE}</div>", (THREE, FOUR, "Title", ONE, TWO, FIVE)),
+    # Sibling articles, alone, in one element, and with paragraphs between them.
+    (f"<article><h1>Title</h1><p>{ONE}</article><article><p>{TWO}</article><article><p>{THREE}</article>", ("Title", ONE, TWO, THREE)),
+    (f"<main><article><p>{ONE}</article><article><p>{TWO}<p>{THREE}</article></main><footer>{FOUR}</footer>", (ONE, TWO, THREE)),
+    (f"<nav>{FIVE}</nav><article><p>{ONE}</article><p>{TWO}</p><article><p>{THREE}</article><div class=related>{FOUR}</div>", (ONE, TWO, THREE)),
+    # An article inside another one, and a marked one that the run does not reach.
+    (f"<article><h1>Title</h1><p>{ONE}<article><p>{TWO}</article><p>{THREE}</article>", ("Title", ONE, TWO, THREE)),
+    (f"<div><p>{ONE}<p>{TWO}</div>" + "<ul><li><a>x</a></ul>" * 20 + "<article><p>Read on</article>", (ONE, TWO)),
+])
+def test_the_run_sets_the_bounds(page, names):
+    assert text_of(page) == "\n\n".join(names)
+
+
 def test_blocks_references_and_white_space():
     page = f"<article><h1> A &amp; B&nbsp;\n C </h1><p><b>bold<br>next</b>word <i>x</i>y<p>1 < 2 &lt;b&gt; &eacute;&#233;&#x41; &amp</article>{ONE}"
     assert text_of(page) == "A & B C\n\nbold nextword xy\n\n1 < 2 <b> éé" + "A &"
