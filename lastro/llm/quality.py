@@ -1,8 +1,9 @@
 """Quality scores: random-indexing word vectors, pooled per document, and a small network with calibrated output.
 
-1. Random indexing over all documents.  Every token has a sparse random index vector; the context vector of a token
-   is the sum of the index vectors around it, wherever it occurs.  Tokens share ``SLOTS`` places by hash, so the table
-   of vectors has one size for any corpus; map tasks add up their part, Spark sums the parts by slot.
+1. Random indexing over all documents.  Every token has a sparse random index vector, made from its hash; the context
+   vector of a token is the sum of the index vectors around it, wherever it occurs.  Tokens are known by 64-bit hashes.
+   Texts are read once into blocks of about ``BLOCK_TOKENS`` tokens; the blocks send the sums of their distinct tokens, cut
+   by hash into buckets, and a bucket answers each block with the totals of the tokens that it holds.
 2. A document is the mean of its tokens' vectors (context and index), with its length and two shares of repeats.
 3. A two-layer network in numpy learns ``quality`` from at most about ``LABELLED`` labelled documents; a fifth of
    these is kept apart to fit a temperature, by which the logits are divided.
@@ -20,10 +21,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lastro.llm.katz import _answers, _cut, _gathered, _packed, _packed_keys, _some, _unpacked, _unpacked_keys
 from lastro.llm.text import text_of
 from lastro.session import stored
 
+#: Rows from which index vectors are made, by turning a row and by its sign.
 SLOTS = 1 << 14
+BLOCK_TOKENS = 1 << 20
+BUCKET_KEYS = 1 << 17
 SIZE = 32
 NONZERO = 4
 WINDOW = 2
@@ -31,13 +36,13 @@ HIDDEN = 24
 #: Labelled documents that the network learns from, about.
 LABELLED = 20_000
 EPOCHS = 30
-_RUN = 1 << 19
-_KNOWN_WORDS = 1 << 18
+_RUN = 1 << 17
+_KNOWN_WORDS = 1 << 19
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
 def index_vectors() -> np.ndarray:
-    """A row for each slot with ``NONZERO`` entries of 1 or -1, and a last row of zeros that stands between texts."""
+    """``SLOTS`` rows with ``NONZERO`` entries of 1 or -1, and a last row of zeros that stands between texts."""
     rng = np.random.default_rng(20240601)
     table = np.zeros((SLOTS + 1, SIZE), np.int8)
     places = np.argsort(rng.random((SLOTS, SIZE)), axis=1)[:, :NONZERO]
@@ -45,12 +50,26 @@ def index_vectors() -> np.ndarray:
     return table
 
 
+_TABLE = index_vectors()
+
+
+def index_of(keys: np.ndarray) -> np.ndarray:
+    """Index vectors of tokens by their hashes, and a last row of zeros."""
+    turn = (np.arange(SIZE) + (keys >> np.uint64(32)).astype(np.int64)[:, None]) % SIZE
+    sign = 1 - 2 * ((keys >> np.uint64(48)) & np.uint64(1)).astype(np.int8)
+    rows = np.take_along_axis(_TABLE[(keys % np.uint64(SLOTS)).astype(np.int64)], turn, axis=1) * sign[:, None]
+    return np.vstack([rows, np.zeros((1, SIZE), np.int8)])
+
+
 class _Tokens(dict):
-    """A word of a text -> its slots: letters in lower case, marks around them, capitals or digits."""
+    """A word of a text -> the numbers of its tokens, in order of their first use: letters in lower case, marks around
+    them, capitals or digits.  ``keys``: hashes of the tokens by number."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.keys: list[int] = []
 
     def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= _KNOWN_WORDS:
-            self.clear()
         core = word.strip(_MARKS)
         found = [core.lower()] if core else []
         if len(core) < len(word):
@@ -59,29 +78,56 @@ class _Tokens(dict):
             found.append(b"\x01")
         if any(48 <= c < 58 for c in core):
             found.append(b"\x02")
-        self[word] = slots = tuple(xxhash.xxh3_64_intdigest(t) % SLOTS for t in found)
-        return slots
+        for token in found:
+            if token not in self.numbers:
+                self.numbers[token] = len(self.keys)
+                self.keys.append(xxhash.xxh3_64_intdigest(token))
+        self[word] = numbers = tuple(map(self.numbers.__getitem__, found))
+        return numbers
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[np.ndarray], list[tuple[float, ...]]]]:
-    """Ids, slots and figures of some texts at a time."""
-    known = _Tokens()
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id, text`` -> one row per block: ids, lengths, figures, hashes of its distinct tokens and tokens by number."""
+    known, ids, held, figures, size = _Tokens(), [], [], [], 0
     for batch in batches:
-        at, slots, figures, size = 0, [], [], 0
         for i in range(batch.num_rows):
             words = batch.column(1)[i].as_py().encode().split()
-            slots.append(np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.uint16))
+            held.append(np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.uint32))
+            ids.append(batch.column(0).slice(i, 1))
             n = max(len(words), 1)
-            figures.append((np.log1p(len(words)), len(set(words)) / n, sum(map(eq, words, words[1:])) / n))
-            size += len(slots[-1])
-            if size >= _RUN or i == batch.num_rows - 1:
-                yield batch.column(0).slice(at, len(slots)), slots, figures
-                at, slots, figures, size = i + 1, [], [], 0
+            figures += [np.log1p(len(words)), len(set(words)) / n, sum(map(eq, words, words[1:])) / n]
+            size += len(held[-1]) + 1
+            if size >= BLOCK_TOKENS:
+                yield _block(known, ids, held, figures)
+                known, ids, held, figures, size = known if len(known) < _KNOWN_WORDS else _Tokens(), [], [], [], 0
+    if held:
+        yield _block(known, ids, held, figures)
+
+
+def _block(known: _Tokens, ids: list[pa.Array], held: list[np.ndarray], figures: list[float]) -> pa.RecordBatch:
+    used, numbers = np.unique(np.concatenate(held), return_inverse=True)
+    keys = np.array(known.keys, np.uint64)[used]
+    order = np.argsort(keys)
+    place = np.empty(len(keys), np.int64)
+    place[order] = np.arange(len(keys))
+    whole = pa.concat_arrays(ids)
+    return pa.record_batch({
+        "ids": pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole),
+        "lengths": pa.array([[len(x) for x in held]], pa.list_(pa.int32())),
+        "figures": pa.array([figures], pa.list_(pa.float32())),
+        "keys": pa.array([_packed_keys(keys[order])], pa.binary()),
+        "numbers": pa.array([_packed(place[numbers])], pa.binary()),
+        "distinct": pa.array([len(keys)], pa.int32()),
+    })
+
+
+def _texts(row: dict) -> list[np.ndarray]:
+    return np.split(_unpacked(row["numbers"]).astype(np.uint32), np.cumsum(row["lengths"])[:-1])
 
 
 def context_sums(slots: list[np.ndarray], table: np.ndarray) -> np.ndarray:
-    """Sum of the index vectors in the window around each slot's occurrences, a row per slot."""
-    gap = np.full(WINDOW, SLOTS, np.uint16)
+    """Sum of the index vectors in the window around each token's occurrences, a row per row of the table but the last."""
+    gap = np.full(WINDOW, len(table) - 1, np.uint32)
     line = np.concatenate([gap, *chain.from_iterable((s, gap) for s in slots)])
     near = np.zeros((len(line) - 2 * WINDOW, SIZE), np.int8)
     for step in range(2 * WINDOW + 1):
@@ -90,45 +136,94 @@ def context_sums(slots: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     middle = line[WINDOW : len(line) - WINDOW]
     order = np.argsort(middle, kind="stable")
     held, starts = np.unique(middle[order], return_index=True)
-    sums = np.zeros((SLOTS + 1, SIZE), np.int64)
+    sums = np.zeros((len(table), SIZE), np.int64)
     if len(held):
         sums[held] = np.add.reduceat(near[order], starts, axis=0, dtype=np.int64)
     return sums[:-1]
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table, sums = index_vectors(), np.zeros((SLOTS, SIZE), np.int64)
-    for _, slots, _ in _runs(batches):
-        sums += context_sums(slots, table)
-    used = np.flatnonzero(sums.any(axis=1))
-    yield pa.record_batch(
-        {"slot": pa.array(used, pa.int32())} | {f"x{i}": pa.array(sums[used, i]) for i in range(SIZE)}
-    )
+def _packed_sums(sums: np.ndarray) -> bytes:
+    """Small numbers in few bytes, whatever their sign."""
+    return _packed(((sums << 1) ^ (sums >> 63)).astype(np.uint64).ravel())
+
 
+def _unpacked_sums(data: bytes) -> np.ndarray:
+    coded = _unpacked(data).reshape(-1, SIZE)
+    return (coded >> np.uint64(1)).astype(np.int64) ^ -(coded & np.uint64(1)).astype(np.int64)
 
-def word_vectors(contexts: np.ndarray) -> np.ndarray:
-    """Context vectors of length 1 beside index vectors of length 1."""
-    norm = np.linalg.norm(contexts, axis=1, keepdims=True)
-    return np.hstack([contexts / np.maximum(norm, 1), index_vectors()[:-1] / np.sqrt(NONZERO)]).astype(np.float32)
-
-
-def _pooled(vectors: np.ndarray):
-    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, slots, figures in _runs(batches):
-            lengths = np.array([len(s) for s in slots])
-            means = np.zeros((len(slots), vectors.shape[1]), np.float32)
-            full = np.flatnonzero(lengths)
-            if len(full):
-                starts = np.cumsum(lengths[full]) - lengths[full]
-                sums = np.add.reduceat(vectors[np.concatenate([slots[i] for i in full])], starts, axis=0)
-                means[full] = sums / lengths[full, None]
-            rows = np.hstack([means, np.array(figures, np.float32)])
-            flat = pa.array(rows.ravel(), pa.float32())
+
+def _send(buckets: int):
+    """Blocks -> per bucket: the block's distinct tokens and the sums around them."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                keys = _unpacked_keys(row["keys"])
+                sums = context_sums(_texts(row), index_of(keys))
+                ends = _cut(keys, buckets)
+                some = _some(ends)
+                yield pa.record_batch({
+                    "bucket": pa.array(some, pa.int32()),
+                    "block": pa.array([row["block"]] * len(some), pa.int64()),
+                    "keys": pa.array([_packed_keys(keys[ends[b] : ends[b + 1]]) for b in some], pa.binary()),
+                    "sums": pa.array([_packed_sums(sums[ends[b] : ends[b + 1]]) for b in some], pa.binary()),
+                })
+
+    return send
+
+
+def _sum(table: pa.Table) -> pa.Table:
+    """The totals of one bucket's tokens, sent back to the blocks that hold them."""
+    keys = [_unpacked_keys(x.as_py()) for x in table["keys"]]
+    distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
+    places = np.split(number, np.cumsum([len(k) for k in keys])[:-1])
+    totals = np.zeros((len(distinct), SIZE), np.int64)
+    for place, sums in zip(places, table["sums"]):
+        totals[place] += _unpacked_sums(sums.as_py())
+    answers = [_packed_sums(totals[place]) for place in places]
+    return pa.table({"bucket": table["bucket"], "block": table["block"], "answer": pa.array(answers, pa.binary())})
+
+
+def _pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks with their answers -> the mean of each text's vectors, context beside index, and its figures."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            rows = batch.slice(i, 1)
+            row = rows.drop_columns(["ids"]).to_pylist()[0]
+            parts = [_unpacked_sums(x) for x in _answers(row, "sums")]
+            sums = np.concatenate(parts) if parts else np.zeros((0, SIZE), np.int64)
+            contexts = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1)).astype(np.float32)
+            index = index_of(_unpacked_keys(row["keys"]))[:-1] / np.float32(np.sqrt(NONZERO))
+            vectors, texts = np.hstack([contexts, index]), _texts(row)
+            means, lengths = np.zeros((len(texts), 2 * SIZE), np.float32), np.array(row["lengths"])
+            parted = np.cumsum(lengths) // _RUN
+            for part in np.unique(parted):
+                full = np.flatnonzero((parted == part) & (lengths > 0))
+                if len(full):
+                    starts = np.cumsum(lengths[full]) - lengths[full]
+                    sums = np.add.reduceat(vectors[np.concatenate([texts[t] for t in full])], starts, axis=0)
+                    means[full] = sums / lengths[full, None]
+            x = np.hstack([means, np.array(row["figures"], np.float32).reshape(-1, 3)])
             yield pa.record_batch({
-                "id": ids, "x": pa.ListArray.from_arrays(np.arange(len(slots) + 1, dtype=np.int32) * rows.shape[1], flat),
+                "id": rows.column("ids").flatten(),
+                "x": pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel(), pa.float32())),
             })
 
-    return pool
+
+def document_vectors(texts: DataFrame) -> DataFrame:
+    """``id, text`` -> ``id, x``: the mean of the text's token vectors, with its length and two shares of repeats."""
+    id_type = texts.schema["id"].dataType.simpleString()
+    shape = f"ids array<{id_type}>, lengths array<int>, figures array<float>, keys binary, numbers binary, distinct int"
+    blocks = stored(texts.mapInArrow(_blocks, shape).withColumn("block", F.monotonically_increasing_id()), "quality-blocks")
+    buckets = int(blocks.agg(F.sum("distinct")).first()[0] or 0) // BUCKET_KEYS + 1
+    sent = blocks.select("block", "lengths", "keys", "numbers").mapInArrow(
+        _send(buckets), "bucket int, block bigint, keys binary, sums binary"
+    )
+    answers = sent.groupBy("bucket").applyInArrow(_sum, "bucket int, block bigint, answer binary")
+    answers = answers.select("block", F.lit("sums").alias("kind"), "bucket", "answer")
+    gathered = _gathered(blocks, answers).select("ids", "lengths", "figures", "keys", "numbers", "answers")
+    return stored(gathered.mapInArrow(_pooled, f"id {id_type}, x array<float>"), "quality-vectors")
 
 
 class Network:
@@ -216,12 +311,7 @@ def score(
     """
     id_type = docs.schema[id_column].dataType.simpleString()
     texts = docs.select(docs[id_column].alias("id"), text_of(docs[text_column]).alias("text"))
-    columns = ", ".join(f"x{i} bigint" for i in range(SIZE))
-    parts = texts.mapInArrow(_contexts, f"slot int, {columns}")
-    summed = parts.groupBy("slot").agg(*[F.sum(f"x{i}").alias(f"x{i}") for i in range(SIZE)]).toArrow()  # SLOTS rows
-    contexts = np.zeros((SLOTS, SIZE))
-    contexts[summed["slot"].to_numpy()] = np.stack([summed[f"x{i}"].to_numpy() for i in range(SIZE)], axis=1)
-    vectors = stored(texts.mapInArrow(_pooled(word_vectors(contexts)), f"id {id_type}, x array<float>"), "quality-vectors")
+    vectors = document_vectors(texts)
 
     held = docs.select(docs[id_column].alias("id"), F.coalesce(train, F.lit(False)).alias("train")).where("train")
     truth = labels.where(labels[label_column].isNotNull()).groupBy(labels[id_column].alias("of")).agg(

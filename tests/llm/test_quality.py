@@ -1,7 +1,9 @@
+import collections
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lastro.llm import quality
@@ -28,6 +30,36 @@ def test_context_vectors_equal_brute_force():
     assert not quality.context_sums([np.array([], np.uint16)], quality.index_vectors()).any()
 
 
+@pytest.mark.parametrize("tokens, keys", [(1 << 20, 1 << 17), (40, 8)])
+def test_every_word_has_a_vector_of_its_own(spark, monkeypatch, tokens, keys):
+    slots = collections.defaultdict(list)
+    for i in range(3000):
+        slots[xxhash.xxh3_64_intdigest(b"w%d" % i) % quality.SLOTS].append("w%d" % i)
+    pairs = [names[:2] for names in slots.values() if len(names) > 1][:30]
+    assert len(pairs) == 30  # words that share a place by hash
+    monkeypatch.setattr(quality, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(quality, "BUCKET_KEYS", keys)
+    rows = [(i, f"near {a} good {i}. {a} a") for i, (a, _) in enumerate(pairs)]
+    rows += [(100 + i, f"FAR {b} bad bad {a}!") for i, (a, b) in enumerate(pairs)] + [(200, ""), (None, "near"), (0, "near")]
+    known, contexts = quality._Tokens(), collections.defaultdict(lambda: np.zeros(quality.SIZE, int))
+    numbers = [[n for w in text.encode().split() for n in known[w]] for _, text in rows]
+    index = quality.index_of(np.array(known.keys, np.uint64)).astype(int)
+    for line in numbers:
+        for i, number in enumerate(line):
+            for j in range(max(0, i - quality.WINDOW), min(len(line), i + quality.WINDOW + 1)):
+                contexts[number] += index[line[j]] if j != i else 0
+    vector = lambda n: np.hstack([contexts[n] / max(np.linalg.norm(contexts[n]), 1), index[n] / 2])
+    expected = [np.mean([vector(n) for n in line], axis=0) if line else np.zeros(2 * quality.SIZE) for line in numbers]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    found = sorted((str(r.id), [round(v, 4) + 0.0 for v in r.x[: 2 * quality.SIZE]]) for r in quality.document_vectors(docs).collect())
+    wanted = sorted((str(i), [round(float(v), 4) + 0.0 for v in x]) for (i, _), x in zip(rows, expected))
+    assert [i for i, _ in found] == [i for i, _ in wanted]
+    assert np.allclose([x for _, x in found], [x for _, x in wanted], atol=2e-4)
+    for a, b in pairs:
+        one, two = (known[w.encode()][0] for w in (a, b))
+        assert one != two and (vector(one) != vector(two)).any()
+
+
 def test_network_learns_and_is_calibrated():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 6))
