@@ -665,62 +665,58 @@ def stratified_split(b: Book) -> DataFrame:
 
 # ---------------------------------------------------------------- trained models
 
-# The published models in full; ``Settings.labelled_rows`` bounds the rows they are fitted on.  All queries of a
-# folder share one fit, as all outputs of a batch run do.
-_FITS: dict[tuple[str, str], tuple] = {}
+# The published models in full; ``Settings.labelled_rows`` bounds the rows they are fitted on.  Every query fits by
+# itself; a caller of several passes one fit to them.
+Fit = tuple
 
 
-def _fitted(b: Book):
+def fit_models(b: Book) -> Fit:
     """Stored feature table, fitted preprocessor, trained models and metrics on the stored test rows."""
-    where = (b.spark.sparkContext.applicationId, b.folder)
-    if where not in _FITS:
-        table = stored(b.features, "features")
-        split = stored(prepare.stratified_split(prepare.select_features(table)), "split")
-        train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
-        fitted = prepare.Preprocessor.fit(train)
-        matrix = stored(fitted.assemble(models.bounded(train)).select("features", TARGET), "matrix")
-        trained = models.train_models(matrix)
-        tested = stored(models.evaluate_models(trained, fitted.assemble(test)), "metrics")
-        _FITS[where] = table, fitted, trained, tested
-    return _FITS[where]
+    table = stored(b.features, "features")
+    split = stored(prepare.stratified_split(prepare.select_features(table)), "split")
+    train, test = (split.where(F.col("split") == part).drop("split") for part in ("train", "test"))
+    fitted = prepare.Preprocessor.fit(train)
+    matrix = stored(fitted.assemble(models.bounded(train)).select("features", TARGET), "matrix")
+    trained = models.train_models(matrix)
+    return table, fitted, trained, stored(models.evaluate_models(trained, fitted.assemble(test)), "metrics")
 
 
 @query
-def model_comparison(b: Book) -> DataFrame:
-    return models.comparison(_fitted(b)[3])
+def model_comparison(b: Book, fit: Fit | None = None) -> DataFrame:
+    return models.comparison((fit or fit_models(b))[3])
 
 
 @query
-def model_metrics_rank(b: Book) -> DataFrame:
+def model_metrics_rank(b: Book, fit: Fit | None = None) -> DataFrame:
     """Metrics written as JSON and read back for display."""
     path = scratch_path(b.spark, "model-evaluation")
-    models.metrics_json(_fitted(b)[3]).write.text(path)
+    models.metrics_json((fit or fit_models(b))[3]).write.text(path)
     return files.read_model_metrics(b.spark, path)
 
 
 @query
-def feature_importance(b: Book) -> DataFrame:
-    _, fitted, trained, _ = _fitted(b)
+def feature_importance(b: Book, fit: Fit | None = None) -> DataFrame:
+    _, fitted, trained, _ = fit or fit_models(b)
     return models.feature_importance(b.spark, trained, fitted.feature_columns)
 
 
 @query
-def feature_importance_labels(b: Book) -> DataFrame:
+def feature_importance_labels(b: Book, fit: Fit | None = None) -> DataFrame:
     """The model inputs by importance with their display names."""
-    _, fitted, trained, _ = _fitted(b)
+    _, fitted, trained, _ = fit or fit_models(b)
     importance = models.feature_importance(b.spark, trained, fitted.feature_columns)
     return dashboard.top_importance(importance).withColumn("label", text.feature_label(F.col("feature")))
 
 
 @query
-def score_dataset(b: Book) -> DataFrame:
+def score_dataset(b: Book, fit: Fit | None = None) -> DataFrame:
     """All receivables scored by the best of the three models."""
-    table, fitted, trained, tested = _fitted(b)
+    table, fitted, trained, tested = fit or fit_models(b)
     best = models.best_model(tested, models.Settings().models)
     return models.score_dataset(table, trained[best], fitted)
 
 
 @query
-def model_portfolio_overview(b: Book) -> DataFrame:
+def model_portfolio_overview(b: Book, fit: Fit | None = None) -> DataFrame:
     """Portfolio totals of the receivables scored by the best model."""
-    return portfolio.portfolio_overview(score_dataset(b))
+    return portfolio.portfolio_overview(score_dataset(b, fit))
