@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, pii, quality, rules, urls
+from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, pii, quality, repeats, rules, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +104,13 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), _fold("doc_id") != 0)
+
+
+@query
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate(F.zip_with("ends", "starts", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
