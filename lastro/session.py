@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +57,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def releasing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, an action removes its shuffle files when it ends, and not when the driver's heap is next collected.
+
+    For actions whose result is kept elsewhere, so that nothing would read these files again.
+    """
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back.
 
     For a table that several later steps read: its source is scanned once, later plans
-    start at the files, and a lost executor has something to restart from.
+    start at the files, and a lost executor has something to restart from.  Shuffle files
+    of the writing are removed with its end.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with releasing_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
