@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastro.llm import content, exact_dedup, katz, mixing, near_dedup, packing, pii, quality, repeats, rules, urls
+from lastro.llm import centroids, content, exact_dedup, katz, mixing, near_dedup, packing, pii, quality, ranked, repeats, rules, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,6 +106,75 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"), _fold("doc_id") != 0)
 
 
+@query
+def op11_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+SQL["op11_ranked"] = """
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark
+), whole AS (SELECT count(DISTINCT r) AS docs, count(*) AS total FROM d),
+n AS (SELECT r, count(*) AS n FROM d GROUP BY r),
+tf AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY r, doc_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, whole GROUP BY term, docs
+), scored AS (
+  SELECT item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n USING (r), whole GROUP BY item_id, doc_id, r
+), placed AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
+
+@query
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"), k=8, rounds=10, dims=64, seed=3)
+
+
+def _lloyd_sql(rounds: int) -> str:
+    """All rounds one after the other, with vectors as lists of integers."""
+    nearest = """SELECT r, arg_min(c, d * 8 + c) AS c, min(d) AS d FROM (
+      SELECT r, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+      FROM kept, m{i}) x GROUP BY r"""
+    steps = [
+        """raw AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE len(embedding) = 64)""",
+        """kept AS MATERIALIZED (
+      SELECT r, vec_id, list_transform(e, lambda x: floor(1024 * x)::BIGINT) AS v FROM raw
+      WHERE len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        """m0 AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (
+        SELECT sha256('3:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT 8) x)""",
+    ]
+    for i in range(rounds):
+        steps.append(f"a{i} AS MATERIALIZED ({nearest.format(i=i)})")
+        steps.append(f"""m{i + 1} AS MATERIALIZED (
+      SELECT c, coalesce(moved, m) AS m FROM m{i} LEFT JOIN (
+        SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) AS moved FROM (
+          SELECT c, j, sum(x)::BIGINT AS s, count(*) AS n FROM (
+            SELECT c, unnest(v) AS x, unnest(range(64)) AS j FROM kept JOIN a{i} USING (r)) y GROUP BY c, j) z GROUP BY c) t USING (c))""")
+    steps.append(f"last AS MATERIALIZED ({nearest.format(i=rounds)})")
+    return "WITH " + ", ".join(steps) + f"""
+    SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+      (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+    FROM kept JOIN last USING (r) JOIN m{rounds} USING (c)"""
+
+
+SQL["op12_centroids"] = _lloyd_sql(10)
+
+
 @query
 def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, folder, "documents"))
