@@ -119,9 +119,9 @@ FROM (
 WHERE kind IS NOT NULL"""
 
 _SUMMARY = f"""count(*) AS total, {_money('vlr_nominal')} AS value,
-       count_if(is_defaulted = 1) AS defaults,
-       cast(count_if(is_defaulted = 1) AS double) / count(*) AS default_rate,
-       cast(sum(cast(coalesce(score_display, 0) AS decimal(18,1))) AS double) / count(*) AS avg_score"""
+       coalesce(count_if(is_defaulted = 1), 0) AS defaults,
+       coalesce(cast(count_if(is_defaulted = 1) AS double) / nullif(count(*), 0), 0) AS default_rate,
+       coalesce(cast(sum(cast(coalesce(score_display, 0) AS decimal(18,1))) AS double) / nullif(count(*), 0), 0) AS avg_score"""
 
 # Intermediate tables, each using only tables before it.
 TABLES = {
@@ -160,6 +160,8 @@ TABLES = {
             LEFT JOIN beneficiary_agg ba ON t.id_beneficiario = ba.id_beneficiario""",
     "split": """SELECT *, CASE WHEN (cast(substring(id_boleto, 2) AS bigint) * 7919 + 42) % 1000 < 200
        THEN 'test' ELSE 'train' END AS split FROM temporal""",
+    "hashed_split": """SELECT id_boleto, is_defaulted, CASE WHEN row_number() OVER (PARTITION BY is_defaulted ORDER BY md5('42:' || id_boleto))
+       <= ceil(count(*) OVER (PARTITION BY is_defaulted) / 5.0) THEN 'test' ELSE 'train' END AS split FROM labelled""",
 }
 
 
@@ -350,6 +352,39 @@ def _audit_rows() -> str:
 _PERIOD = "dt_emissao >= date '1998-03-01' AND dt_emissao < date '1998-04-01'"
 _RJ = "(entity_uf = 'RJ' OR beneficiary_uf = 'RJ' OR payer_uf = 'RJ')"
 _TX_COLUMNS = "id_boleto, period_month, entity_uf, entity_sector, risk_category"
+# Tables of fitted values, and scores of the model of given coefficients.
+TABLES["medians"] = _median_rows()
+TABLES["codes"] = _code_rows()
+
+
+def _model_input(column: str) -> str:
+    if column in contracts.NUMERIC_FEATURES:
+        return f"coalesce(cast(s.{column} AS double), (SELECT median FROM medians WHERE series = '{column}'))"
+    return f"coalesce(code_{column}.code, -1)"
+
+
+def _given_margin() -> str:
+    terms = [f"{_model_input(c)} * {GIVEN_COEFFICIENTS[c]!r}" for c in contracts.SAFE_FEATURES]
+    return " + ".join([repr(GIVEN_INTERCEPT), *terms])
+
+
+def _code_joins() -> str:
+    return " ".join(
+        f"LEFT JOIN codes code_{c} ON code_{c}.\"column\" = '{c}' AND code_{c}.value = coalesce(cast(s.{c} AS varchar), 'UNKNOWN')"
+        for c in contracts.CATEGORICAL_FEATURES
+    )
+
+
+# One millionth for the value, -5 to 5 five-thousandths for the others, in turn.
+GIVEN_INTERCEPT = 0.1
+GIVEN_COEFFICIENTS = {
+    c: 1e-6 if c == "vlr_nominal" else ((i * 7) % 11 - 5) / 5000 for i, c in enumerate(contracts.SAFE_FEATURES)
+}
+TABLES["given"] = f"SELECT s.*, 1 / (1 + exp(-({_given_margin()}))) AS probability FROM split s {_code_joins()}"
+TABLES["scored_given"] = f"""SELECT {', '.join((*contracts.IDENTIFIERS, *contracts.DATES, contracts.TARGET, *contracts.SCORE_CONTEXT))},
+       round_even(probability, 4) AS default_probability, round_even(probability * 100, 1) AS risk_score,
+       {_band('round_even(probability, 4)')} AS risk_category FROM given"""
+
 _FEATURES = ", ".join(("id_boleto", "is_defaulted", *contracts.SAFE_FEATURES))
 _PAIRS = """SELECT sum(pos * (n_before + neg / 2.0)) / (max(all_pos) * max(all_neg)) AS auc_roc,
        sum(pos * (cast(p_above AS double) / (p_above + n_above))) / max(all_pos) AS auc_pr
@@ -562,6 +597,20 @@ def _statements() -> dict[str, str]:
         "ml_audit": """SELECT split, count(*) AS rows, cast(sum(is_defaulted) AS bigint) AS defaulted,
             round_even(avg(is_defaulted), 6) AS default_rate,
             round_even((1 - avg(is_defaulted)) / avg(is_defaulted), 6) AS imbalance FROM split GROUP BY split""",
+        "stratified_split": """SELECT split, count(*) AS rows, cast(sum(is_defaulted) AS bigint) AS defaulted, avg(is_defaulted) AS default_rate,
+            (1 - avg(is_defaulted)) / nullif(avg(is_defaulted), 0) AS imbalance FROM hashed_split GROUP BY split""",
+        "stratified_split_rows": "SELECT id_boleto, is_defaulted, split FROM hashed_split",
+        "score_dataset_given": "SELECT * FROM scored_given",
+        "model_overview_given": _overview("scored_given", True),
+        "model_metrics_given": """SELECT 'given' AS model, round_even(auc, 4) AS auc_roc,
+            round_even(2.0 * tp / (2.0 * tp + fp + fn), 4) AS f1, tn, fp, fn, tp
+            FROM (SELECT count_if(is_defaulted = 0 AND probability <= 0.5) AS tn, count_if(is_defaulted = 0 AND probability > 0.5) AS fp,
+                count_if(is_defaulted = 1 AND probability <= 0.5) AS fn, count_if(is_defaulted = 1 AND probability > 0.5) AS tp
+                FROM given WHERE split = 'test') c,
+              (SELECT sum(CASE WHEN is_defaulted = 1 THEN place ELSE 0 END) AS s, count_if(is_defaulted = 1) AS p,
+                count_if(is_defaulted = 0) AS n, (s - p * (p + 1) / 2) / (cast(p AS double) * n) AS auc FROM (
+                SELECT is_defaulted, (2.0 * rank() OVER (ORDER BY probability) + count(*) OVER (PARTITION BY probability) - 1) / 2 AS place
+                FROM given WHERE split = 'test') r) a""",
         "feature_audit": _audit_rows(),
         "impute_median": _median_rows(),
         "quantiles_bucketed": _median_rows(),

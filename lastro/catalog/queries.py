@@ -663,10 +663,15 @@ def stratified_split(b: Book) -> DataFrame:
     return prepare.split_audit(prepare.stratified_split(features.add_label(b.payments)))
 
 
+@query
+def stratified_split_rows(b: Book) -> DataFrame:
+    return prepare.stratified_split(features.add_label(b.payments)).select("id_boleto", TARGET, "split")
+
+
 # ---------------------------------------------------------------- trained models
 
-# The published models in full; ``Settings.labelled_rows`` bounds the rows they are fitted on.  Every query fits by
-# itself; a caller of several passes one fit to them.
+# The published models in full; ``Settings.labelled_rows`` bounds the rows they are fitted on.  A query that meets rows
+# and settings that were fitted before loads those models (``models.train_models``); anything else is fitted.
 Fit = tuple
 
 
@@ -681,6 +686,34 @@ def fit_models(b: Book) -> Fit:
     return table, fitted, trained, stored(models.evaluate_models(trained, fitted.assemble(test)), "metrics")
 
 
+#: A model of given coefficients, which SQL can repeat: receivables of high value and companies of low scores weigh more.
+GIVEN = models.LinearModel(
+    tuple(1e-6 if c == "vlr_nominal" else ((i * 7) % 11 - 5) / 5000 for i, c in enumerate(contracts.SAFE_FEATURES)), 0.1
+)
+
+
+@query
+def score_dataset_given(b: Book) -> DataFrame:
+    """All receivables scored by the given model, with medians and codes of the train rows."""
+    return models.score_dataset(b.features, GIVEN, prepare.Preprocessor.fit(_train(b)))
+
+
+@query
+def model_overview_given(b: Book) -> DataFrame:
+    """Portfolio totals of the receivables scored by the given model."""
+    return portfolio.portfolio_overview(score_dataset_given(b))
+
+
+@query
+def model_metrics_given(b: Book) -> DataFrame:
+    """Area under the curve, F1 and confusion of the given model on the test rows."""
+    split = _arithmetic_split(prepare.select_features(b.features))
+    fitted = prepare.Preprocessor.fit(split.where("split = 'train'").drop("split"))
+    tested = models.evaluate_models({"given": GIVEN}, fitted.assemble(split.where("split = 'test'").drop("split")))
+    cells = {n: F.col("confusion_matrix")[i // 2][i % 2].alias(n) for i, n in enumerate(("tn", "fp", "fn", "tp"))}
+    return tested.select("model", "auc_roc", "f1", *cells.values())
+
+
 @query
 def model_comparison(b: Book, fit: Fit | None = None) -> DataFrame:
     return models.comparison((fit or fit_models(b))[3])

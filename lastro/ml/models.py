@@ -1,24 +1,29 @@
-"""Default classifiers on Spark ML: training, evaluation, importance, scoring."""
+"""Default classifiers: training, evaluation, importance, scoring.
+
+Models are fitted on a bounded number of rows; everything else runs over all of them.  A model is something that turns
+the array of model inputs into a probability and knows the importance of each.
+"""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Protocol
 
-from pyspark.ml import Model
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+import numpy as np
+from pyspark.errors import AnalysisException
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastro import contracts
 from lastro.functions.risk import score_outputs
+from lastro.ml import trees
 from lastro.ml.metrics import evaluate
 from lastro.ml.prepare import ROW_ID, Preprocessor, class_weights
-from lastro.session import scratch_path, stored
+from lastro.session import shared_folder, stored
 
 LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
 
@@ -30,47 +35,59 @@ class Settings:
     models: tuple[str, ...] = (LOGISTIC, FOREST, BOOSTED)
     seed: int = 42
     trees: int = 200
-    forest_depth: int = 30          # the deepest Spark allows, for trees grown without a limit
+    forest_depth: int | None = None     # no limit: until leaves are pure
     boosting_rounds: int = 200
     boosting_depth: int = 6
     learning_rate: float = 0.1
     inverse_penalty: float = 0.1
     logistic_iterations: int = 5000
-    bins: int = 64
+    bins: int = 256
     labelled_rows: int = 20_000     # rows the models are fitted on, about; all others count in every statistic
 
+    def tree_plans(self) -> dict[str, trees.Plan]:
+        plans = {
+            FOREST: trees.Plan(self.trees, self.forest_depth, boosted=False, seed=self.seed),
+            BOOSTED: trees.Plan(
+                self.boosting_rounds, self.boosting_depth, boosted=True, learning_rate=self.learning_rate, seed=self.seed
+            ),
+        }
+        return {name: plan for name, plan in plans.items() if name in self.models}
 
-def _estimator(name: str, rows: int, s: Settings):
-    common = {"featuresCol": "features", "labelCol": contracts.TARGET}
-    if name == LOGISTIC:
-        # Balanced weights add up to the number of rows, so the mean loss that Spark
-        # minimises needs the penalty 1 / (C * rows).
-        return LogisticRegression(
-            weightCol="balanced_weight", regParam=1.0 / (s.inverse_penalty * max(rows, 1)),
-            elasticNetParam=0.0, standardization=False, maxIter=s.logistic_iterations, **common,
-        )
-    if name == FOREST:
-        return RandomForestClassifier(
-            weightCol="balanced_weight", numTrees=s.trees, maxDepth=s.forest_depth,
-            featureSubsetStrategy="sqrt", maxBins=s.bins, seed=s.seed,
-            maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10, **common,
-        )
-    return GBTClassifier(
-        weightCol="positive_weight", maxIter=s.boosting_rounds, maxDepth=s.boosting_depth,
-        stepSize=s.learning_rate, maxBins=s.bins, seed=s.seed, checkpointInterval=10, **common,
-    )
+
+class Model(Protocol):
+    def probability(self, features: Column) -> Column: ...
+
+    def importances(self) -> np.ndarray: ...
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """Logistic regression of given coefficients."""
+
+    coefficients: tuple[float, ...]
+    intercept: float = 0.0
+
+    def probability(self, features: Column) -> Column:
+        margin = F.lit(self.intercept)
+        for i, c in enumerate(self.coefficients):
+            margin = margin + F.get(features, F.lit(i)) * F.lit(c)
+        return 1 / (1 + F.exp(-margin))
+
+    def importances(self) -> np.ndarray:
+        return np.abs(np.array(self.coefficients))
 
 
 def bounded(train: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Train rows to fit on: all, or about ``labelled_rows`` of them, picked by a hash of their id.
 
-    Trees without a depth limit grow with the rows they see and are put together on the driver; this bound is
-    what limits them.  Both labels keep their share.
+    One task holds the rows that a tree is grown from; this bound is what limits them, whatever the size of the table.
+    Both labels keep their share.
     """
     share = settings.labelled_rows / max(train.count(), 1)
     if share >= 1:
         return train
-    return train.where(F.pmod(F.xxhash64(F.col(ROW_ID), F.lit(settings.seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    hashed = F.shiftrightunsigned(F.xxhash64(F.col(ROW_ID), F.lit(settings.seed)), 1)
+    return train.where(hashed < F.lit(int(share * float(1 << 63))))
 
 
 def with_weights(train: DataFrame) -> DataFrame:
@@ -87,47 +104,81 @@ def with_weights(train: DataFrame) -> DataFrame:
     })
 
 
-def train_models(train: DataFrame, settings: Settings = Settings(), path: str | None = None) -> dict[str, Model]:
-    """Fit each classifier on assembled train rows, which should come from a stored table.
+def fingerprint(train: DataFrame, settings: Settings) -> str:
+    """A name for what a fit depends on: the rows, whatever their order, and the settings."""
+    content = F.xxhash64(vector_to_array("features"), contracts.TARGET).cast("decimal(38,0)")
+    rows, total = train.agg(F.count("*"), F.sum(content)).first()
+    return hashlib.sha256(f"{rows} {total} {settings!r}".encode()).hexdigest()
 
-    The rows are kept in memory with disk behind it; a lost executor re-reads its part.
-    Each model is saved and returned as loaded, which leaves the training summary behind:
-    it holds a session and would travel with every prediction task.
-    """
-    path = path or scratch_path(train.sparkSession, "models")
-    weighted = with_weights(train).select(
-        "features", contracts.TARGET, "balanced_weight", "positive_weight"
-    ).persist()
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
     try:
-        rows = weighted.count()
-        models = {}
-        for name in settings.models:
-            fitted = _estimator(name, rows, settings).fit(weighted)
-            fitted.write().overwrite().save(f"{path}/{name}")
-            models[name] = type(fitted).load(f"{path}/{name}")
-        return models
-    finally:
-        weighted.unpersist()
+        return spark.read.text(path).first()["value"]
+    except AnalysisException:
+        return None
+
+
+def load_models(spark: SparkSession, path: str, settings: Settings = Settings()) -> dict[str, Model]:
+    """The models below a folder, in the order of the settings."""
+    found: dict[str, Model] = {}
+    linear = LogisticRegressionModel.load(f"{path}/{LOGISTIC}") if LOGISTIC in settings.models else None
+    plans = settings.tree_plans()
+    features = int(spark.read.text(f"{path}/features").first()["value"])
+    # As many trees as the settings say, from rows that the settings bound.
+    grown = spark.read.schema(trees.LAYOUT).parquet(f"{path}/trees")
+    for name in settings.models:
+        if name == LOGISTIC:
+            found[name] = LinearModel(tuple(map(float, linear.coefficients)), float(linear.intercept))
+        else:
+            rows = grown.where(F.col("model") == name).toArrow()
+            found[name] = trees.Ensemble.of(rows, features, plans[name].boosted)
+    return found
 
 
-def positive_probability(column: str = "probability") -> Column:
-    return vector_to_array(F.col(column))[1]
+def train_models(train: DataFrame, settings: Settings = Settings(), path: str | None = None) -> dict[str, Model]:
+    """Fit each classifier on assembled rows from a stored table, or load what was fitted on the same rows before.
+
+    ``train`` comes from :func:`bounded`.  Models lie below ``path`` with the fingerprint of their rows and settings,
+    written last; where it is the same, nothing is fitted, and otherwise the models are replaced.  Without a path it is
+    a folder of this name in the shared folder, so that runs on the same input share a fit and others do not.
+    """
+    spark = train.sparkSession
+    mark = fingerprint(train, settings)
+    path = path or f"{shared_folder(spark)}/models-{mark[:32]}"
+    if _read_text(spark, f"{path}/fingerprint") == mark:
+        return load_models(spark, path, settings)
+    weighted = with_weights(train).select("features", contracts.TARGET, "balanced_weight", "positive_weight")
+    held = weighted.withColumn("features", vector_to_array("features")).toArrow()
+    rows = held.num_rows
+    x = held["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+    y, balanced, positive = (
+        held[c].to_numpy().astype(float) for c in (contracts.TARGET, "balanced_weight", "positive_weight")
+    )
+    # Rows in an order of their own, so that a fit does not depend on how the table is partitioned.
+    order = np.lexsort((y, *x.T))
+    x, y, balanced, positive = x[order], y[order], balanced[order], positive[order]
+    if LOGISTIC in settings.models:
+        # Balanced weights add up to the number of rows, so the mean loss that Spark minimises needs the penalty
+        # 1 / (C * rows).
+        LogisticRegression(
+            featuresCol="features", labelCol=contracts.TARGET, weightCol="balanced_weight",
+            regParam=1.0 / (settings.inverse_penalty * max(rows, 1)), elasticNetParam=0.0, standardization=False,
+            maxIter=settings.logistic_iterations,
+        ).fit(weighted.coalesce(1)).write().overwrite().save(f"{path}/{LOGISTIC}")
+    grown = trees.fit(spark, x, y, {FOREST: balanced, BOOSTED: positive}, settings.tree_plans(), settings.bins)
+    grown.write.mode("overwrite").parquet(f"{path}/trees")
+    for name, value in (("features", str(x.shape[1])), ("fingerprint", mark)):
+        spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
+    return load_models(spark, path, settings)
 
 
 def predict(models: dict[str, Model], assembled: DataFrame, *keep: str) -> DataFrame:
     """Probability and predicted label of every model side by side."""
-    df = assembled
-    columns = []
-    for name, model in models.items():
-        model = model.copy()
-        model.setPredictionCol(f"predicted_{name}").setProbabilityCol(f"probability_{name}")
-        model.setRawPredictionCol(f"raw_{name}")
-        df = model.transform(df)
-        columns += [
-            positive_probability(f"probability_{name}").alias(f"score_{name}"),
-            F.col(f"predicted_{name}").cast("int").alias(f"predicted_{name}"),
-        ]
-    return df.select(*keep, contracts.TARGET, *columns)
+    inputs = vector_to_array(F.col("features"))
+    scored = assembled.select(
+        *keep, contracts.TARGET, *[m.probability(inputs).alias(f"score_{n}") for n, m in models.items()]
+    )
+    return scored.withColumns({f"predicted_{n}": (F.col(f"score_{n}") > 0.5).cast("int") for n in models})
 
 
 def evaluate_models(models: dict[str, Model], assembled_test: DataFrame) -> DataFrame:
@@ -159,18 +210,12 @@ def best_model(metrics: DataFrame, order: tuple[str, ...]) -> str:
 
 
 def feature_importance(
-    spark: SparkSession, models: dict[str, Model], features: tuple[str, ...]
+    spark: SparkSession, models: dict[str, Model], features: Sequence[str]
 ) -> DataFrame:
     """Importance of each feature in each model; absolute coefficients for a linear model."""
     rows = []
     for name, model in models.items():
-        if hasattr(model, "featureImportances"):
-            values = model.featureImportances.toArray()
-        elif hasattr(model, "coefficients"):
-            values = abs(model.coefficients.toArray())
-        else:
-            continue
-        rows += [(name, f, float(v)) for f, v in zip(features, values)]
+        rows += [(name, f, float(v)) for f, v in zip(features, model.importances())]
     schema = "model string, feature string, importance double"
     return spark.createDataFrame(rows, schema).orderBy("model", F.desc("importance"), "feature")
 
@@ -188,5 +233,7 @@ def score_dataset(features: DataFrame, model: Model, preprocessor: Preprocessor)
     ]
     carried = F.struct(*kept).alias("_kept")
     inputs = features.select(ROW_ID, *preprocessor.feature_columns, carried)
-    scored = model.transform(preprocessor.assemble(inputs))
-    return scored.select("_kept.*", *score_outputs(positive_probability()))
+    assembled = preprocessor.transform(inputs)
+    values = F.array(*preprocessor.feature_columns)
+    scored = assembled.select("_kept", model.probability(values).alias("_probability"))
+    return scored.select("_kept.*", *score_outputs(F.col("_probability")))

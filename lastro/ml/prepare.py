@@ -5,8 +5,10 @@ Everything fitted here is fitted on the train rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -49,21 +51,56 @@ def leakage_audit(df: DataFrame) -> DataFrame:
     return df.agg(*counts).select(F.explode(cells).alias("c")).select("c.*")
 
 
+#: Hexadecimal digits by which a search for a cut goes on at a time.
+_DIGITS = 3
+
+
+def id_hash(seed: int = SEED) -> Column:
+    """32 hexadecimal digits of seed and row id; the same in any engine that knows MD5."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col(ROW_ID)).cast("binary"))
+
+
+def _cuts(df: DataFrame, hashed: Column, ranks: dict[int, int]) -> dict[int, str]:
+    """For each label the text below which exactly its ``rank`` smallest hashes lie.
+
+    A radix selection: hashes are counted by their first digits, the group that holds the rank is counted by the next
+    ones, until a group ends at the rank.  Each pass brings at most ``16 ** _DIGITS`` counts per label to the driver.
+    """
+    label, prefixes, left = F.col(contracts.TARGET), dict.fromkeys(ranks, ""), dict(ranks)
+    cuts = {value: "" for value, rank in ranks.items() if rank <= 0}
+    while open_labels := [value for value in ranks if value not in cuts]:
+        size = len(prefixes[open_labels[0]]) + _DIGITS
+        within = [(label == value) & F.startswith(hashed, F.lit(prefixes[value])) for value in open_labels]
+        counted: dict[int, list] = {value: [] for value in open_labels}
+        rows = df.where(reduce(Column.__or__, within)).groupBy(label.alias("label"), F.substring(hashed, 1, size).alias("start"))
+        for value, start, n in rows.count().collect():
+            counted[value].append((start, n))
+        for value in open_labels:
+            for start, n in sorted(counted[value]):
+                if left[value] <= n:
+                    prefixes[value] = start
+                    break
+                left[value] -= n
+            if left[value] == n or size >= 32:
+                cuts[value] = prefixes[value] + "g"     # after every text that starts so
+    return cuts
+
+
 def stratified_split(df: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
     """Add ``split``: the rows with the smallest id hashes of each label become the test rows.
 
-    The hash depends on the id alone, so a row keeps its side however the table is
-    partitioned.  The cut of a label is the quantile of its hashes, exact for small labels
-    and within 0.01 % of the rows for large ones.
+    Of n rows of a label the first ceil(n * share) are test rows, at any size; rows with one id stay together.  The
+    hash depends on the id alone, so a row keeps its side however the table is partitioned.  Rows without a label are
+    train rows.
     """
-    hashed = F.xxhash64(F.col(ROW_ID), F.lit(seed))
     label = F.col(contracts.TARGET)
-    cuts = df.agg(F.struct(*[
-        F.percentile_approx(F.when(label == value, hashed), test_share, 10_000).alias(f"c{value}")
-        for value in (0, 1)
-    ])).scalar()
-    cut = F.when(label == 1, cuts["c1"]).otherwise(cuts["c0"])
-    return df.withColumn("split", F.when(hashed <= cut, "test").otherwise("train"))
+    counts = df.where(label.isin(0, 1)).groupBy(label.alias("label")).count().collect()
+    ranks = {r["label"]: math.ceil(r["count"] * test_share - 1e-9) for r in counts}
+    hashed = id_hash(seed)
+    is_test = F.lit(False)
+    for value, cut in _cuts(df, hashed, ranks).items():
+        is_test = is_test | ((label == value) & (hashed < cut))
+    return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
 
 def split_by(df: DataFrame, is_test: Column) -> DataFrame:

@@ -8,10 +8,11 @@ import pytest
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from lastro.catalog.oracle import oracle_statements  # noqa: E402
 from lastro.catalog.queries import BUILDERS  # noqa: E402
 from tools import compare  # noqa: E402
 
-STATEMENTS = entry.oracle_sql()
+STATEMENTS = oracle_statements()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def engine(folder):
 
 
 def test_every_statement_has_a_query():
-    assert set(STATEMENTS) <= set(entry.queries())
+    assert set(STATEMENTS) <= set(entry.oracle_sql()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark, folder):
