@@ -10,7 +10,9 @@ together after the last pass is exactly the repeated windows.
 * The second digit is all the text that the suffixes of such a row see.  Rows that agree in it are repeated in full, and
   one of them stands for all from here on.
 * Where a group of one anchor holds rows that nothing agreed with (at the ends of repeated passages), its suffixes go
-  through the last pass one by one, each to its full depth.
+  on in stretches of ``STRETCH`` neighbours: the digits of such a row are what all its suffixes see, then all they see.
+* What is still open, hardly more than the stretches in which passages end, goes through the last pass suffix by suffix,
+  each to its full depth.
 
 Groups are counted by aggregates with map-side combine and joined back, so a passage that a third of all documents
 share is a number, not a group in a task; adaptive execution splits its rows in the joins.
@@ -33,6 +35,8 @@ from lastro.session import stored
 #: Bytes of an anchor, for windows of 400; others use the same share of their length.
 GRAM = 273
 LENGTH = 400
+#: Suffixes that the middle pass takes together.
+STRETCH = 16
 #: Windows of a text that are hashed at once, which bounds the memory that a long text takes.
 SEGMENT = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -136,7 +140,9 @@ def _find_anchors(length: int, gram: int):
             columns, own = [[] for _ in range(6)], ([], [])
             for value in batch.column(2):
                 hashes, rest, at, lo, hi = anchors.rows(value.as_buffer().to_pybytes())
-                pairs = np.stack([hashes, rest], axis=1)
+                pairs = hashes
+                if len(np.unique(hashes)) < len(hashes):
+                    pairs = np.stack([hashes, rest], axis=1)
                 _, first, number, times = np.unique(pairs, axis=0, return_index=True, return_inverse=True, return_counts=True)
                 again = times[number.ravel()] > 1
                 starts, ends = merged((at - hi)[again], (at - lo + length)[again])
@@ -156,25 +162,74 @@ def _find_anchors(length: int, gram: int):
     return find
 
 
+def _contexts(length: int):
+    """Texts with their open rows -> the bytes that the suffixes of each row see."""
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, rows in zip(batch.column(0), batch.column(1)):
+                data, rows = text.as_buffer().to_pybytes(), rows.as_py()
+                names = ("gram", "rest", "lo", "hi", "times")
+                seen = [data[r["at"] - r["hi"] : r["at"] - r["lo"] + length] for r in rows]
+                yield pa.record_batch({
+                    **{n: pa.array([r[n] for r in rows], pa.int16() if n in ("lo", "hi") else pa.int64()) for n in names},
+                    "seen": pa.array(seen, pa.binary()),
+                })
+
+    return contexts
+
+
+def _halves(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+
+
+_ROW = ("gram", "rest", "times")
+
+
+def _find_stretches(length: int):
+    """Rows with what they see -> one row per stretch of suffixes: hashes of what all of them see, and of all they see."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inner, outer, of, steps = [], [], [], []
+            for i, row in enumerate(batch.to_pylist()):
+                seen, lo, hi = row["seen"], row["lo"], row["hi"]
+                for step in range(lo // STRETCH, hi // STRETCH + 1):
+                    near, far = step * STRETCH, step * STRETCH + STRETCH - 1
+                    inner.append(xxhash.xxh3_128_digest(seen[hi - near : hi - far + length], seed=step))
+                    near, far = max(near, lo), min(far, hi)
+                    outer.append(xxhash.xxh3_64_digest(seen[hi - far : hi - near + length], seed=near * 1024 + far))
+                    of.append(i)
+                    steps.append(step)
+            halves, at = _halves(inner), pa.array(of, pa.int32())
+            yield pa.record_batch({
+                "w0": pa.array(halves[:, 0]), "w1": pa.array(halves[:, 1]),
+                "outer": pa.array(np.frombuffer(b"".join(outer), "<i8")), "step": pa.array(steps, pa.int16()),
+                **{n: batch.column(n).take(at) for n in _ROW},
+            })
+
+    return find
+
+
 def _find_windows(length: int):
-    """Texts with rows of open suffixes -> one row per suffix: its bytes to full depth, as a 128-bit hash."""
+    """Rows with what they see and their open stretches -> one row per suffix: its bytes to full depth."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, rows in zip(batch.column(0), batch.column(1)):
-                data = text.as_buffer().to_pybytes()
-                for row in rows.as_py():
-                    before = np.arange(row["lo"], row["hi"] + 1)
-                    digests = b"".join(
-                        xxhash.xxh3_128_digest(data[p : p + length]) for p in (row["at"] - before).tolist()
-                    )
-                    halves = np.frombuffer(digests, "<i8").reshape(-1, 2)
-                    n = len(before)
-                    yield pa.record_batch({
-                        "w0": pa.array(halves[:, 0]), "w1": pa.array(halves[:, 1]),
-                        "gram": pa.array([row["gram"]] * n, pa.int64()), "rest": pa.array([row["rest"]] * n, pa.int64()),
-                        "before": pa.array(before, pa.int16()), "times": pa.array([row["times"]] * n, pa.int64()),
-                    })
+            digests, of, before, times = [], [], [], []
+            for i, row in enumerate(batch.to_pylist()):
+                seen, lo, hi = row["seen"], row["lo"], row["hi"]
+                for s in row["steps"]:
+                    own = range(max(s["step"] * STRETCH, lo), min(s["step"] * STRETCH + STRETCH - 1, hi) + 1)
+                    digests += [xxhash.xxh3_128_digest(seen[hi - d : hi - d + length]) for d in own]
+                    of += [i] * len(own)
+                    times += [s["total"]] * len(own)
+                    before += own
+            halves, at = _halves(digests), pa.array(of, pa.int32())
+            yield pa.record_batch({
+                "w0": pa.array(halves[:, 0]), "w1": pa.array(halves[:, 1]), "before": pa.array(before, pa.int16()),
+                "times": pa.array(times, pa.int64()), "gram": batch.column("gram").take(at), "rest": batch.column("rest").take(at),
+            })
 
     return find
 
@@ -211,6 +266,17 @@ def _same_text(left: DataFrame, right: DataFrame) -> Column:
     return left["id"].eqNullSafe(right["id"]) & (left["key"] == right["key"])
 
 
+def _left_after(rows: DataFrame, digit: list[str], rest: str) -> DataFrame:
+    """Groups of rows that agree in two digits, with their number: those of several rows, and those that are alone or
+    not alone in an ``open`` group of the first digit, where some row is without company in the second."""
+    groups = stored(rows.groupBy(*digit, rest).agg(F.sum("times").alias("total")), "repeats-groups")
+    shared = groups.groupBy(*digit).agg(
+        F.sum("total").alias("all"), F.count("*").alias("kinds"), F.min("total").alias("least")
+    ).where("all > 1")
+    left = groups.join(shared, digit).select(*digit, rest, "total", ((F.col("kinds") > 1) & (F.col("least") == 1)).alias("open"))
+    return stored(left.where("total > 1 OR open"), "repeats-left")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id, key, spans``: for texts with repeats, spans of bytes that hold them, unordered and overlapping."""
     gram = max(1, length * GRAM // LENGTH)
@@ -220,24 +286,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
         f"id {id_type}, key binary, gram array<bigint>, rest array<bigint>, at array<bigint>, lo array<smallint>, "
         "hi array<smallint>, times array<smallint>, starts array<bigint>, ends array<bigint>"
     )
+
+    def span(far: Column | str, near: Column | str) -> Column:
+        start, end = F.col("at") - F.col(far), F.col("at") - F.col(near) + length
+        return F.struct(start.alias("start"), end.alias("end")).alias("span")
+
     found = stored(texts.mapInArrow(_find_anchors(length, gram), layout), "repeats-anchors")
     rows = found.select(
         "id", "key", F.explode(F.arrays_zip("gram", "rest", "at", "lo", "hi", "times")).alias("a")
     ).select("id", "key", "a.*")
-    # First digit, then the second: how many rows a group of both has, and which groups of the first are still open.
-    groups = stored(rows.groupBy("gram", "rest").agg(F.sum("times").alias("total")), "repeats-groups")
-    shared = groups.groupBy(F.col("gram").alias("gram_")).agg(
-        F.sum("total").alias("all"), F.count("*").alias("kinds"), F.min("total").alias("least")
-    ).where("all > 1")
-    left = stored(
-        groups.join(shared, F.col("gram") == F.col("gram_")).select(
-            "gram", "rest", "total", ((F.col("kinds") > 1) & (F.col("least") == 1)).alias("open")
-        ).where("total > 1 OR open"), "repeats-left",
-    )
-    hits = stored(rows.drop("times").join(left, ["gram", "rest"]), "repeats-hits")
-    span = lambda start, end: F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"))
-    whole = hits.where("total > 1").select("id", "key", span(F.col("at") - F.col("hi"), F.col("at") - F.col("lo") + length).alias("span"))
-    # Last digit: suffixes one by one, one row standing for those that agree so far.
+    hits = stored(rows.drop("times").join(_left_after(rows, ["gram"], "rest"), ["gram", "rest"]), "repeats-hits")
+    whole = hits.where("total > 1").select("id", "key", span("hi", "lo"))
+
+    # One row stands for those that agree so far.
     spokesman = hits.where("open").groupBy("gram", "rest").agg(
         F.min(F.struct("id", "key", "at", "lo", "hi")).alias("row"), F.max("total").alias("times")
     )
@@ -246,20 +307,37 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_column: str = "doc_
             F.collect_list(F.struct("gram", "rest", "row.at", "row.lo", "row.hi", "times")).alias("rows")
         ), "repeats-asked",
     )
-    once = texts.join(asked, _same_text(texts, asked)).select(texts["id"], texts["key"], "data", "rows").dropDuplicates(["id", "key"])
+    seen = texts.join(asked, _same_text(texts, asked)).select("data", "rows").mapInArrow(
+        _contexts(length), "gram bigint, rest bigint, lo smallint, hi smallint, times bigint, seen binary"
+    )
+    # A repeated row of the table would speak twice.
+    seen = stored(seen.dropDuplicates(["gram", "rest"]), "repeats-contexts")
+    stretches = stored(seen.mapInArrow(
+        _find_stretches(length), "w0 bigint, w1 bigint, outer bigint, step smallint, gram bigint, rest bigint, times bigint"
+    ), "repeats-stretches")
+    left = _left_after(stretches, ["w0", "w1"], "outer")
+    parts = stored(stretches.join(left, ["w0", "w1", "outer"]), "repeats-parts")
+    open_parts = parts.where("open").groupBy("w0", "w1", "outer").agg(
+        F.min(F.struct("gram", "rest", "step")).alias("row"), F.max("total").alias("total")
+    )
+    steps = open_parts.groupBy("row.gram", "row.rest").agg(F.collect_list(F.struct("row.step", "total")).alias("steps"))
     windows = stored(
-        once.select("data", "rows").mapInArrow(
-            _find_windows(length), "w0 bigint, w1 bigint, gram bigint, rest bigint, before smallint, times bigint"
+        seen.drop("times").join(steps, ["gram", "rest"]).mapInArrow(
+            _find_windows(length), "w0 bigint, w1 bigint, before smallint, times bigint, gram bigint, rest bigint"
         ), "repeats-windows",
     )
     equal = windows.groupBy("w0", "w1").agg(F.sum("times").alias("all")).where("all > 1")
-    single = windows.where("times = 1").join(equal, ["w0", "w1"]).select("gram", "rest", "before")
-    ends = hits.where("open AND total = 1").select("id", "key", "gram", "rest", "at").join(single, ["gram", "rest"])
-    parts = ends.select("id", "key", span(F.col("at") - F.col("before"), F.col("at") - F.col("before") + length).alias("span"))
+    single = windows.where("times = 1").join(equal, ["w0", "w1"]).select("gram", "rest", F.col("before").alias("near"), F.col("before").alias("far"))
+    near, far = F.col("step").cast("int") * STRETCH, F.col("step").cast("int") * STRETCH + (STRETCH - 1)
+    grown = parts.where("total > 1 AND times = 1").select("gram", "rest", near.alias("near"), far.alias("far"))
+    alone = hits.where("open AND total = 1").select("id", "key", "gram", "rest", "at", "lo", "hi")
+    ends = alone.join(single.unionByName(grown), ["gram", "rest"]).withColumns(
+        {"near": F.greatest("near", "lo"), "far": F.least("far", "hi")}
+    ).select("id", "key", span("far", "near"))
     own = found.where("size(starts) > 0").select("id", "key", F.explode(F.arrays_zip("starts", "ends")).alias("s")).select(
-        "id", "key", span(F.col("s.starts"), F.col("s.ends")).alias("span")
+        "id", "key", F.struct(F.col("s.starts").alias("start"), F.col("s.ends").alias("end")).alias("span")
     )
-    every = whole.unionByName(parts).unionByName(own)
+    every = whole.unionByName(ends).unionByName(own)
     return stored(every.groupBy("id", "key").agg(F.collect_list("span").alias("spans")), "repeats-spans")
 
 
