@@ -5,6 +5,10 @@ log-odds of standing in the content or around it, counted on pages that mark the
 ``article`` or ``main`` element).  One linear scan finds the contiguous run of tokens with the largest sum.  The
 element that holds this run is the article; parts of it that are no article text by their element, role or class
 (menus, adverts, forms, comments ...) are left out.
+
+A name speaks against an element as a whole class: ``sidebar`` or ``cookie-banner``, all of whose words mean such a part or
+say where it stands, but not ``no-sidebar`` or ``share-price``.  It never speaks against an element that holds nearly
+all words of a page without an article beside it, and an id neither against headings nor, but for reader comments, against sections and paragraphs.
 """
 
 from __future__ import annotations
@@ -46,6 +50,13 @@ BOILERPLATE_NAMES = frozenset(
     "menu navbar nav navigation breadcrumb breadcrumbs footer comment comments disqus discussion replies respond share "
     "sharing social related recommended widget widgets pagination pager toolbar masthead skip hidden".split()
 )
+#: Words that only say where a part stands or how it is built.
+NEUTRAL_NAMES = frozenset(
+    "site page main top bottom left right center centre box bar wrap wrapper container inner outer area block section list "
+    "item items link links thread form slot unit panel header global primary secondary desktop mobile small large sticky "
+    "fixed body content posts post articles stories btn button buttons text".split()
+)
+COMMENT_NAMES = frozenset("comment comments disqus respond replies".split())
 TAGS = frozenset(INLINE | VOID | ENDS_PARAGRAPH | TEXT_BLOCKS | BOILERPLATE | {"body", "html", "caption"})
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -62,6 +73,8 @@ class Element:
     tag: str
     parent: int
     dropped: bool
+    by_name: bool = False
+    words: int = 0
 
 
 @dataclass
@@ -73,33 +86,80 @@ class Page:
     tokens: list[tuple[str, int, int]] = field(default_factory=list)
 
 
-def _boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in BOILERPLATE or (tag == "header" and not in_article):
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return bool(attributes) and tag == "article" and "comment" in attributes.lower() and _named(attributes, in_article)
-    return _named(attributes, in_article)
+def _part_name(token: str, in_article: bool) -> bool:
+    """Whether a class or id names a part that is no article text."""
+    words = {w.lower() for w in _WORDS_OF_NAME.findall(token) if not w.isdigit()}
+    if words & BOILERPLATE_NAMES:
+        return words <= BOILERPLATE_NAMES | NEUTRAL_NAMES
+    return "header" in words and not in_article and words <= NEUTRAL_NAMES and not words & {"post", "content"}
 
 
-def _named(attributes: str, in_article: bool) -> bool:
+def _named(tag: str, attributes: str, in_article: bool) -> bool:
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), value.strip("\"'")
+        if name == "role" and value.lower() in BOILERPLATE_ROLES:
+            return True
+        if name == "class" and any(_part_name(token, in_article) for token in value.split()):
+            return True
+        if name == "id" and tag not in ("h1", "h2", "h3", "h4", "h5", "h6") and _part_name(value, in_article):
+            if tag not in ("section", "p", "article", "main") or {w.lower() for w in _WORDS_OF_NAME.findall(value)} & COMMENT_NAMES:
+                return True
+    return False
+
+
+def _hidden(attributes: str) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
-        if name == "role" and value.lower() in BOILERPLATE_ROLES:
-            return True
-        if name in ("class", "id"):
-            words = {w.lower() for w in _WORDS_OF_NAME.findall(value)}
-            if words & BOILERPLATE_NAMES or ("header" in words and not in_article and not words & {"post", "entry", "article"}):
-                return True
     return False
 
 
+def _boilerplate(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is no article text, and whether only its name says so."""
+    if tag in BOILERPLATE or (tag == "header" and not in_article):
+        return True, False
+    if not attributes or tag in ("html", "body", "main"):
+        return False, False
+    if tag == "article":
+        classes = [w.lower() for w in _WORDS_OF_NAME.findall(attributes)]
+        return ("comment" in classes or "comments" in classes) and _named(tag, attributes, in_article), True
+    if _hidden(attributes):
+        return True, False
+    return _named(tag, attributes, in_article), True
+
+
 def parse(source: str) -> Page:
-    """One pass over the page; unclosed elements, stray end tags and cut-off pages are taken as browsers take them."""
+    """The page without its surroundings.  A name does not count on an element that holds nearly all words, unless an
+    article or main element stands outside."""
+    page = _parsed(source, frozenset())
+    named = [i for i, e in enumerate(page.elements) if e.by_name]
+    if not named:
+        return page
+    totals = [e.words for e in page.elements]
+    for i in range(len(totals) - 1, -1, -1):
+        if (parent := page.elements[i].parent) >= 0:
+            totals[parent] += totals[i]
+    whole = sum(e.words for e in page.elements)
+    large = frozenset(i for i in named if 10 * (whole - totals[i]) < whole)
+    if not large or any(
+        totals[i] and e.tag in ("article", "main") and not e.by_name and not large & set(_ancestors(page, i))
+        for i, e in enumerate(page.elements)
+    ):
+        return page
+    return _parsed(source, large)
+
+
+def _parsed(source: str, kept: frozenset[int]) -> Page:
+    """One pass over the page; unclosed elements, stray end tags and cut-off pages are taken as browsers take them.
+
+    ``kept`` are numbers of elements whose names do not count.  Words inside elements that are no text whatever their
+    name are not counted in ``words``.
+    """
     page, stack, run = Page(), [], []
+    by_tag: list[bool] = []     # of each element: no text whatever the names
     block_of = -1
     at, end, quotes_end = 0, len(source), {'"': False, "'": False}
 
@@ -127,11 +187,15 @@ def parse(source: str) -> Page:
                     block_of = next((i for i in reversed(stack) if page.elements[i].tag not in INLINE), -1)
                     if block_of < 0:
                         page.elements.append(Element("body", -1, False))
+                        by_tag.append(False)
                         stack.append(len(page.elements) - 1)
                         block_of = stack[-1]
                 run.append(html.unescape(source[at:stop]))
+                page.elements[stack[-1]].words += len(source[at:stop].split())
             elif words := len(source[at:stop].split()):
                 page.tokens.append(("", DROPPED, words))
+                if not by_tag[stack[-1]]:
+                    page.elements[stack[-1]].words += words
             at = stop
             continue
         if source.startswith("<!--", start):
@@ -189,7 +253,10 @@ def parse(source: str) -> Page:
             continue
         parent = top()
         inside = any(page.elements[i].tag in ("article", "main") for i in stack)
-        dropped = (parent >= 0 and page.elements[parent].dropped) or _boilerplate(tag, attributes, inside)
+        dropped, by_name = _boilerplate(tag, attributes, inside)
+        sure = (dropped and not by_name) or (parent >= 0 and by_tag[parent])
+        by_name &= dropped
+        dropped = (dropped and not (by_name and len(page.elements) in kept)) or (parent >= 0 and page.elements[parent].dropped)
         if tag in RAW:
             ending = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(source, at)
             if ending is None:
@@ -199,7 +266,8 @@ def parse(source: str) -> Page:
                 at = end if shut < 0 else shut + 1
             page.tokens.append((tag, TAG, 0))
             continue
-        page.elements.append(Element(tag, parent, dropped))
+        page.elements.append(Element(tag, parent, dropped, by_name))
+        by_tag.append(sure)
         stack.append(len(page.elements) - 1)
     close()
     return page
@@ -346,7 +414,8 @@ def fit(pages: DataFrame, html_column: str = "html", labelled_pages: int = LABEL
         F.col("html").contains("<article") | F.col("html").contains("<main")
     )
     share = min(1.0, labelled_pages / max(marked.count(), 1))
-    picked = marked.where(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    hashed = F.shiftrightunsigned(F.xxhash64("html"), 1)
+    picked = marked if share >= 1 else marked.where(hashed < F.lit(int(share * float(1 << 63))))
     counted = picked.mapInArrow(_count, "token string, content boolean, n bigint").groupBy("token", "content").agg(F.sum("n"))
     return weights_of({(token, content): n for token, content, n in counted.collect()})
 

@@ -55,6 +55,32 @@ def test_the_run_sets_the_bounds(page, names):
     assert text_of(page) == "\n\n".join(names)
 
 
+SIX = paragraphs("Sixth")[0]
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='page no-sidebar'>{0}</div>",
+    "<div class='sidebar'><div class=menu>{0}</div></div><nav>{1}</nav>",
+    "<article><div class='no-sidebar content'>{0}</div></article>",
+    "<article><section id=discussion>{0}</section></article>",
+    "<article><section id='share-price'>{0}</section></article>",
+    "<body class=comments><main id=comments>{0}</main><div id=comments>{1}</div></body>",
+    "<article><div class=has-footer>{0}</div><div class='site-footer'>{1}</div><div class=related-posts>{1}</div></article>",
+])
+def test_names_count_as_whole_classes_and_never_on_most_of_the_page(page):
+    inner = f"<h1>Title</h1><p>{ONE}</p><p>{TWO}</p>" + f"<p>{FIVE}</p>" * 3
+    assert text_of(page.format(inner, f"<p>{SIX}</p>")) == "\n\n".join(["Title", ONE, TWO, FIVE, FIVE, FIVE])
+
+
+def test_names_inside_an_article():
+    page = (
+        f"<article><h1>Title</h1><p>{ONE}</p><section id=discussion><h2 id=related-work>Related work</h2><p>{TWO}</p></section>"
+        f"<p class=promotion-history>{FIVE}</p><h2 id=comments>On comments</h2><p id=share>{FOUR}</p>"
+        f"<div class=promo>{SIX}</div><div id=comments>{THREE}</div></article>"
+    )
+    assert text_of(page) == "\n\n".join(["Title", ONE, "Related work", TWO, FIVE, "On comments", FOUR])
+
+
 def test_blocks_references_and_white_space():
     page = f"<article><h1> A &amp; B&nbsp;\n C </h1><p><b>bold<br>next</b>word <i>x</i>y<p>1 < 2 &lt;b&gt; &eacute;&#233;&#x41; &amp</article>{ONE}"
     assert text_of(page) == "A & B C\n\nbold nextword xy\n\n1 < 2 <b> éé" + "A &"
