@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lastro.llm import exact_dedup, mixing, near_dedup, packing, rules
 from lastro.session import stored
@@ -29,11 +28,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix takes them."""
-    mixed = mixing.mix(docs)
-    if "n_chars" in mixed.columns:
-        mixed = mixed.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars"))
-    return mixed
+    """The documents, each whole, as often as the mix takes them, in drawn order within its shards."""
+    return mixing.mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

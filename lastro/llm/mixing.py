@@ -97,9 +97,10 @@ def plan(
     ``draws``, an array of (pass, shard, position, words), one for each time that the mix takes it.
 
     A null text has size 0 and is taken whole, without words, in full passes only; a null source is a source
-    of its own, last in order.  Null ids are ordinary.  Where a target falls within a document, the mix takes
-    its first words only (one document of each source at most, or as many as repeat the very same row).  Every
-    choice is a hash of id and source, so reruns agree.  An empty table gives no rows.
+    of its own, last in order.  Null ids are ordinary.  Documents are taken whole: one within which a target falls
+    is taken where that comes nearer to the target, so a source misses its own by half a document at most (rows that
+    repeat the very same document go together).  Every choice is a hash of id and source, so reruns agree.  An empty
+    table gives no rows.
     """
     rows = stored(
         docs.select(
@@ -161,9 +162,9 @@ def plan(
     upto = F.sum("size").over(Window.partitionBy("source").orderBy("order", "id"))  # with all rows of one order and id
     alike = F.sum("size").over(Window.partitionBy("source", "order", "id"))
     whole = joined.where(~cut).withColumn("extra", F.when(F.col("left") > 0, F.col("size")).otherwise(0))
-    part = joined.where(cut).withColumn("seen", upto - alike).withColumn(
-        "extra", F.greatest(F.lit(0), F.least(F.col("left") - F.col("seen"), F.col("size")))
-    ).drop("seen")
+    part = joined.where(cut).withColumn("alike", alike).withColumn("seen", upto - F.col("alike")).withColumn(
+        "extra", F.when(2 * (F.col("left") - F.col("seen")) > F.col("alike"), F.col("size")).otherwise(0)
+    ).drop("seen", "alike")
     both = whole.unionByName(part)
     listed = F.filter(
         F.transform(F.coalesce("block_draws", F.array()), lambda x: F.struct(
@@ -179,16 +180,12 @@ def plan(
     )
 
 
-def first_words(text: Column, count: Column) -> Column:
-    """The text up to the end of its ``count``-th word."""
-    pieces = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")  # a word and the white space after it
-    leading = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
-    return F.rtrim(F.array_join(F.slice(pieces, F.lit(1), (count + leading).cast("int")), ""))
-
-
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **settings) -> DataFrame:
-    """The mixed corpus: a row for each draw, with the columns of ``docs``, the text cut where only first words
-    are taken, and neither shard nor position (``plan`` has them)."""
+    """The mixed corpus: a whole document for each draw, with the columns of ``docs``.
+
+    Rows are dealt to partitions by shard and by a range of positions within it, and lie there in drawn order; ``plan``
+    has the numbers.
+    """
     drawn = plan(docs, id_column, text_column, source_column, **settings)
     drawn = stored(drawn.select(
         F.col(id_column).alias("_id"), F.col("source").alias("_source"), F.explode("draws").alias("_draw"),
@@ -202,7 +199,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
         docs[id_column].eqNullSafe(drawn["_id"]) & docs[source_column].eqNullSafe(drawn["_source"])
         & (n_words(docs[text_column]) == drawn["_size"]),
     )
-    text = text_of(docs[text_column])
-    taken = joined.select(*[docs[c] for c in names], F.explode("_draws").alias("_draw"), F.col("_size"))
-    cut = F.when(F.col("_draw.words") < F.col("_size"), first_words(text, F.col("_draw.words"))).otherwise(docs[text_column])
-    return taken.select(*[cut.alias(c) if c == text_column else docs[c] for c in names])
+    taken = joined.select(*[docs[c].alias(f"_{i}") for i, c in enumerate(names)], F.explode("_draws").alias("_draw"))
+    # 64 ranges of positions keep a shard from being one task.
+    dealt = taken.repartition("_draw.shard", F.shiftright("_draw.position", 58)).sortWithinPartitions("_draw.shard", "_draw.position")
+    return dealt.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)])

@@ -5,6 +5,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from lastro.llm import mixing
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -34,12 +36,18 @@ def check_plan(rows, texts, **settings):
     assert len(rows) == len(texts)
     for row in rows:
         assert row.source_size == sizes[row.source] and row.target == pytest.approx(goals[row.source], rel=1e-9)
-        assert 0 <= row.taken <= 2 * row.size
+        assert row.taken in (0, row.size, 2 * row.size) and all(d.words == row.size for d in row.draws)
         assert row.taken == sum(d.words for d in row.draws)
         taken[row.source] += row.taken
     return goals, taken
 
 
+def check_near(texts, goals, taken):
+    """Half of the largest document of a source, at most, lies between the words taken and the target."""
+    for source, goal in goals.items():
+        assert abs(taken[source] - goal) <= max(len(WORD.findall(t or "")) for _, t, s in texts if s == source) / 2 + 0.5
+
+
 TEXTS = [
     (i, "w " * (i * 37 % 91 + (5000 if i == 7 else 0)), s)
     for i, s in enumerate(["a", "b", "c", "d", None, "Z", "é", ""] * 30)
@@ -49,9 +57,7 @@ TEXTS = [
 def test_targets_and_taken_words(spark):
     docs = spark.createDataFrame([(*t, 1) for t in TEXTS], "doc_id long, text string, source string, size int")
     rows = mixing.plan(docs).collect()
-    goals, taken = check_plan(rows, TEXTS)
-    for source, goal in goals.items():
-        assert abs(taken[source] - goal) <= 0.5
+    check_near(TEXTS, *check_plan(rows, TEXTS))
     again = mixing.plan(docs.repartition(5)).collect()
     assert sorted(map(str, again)) == sorted(map(str, rows))
     assert mixing.plan(docs.limit(0)).collect() == []
@@ -94,8 +100,7 @@ def test_blocks_shards_and_rows_of_the_mix(spark, folder, monkeypatch):
     rows = mixing.plan(docs, shards=4).collect()
     texts = [(r.doc_id, r.text, r.source) for r in docs.collect()]
     goals, taken = check_plan(rows, texts)
-    for source, goal in goals.items():
-        assert abs(taken[source] - goal) <= 0.5
+    check_near(texts, goals, taken)
     shards = collections.Counter(d.shard for r in rows for d in r.draws)
     assert set(shards) == {0, 1, 2, 3}
     for row in rows:
@@ -105,9 +110,19 @@ def test_blocks_shards_and_rows_of_the_mix(spark, folder, monkeypatch):
     given = {i: t for i, t, _ in texts}
     words = collections.Counter()
     for row in mixed.collect():
-        assert given[row.doc_id].startswith(row.text)
+        assert given[row.doc_id] == row.text
         words[row.source] += len(WORD.findall(row.text))
     assert words == taken
+    # Within a partition rows of a shard lie in drawn order.
+    places = collections.defaultdict(list)
+    for row in rows:
+        for draw in row.draws:
+            places[row.doc_id].append((draw.shard, draw.position))
+    parts = mixed.select("doc_id", F.spark_partition_id().alias("p")).collect()
+    for part in {r.p for r in parts}:
+        least = (-1, 0)
+        for doc_id in (r.doc_id for r in parts if r.p == part):
+            least = min(x for x in places[doc_id] if x > least)
 
 
 def test_bad_number_of_shards(spark):

@@ -59,10 +59,11 @@ def test_each_stage_against_plain_python(spark, folder, monkeypatch):
     mixed, words = docs.collect(), collections.Counter()
     assert docs.columns == COLUMNS
     for row in mixed:
-        assert left[row.doc_id].text.startswith(row.text) and row.n_chars == len(row.text)
+        assert left[row.doc_id] == row
         words[row.source] += len(WORD.findall(row.text))
     for source, goal in brute_targets(sizes).items():
-        assert abs(words[source] - goal) <= 0.5
+        largest = max(len(WORD.findall(r.text)) for r in left.values() if r.source == source)
+        assert abs(words[source] - goal) <= largest / 2 + 0.5
 
     encode = packing.Encoder(packing.tokenizer_path())
     pieces = collections.Counter()
