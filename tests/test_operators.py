@@ -161,3 +161,16 @@ def test_histogram_of_equal_values(spark):
 def test_value_counts_keep_null(spark):
     df = spark.createDataFrame([("a",), (None,), ("a",)], "v string")
     assert [tuple(r) for r in profile.value_counts(df, F.col("v"), "v").collect()] == [("a", 2), (None, 1)]
+
+
+def test_stored_tables_can_be_discarded(spark):
+    import pathlib
+
+    from lastro.session import discard, stored
+
+    first = stored(spark.range(10), "test")
+    second = stored(first.groupBy((F.col("id") % 3).alias("k")).count(), "test")
+    folder = pathlib.Path(first.stored_at.removeprefix("file:"))
+    assert folder.exists() and second.count() == 3
+    discard(first)
+    assert not folder.exists() and second.count() == 3
