@@ -4,9 +4,10 @@ span classifier trained on the result decides.
 Strict patterns give spans that always stay.  Looser patterns (addresses written with "at" and "dot", phone
 numbers without country code, card numbers with a wrong check digit, IPv6) only propose.  Four labelers vote on
 both sorts: the strict pattern, gazetteers (top-level domains, card issuers, dialling codes, reserved networks), the
-words before the span, and its shape.  All votes are SQL expressions; equal vote patterns are counted, and only
-these counts (at most a few hundred rows, by construction) reach the driver, where reliabilities and the
-classifier are fitted.
+words before the span, and its shape.  The classifier learns from what the labelers make of a span together, and sees
+more than they do: its length, its share of digits, what stands before it.  All votes are SQL expressions; equal
+patterns are counted, and only these counts (at most a few thousand rows, by construction) reach the driver, where
+reliabilities and the classifier are fitted.
 """
 
 from __future__ import annotations
@@ -67,26 +68,66 @@ AGAINST = "version|release|chapter|section|isbn|issn|order|invoice|serial|articl
 VOTES = ("regex", "gazetteer", "context", "shape")
 
 
+#: Matches that are listed at a time; a list is copied for each one added to it.
+CHUNK = 256
+_SPAN = "struct<s: int, e: int, k: int, x: string, b: string>"
+
+
 def _spans(gate: str, pattern: str, kind: str, valid: str) -> str:
-    """All matches as structs of kind, code-point start and end and text; matches and the pieces between them both
-    come from the regex engine's left-to-right search, their lengths add up to the places."""
-    shape = "array<struct<s: int, e: int, k: int, x: string>>"
+    """All matches as structs of kind, code-point start and end, text and the 24 characters before; matches and the
+    pieces between them both come from the regex engine's left-to-right search, their lengths add up to the places.
+
+    The work is linear in the text: matches are listed in chunks, and what stands before one is carried along.
+    """
     place = KINDS.index(kind)
+    matches = f"regexp_extract_all(_t, r'{pattern}', 0)"
+    pieces = f"zip_with({matches}, slice(split(_t, r'{pattern}'), 1, size({matches})), (x, g) -> named_struct('x', x, 'g', g))"
+    chunks = f"transform(array({pieces}), z -> transform(sequence(0, size(z) div {CHUNK}), i -> slice(z, int(i) * {CHUNK} + 1, {CHUNK})))[0]"
+    span = (
+        f"named_struct('s', a.at + length(z.g), 'e', a.at + length(z.g) + length(z.x), 'k', {place}, 'x', z.x,"
+        " 'b', right(concat(a.tail, z.g), 24))"
+    )
+    within = (
+        f"aggregate(part, named_struct('at', whole.at, 'tail', whole.tail, 'out', cast(array() AS array<{_SPAN}>)),"
+        " (a, z) -> named_struct('at', a.at + length(z.g) + length(z.x), 'tail', right(concat(a.tail, z.g, z.x), 24), 'out',"
+        f" CASE WHEN {valid.format(x='z.x')} THEN array_append(a.out, {span}) ELSE a.out END))"
+    )
     return (
-        f"CASE WHEN {gate} THEN aggregate(zip_with(regexp_extract_all(_t, r'{pattern}', 0),"
-        f" slice(split(_t, r'{pattern}'), 1, size(regexp_extract_all(_t, r'{pattern}', 0))),"
-        " (x, g) -> named_struct('x', x, 'g', g)),"
-        f" named_struct('at', 0, 'out', cast(array() AS {shape})),"
-        " (a, z) -> named_struct('at', a.at + length(z.g) + length(z.x), 'out',"
-        f" CASE WHEN {valid.format(x='z.x')} THEN array_append(a.out, named_struct('s', a.at + length(z.g),"
-        f" 'e', a.at + length(z.g) + length(z.x), 'k', {place}, 'x', z.x)) ELSE a.out END),"
-        f" a -> a.out) ELSE cast(array() AS {shape}) END"
+        f"CASE WHEN {gate} THEN aggregate({chunks},"
+        f" named_struct('at', 0, 'tail', '', 'out', cast(array() AS array<array<{_SPAN}>>)),"
+        f" (whole, part) -> aggregate(array({within}), whole, (w, r) ->"
+        " named_struct('at', r.at, 'tail', r.tail, 'out', array_append(w.out, r.out))),"
+        f" whole -> flatten(whole.out)) ELSE cast(array() AS array<{_SPAN}>) END"
+    )
+
+
+def _overlaps(base: str) -> str:
+    """Whether a span ``c`` overlaps one of a sorted list of disjoint spans, by binary search."""
+    middle = "int((p.lo + p.hi) div 2)"
+    earlier = (
+        f"aggregate(sequence(0, 1 + int(log2(size({base}) + 1))), named_struct('lo', 0, 'hi', size({base})),"
+        f" (p, i) -> CASE WHEN p.lo >= p.hi THEN p WHEN get({base}, {middle}).s < c.e"
+        f" THEN named_struct('lo', {middle} + 1, 'hi', p.hi) ELSE named_struct('lo', p.lo, 'hi', {middle}) END, p -> p.lo)"
+    )
+    return f"coalesce(get({base}, {earlier} - 1).e > c.s, false)"
+
+
+#: What the classifier sees of a span besides the votes, with the number of values of each.
+SIGHTS = {"length": 4, "digits": 4, "before": 4}
+
+
+def _sights() -> str:
+    """Length, share of digits in thirds, and what stands before a span ``c``: nothing, a letter, white space, else."""
+    return (
+        "named_struct('length', CASE WHEN length(c.x) < 12 THEN 0 WHEN length(c.x) < 18 THEN 1 WHEN length(c.x) < 30 THEN 2 ELSE 3 END,"
+        f" 'digits', int(3 * length({_DIGITS.format(x='c.x')}) div length(c.x)),"
+        " 'before', CASE WHEN c.b = '' THEN 0 WHEN rlike(c.b, r'[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]$') THEN 1 WHEN rlike(c.b, r'[\\x20\\x09-\\x0D]$') THEN 2 ELSE 3 END)"
     )
 
 
 def _votes(strict: bool) -> str:
-    """A struct of votes for a span ``c`` of a text ``_t``: 1 for, 0 against, -1 no opinion."""
-    before = "lower(substring(_t, greatest(c.s - 23, 1), least(c.s, 24)))"
+    """A struct of votes for a span ``c``: 1 for, 0 against, -1 no opinion."""
+    before = "lower(c.b)"
     by_kind = lambda parts: "CASE c.k " + " ".join(f"WHEN {i} THEN {parts[k]}" for i, k in enumerate(KINDS)) + " END"
     digits = _DIGITS.format(x="c.x")
     gazetteer = by_kind({
@@ -110,17 +151,17 @@ def _votes(strict: bool) -> str:
 
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per input row: ``id``, ``base`` and ``loose``, arrays of spans (``s``, ``e``, ``k``) with votes ``v``."""
+    """One row per input row: ``id``, ``base`` and ``loose``, arrays of spans (``s``, ``e``, ``k``) with votes ``v`` and
+    sights ``f``."""
     held = docs.select(docs[id_column].alias("id"), text_of(docs[text_column]).alias("_t"))
     held = held.withColumn("_digits", F.expr("rlike(_t, '[0-9]')"))
     for kind in KINDS:
         held = held.withColumn(f"_b_{kind}", F.expr(_spans(GATES[kind], BASE[kind], kind, VALID[kind])))
         held = held.withColumn(f"_l_{kind}", F.expr(_spans(LOOSE_GATES[kind], LOOSE[kind], kind, "true")))
     held = held.withColumn("_base", F.expr(f"concat({', '.join(f'_b_{k}' for k in KINDS)})"))
-    held = held.withColumn("_loose", F.expr(
-        f"filter(concat({', '.join(f'_l_{k}' for k in KINDS)}), c -> NOT exists(_base, b -> b.s < c.e AND c.s < b.e))"
-    ))
-    voted = "transform({of}, c -> named_struct('s', c.s, 'e', c.e, 'k', c.k, 'v', {votes}))"
+    taken = " OR ".join(_overlaps(f"_b_{k}") for k in KINDS)
+    held = held.withColumn("_loose", F.expr(f"filter(concat({', '.join(f'_l_{k}' for k in KINDS)}), c -> NOT ({taken}))"))
+    voted = f"transform({{of}}, c -> named_struct('s', c.s, 'e', c.e, 'k', c.k, 'v', {{votes}}, 'f', {_sights()}))"
     return held.select(
         "id", F.expr(voted.format(of="_base", votes=_votes(True))).alias("base"),
         F.expr(voted.format(of="_loose", votes=_votes(False))).alias("loose"),
@@ -158,18 +199,22 @@ def reliabilities(counts: list[tuple[int, tuple[int, ...], int]], rounds: int =
     return posterior
 
 
-def features(kind: int, votes: tuple[int, ...]) -> list[float]:
-    """One for each kind, then for and against for each labeler."""
-    return [float(kind == k) for k in range(len(KINDS))] + [float(v == s) for v in votes for s in (1, 0)]
+def features(kind: int, votes: tuple[int, ...], seen: tuple[int, ...]) -> list[float]:
+    """One for each kind, then for and against for each labeler, then one for each value of each sight."""
+    own = [float(value == v) for value, n in zip(seen, SIGHTS.values()) for v in range(n)]
+    return [float(kind == k) for k in range(len(KINDS))] + [float(v == s) for v in votes for s in (1, 0)] + own
 
 
-def train(counts: list[tuple[int, tuple[int, ...], int]], posterior: list[float]) -> list[float]:
+Pattern = tuple[int, tuple[int, ...], tuple[int, ...], int]
+
+
+def train(patterns: list[Pattern], posterior: list[float]) -> list[float]:
     """Logistic regression on the posteriors (weight decay 1), by Newton steps on the counted patterns."""
-    size = len(KINDS) + 2 * len(VOTES)
-    if not counts:
+    size = len(KINDS) + 2 * len(VOTES) + sum(SIGHTS.values())
+    if not patterns:
         return [-1.0] * len(KINDS) + [0.0] * (size - len(KINDS))
-    x = np.array([features(k, v) for k, v, _ in counts])
-    n, y, w = np.array([float(c) for *_, c in counts]), np.array(posterior), np.zeros(size)
+    x = np.array([features(k, v, f) for k, v, f, _ in patterns])
+    n, y, w = np.array([float(c) for *_, c in patterns]), np.array(posterior), np.zeros(size)
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         slope = x.T @ (n * (p - y)) + w
@@ -178,6 +223,16 @@ def train(counts: list[tuple[int, tuple[int, ...], int]], posterior: list[float]
     return w.tolist()
 
 
+def fit(patterns: list[Pattern]) -> list[float]:
+    """Weights of the classifier: reliabilities from the votes, the classifier from votes and sights."""
+    counts: dict[tuple[int, tuple[int, ...]], int] = {}
+    for kind, votes, _, n in patterns:
+        counts[kind, votes] = counts.get((kind, votes), 0) + n
+    voted = [(k, v, n) for (k, v), n in counts.items()]
+    posterior = dict(zip(counts, reliabilities(voted)))
+    return train(patterns, [posterior[k, v] for k, v, *_ in patterns])
+
+
 def _decides(weights: list[float]) -> str:
     """SQL of the classifier for a span ``c``: true where it takes it for personal data."""
     parts = [f"CASE c.k {' '.join(f'WHEN {i} THEN {w!r}D' for i, w in enumerate(weights[: len(KINDS)]))} END"]
@@ -185,6 +240,8 @@ def _decides(weights: list[float]) -> str:
     for name in VOTES:
         yes, no = next(rest), next(rest)
         parts.append(f"CASE c.v.{name} WHEN 1 THEN {yes!r}D WHEN 0 THEN {no!r}D ELSE 0D END")
+    for name, n in SIGHTS.items():
+        parts.append(f"CASE c.f.{name} {' '.join(f'WHEN {v} THEN {next(rest)!r}D' for v in range(n))} END")
     return " + ".join(parts) + " >= 0"
 
 
@@ -196,9 +253,8 @@ def find(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     empty table gives no rows.  Other columns are ignored.
     """
     found = stored(candidates(docs, id_column, text_column), "pii-candidates")
-    votes = found.select(F.explode(F.concat("base", "loose")).alias("c")).groupBy("c.k", "c.v").count()
-    counts = sorted((r["k"], tuple(r["v"]), r["count"]) for r in votes.collect())
-    weights = train(counts, reliabilities(counts))
+    votes = found.select(F.explode(F.concat("base", "loose")).alias("c")).groupBy("c.k", "c.v", "c.f").count()
+    weights = fit(sorted((r["k"], tuple(r["v"]), tuple(r["f"]), r["count"]) for r in votes.collect()))
     order = "sort_array(transform({of}, c -> named_struct('s', c.s, 'k', c.k, 'e', c.e)))"
     added = f"filter(loose, c -> {_decides(weights)})"
     return found.select(

@@ -85,12 +85,34 @@ def test_reliabilities_and_classifier_agree_with_clear_votes():
     counts = [(0, (1, 1, 1, 1), 50), (0, (0, 0, 0, 0), 50), (3, (0, 1, 1, 1), 9), (3, (0, 0, -1, 0), 9), (3, (1, 1, -1, 1), 90)]
     posterior = pii.reliabilities(counts)
     assert posterior[0] > 0.9 > 0.1 > posterior[1] and posterior[4] > 0.9 and posterior[3] < 0.1
-    weights = pii.train(counts, posterior)
-    score = [sum(w * f for w, f in zip(weights, pii.features(k, v))) for k, v, _ in counts]
+    seen = (1, 1, 2)
+    weights = pii.train([(k, v, seen, n) for k, v, n in counts], posterior)
+    score = [sum(w * f for w, f in zip(weights, pii.features(k, v, seen))) for k, v, _ in counts]
     assert score[0] > 0 > score[1] and score[4] > 0 > score[3]
     assert pii.train([], []) and pii.reliabilities([]) == []
 
 
+def test_classifier_sees_what_no_labeler_does():
+    """Spans with one and the same doubtful vote: those that look like sure ones are taken, others are not."""
+    long, short, doubtful = (3, 0, 2), (0, 2, 1), (0, 1, 1, 0)
+    patterns = [(0, (1, 1, 1, 1), long, 900), (0, (0, 0, 0, 0), short, 900), (0, doubtful, long, 40), (0, doubtful, short, 40)]
+    weights = pii.fit(patterns)
+    score = {(v, f): sum(w * x for w, x in zip(weights, pii.features(0, v, f))) for _, v, f, _ in patterns}
+    assert score[doubtful, long] > 0 > score[doubtful, short]
+
+
+def test_many_spans_in_one_text(spark):
+    """Time grows with the number of spans, not with its square."""
+    import time
+
+    text = " ".join(f"10.0.{i // 250 % 250}.{i % 250} u{i}@mail.example.com" for i in range(50_000)) + " +49 (0) 301 234-567"
+    docs = spark.createDataFrame([(1, text), (2, text + " call (212) 555-1234")], "doc_id long, text string")
+    start = time.monotonic()
+    rows = {r.doc_id: r for r in pii.find(docs).collect()}
+    assert time.monotonic() - start < 120
+    assert [(c.s, c.k, c.e) for c in rows[1].base] == [(s, k, e) for s, k, e in base_of(text)] and len(rows[1].base) == 100_001
+
+
 def test_no_python_in_the_plan(spark, folder, capsys):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     pii.candidates(docs).explain()
