@@ -74,16 +74,16 @@ def releasing_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_CLEANUP, before)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """The table written to the shared folder and read back.
 
     For a table that several later steps read: its source is scanned once, later plans
     start at the files, and a lost executor has something to restart from.  Shuffle files
-    of the writing are removed with its end.
+    of the writing are removed with its end.  ``partition_by`` names columns by whose values parts of it are read.
     """
     path = scratch_path(df.sparkSession, name)
     with releasing_shuffles(df.sparkSession):
-        df.write.parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
