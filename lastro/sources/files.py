@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from lastro import contracts
 from lastro import fixed_values as fv
 from lastro.functions.literals import in_list, name
+from lastro.sources.records import read_records
 
 # The date layouts accepted in the files.
 DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy")
@@ -57,28 +58,46 @@ def read_csv(
 ) -> DataFrame:
     """Header CSV as text columns.  Columns outside the contract are kept.
 
-    Quotes in a field are doubled.  A field may hold line breaks; where the files are known to have
-    none, ``multi_line=False`` lets Spark split large ones.  A file whose header differs from the first
-    one's, in names or their order, is an error.
+    Quotes in a field are doubled.  A field may hold line breaks, and large files are read by many tasks all the same
+    (:mod:`lastro.sources.records`); where the files are known to have none, ``multi_line=False`` leaves out the pass that
+    looks for them.  A file whose header differs from the first one's, in names or their order, is an error.
 
     The header is read once to name the columns, so there is no inference pass over the
     data.  ``with_order`` adds the position of each row as (file, offset of the split,
-    row within the task), the order in which a single reader would meet the rows.
+    row within the task or number of the record in the file), the order in which a single reader would meet the rows.
     """
-    options = {"header": True, "escape": '"', "multiLine": multi_line}
-    names = spark.read.options(**options).csv(path).columns
+    options = {"header": True, "escape": '"'}
+    names = spark.read.options(**options, multiLine=multi_line).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = spark.read.schema(schema).options(**options, mode="PERMISSIVE", enforceSchema=False).csv(path)
-    if with_order:
-        position = F.struct(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("offset"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        raw = raw.withColumn(INGEST_ORDER, position)
+    if multi_line:
+        raw = _parsed_records(read_records(spark, path), schema, with_order)
+    else:
+        raw = spark.read.schema(schema).options(**options, mode="PERMISSIVE", enforceSchema=False).csv(path)
+        if with_order:
+            position = F.struct(
+                F.col("_metadata.file_path").alias("file"),
+                F.col("_metadata.file_block_start").alias("offset"),
+                F.monotonically_increasing_id().alias("row"),
+            )
+            raw = raw.withColumn(INGEST_ORDER, position)
     return null_tokens(raw)
 
 
+def _parsed_records(records: DataFrame, schema: T.StructType, with_order: bool) -> DataFrame:
+    """The fields of each record but the headers, which have to name the columns of the schema."""
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    fields = F.from_csv(F.col("text"), ", ".join(f"{name(n)} string" for n in schema.names), options)
+    parsed = records.where(F.trim("text") != "").select("file", "record", fields.alias("f"))
+    found = F.array(*[F.col("f").getField(n) for n in schema.names])
+    fits = F.coalesce(F.transform(found, lambda x: F.coalesce(x, F.lit(""))) == F.array(*map(F.lit, schema.names)), F.lit(False))
+    differs = F.raise_error(F.concat(F.lit("the header differs from that of the first file: "), F.col("file")))
+    rows = parsed.where((F.col("record") > 1) | F.when(fits, F.lit(False)).otherwise(differs.cast("boolean")))
+    columns = [F.col("f").getField(n).alias(n) for n in schema.names]
+    if with_order:
+        columns.append(F.struct("file", F.lit(0).cast("long").alias("offset"), F.col("record").alias("row")).alias(INGEST_ORDER))
+    return rows.select(*columns)
+
+
 def _coerce_to(df: DataFrame, contract: dict[str, contracts.ColumnSpec]) -> DataFrame:
     return coerce_types(
         df,
