@@ -220,8 +220,10 @@ def feature_importance(
     return spark.createDataFrame(rows, schema).orderBy("model", F.desc("importance"), "feature")
 
 
-def score_dataset(features: DataFrame, model: Model, preprocessor: Preprocessor) -> DataFrame:
-    """The published score table of all receivables, train rows included.
+def score_dataset(
+    features: DataFrame, model: Model, preprocessor: Preprocessor, extra: Sequence[str] = ()
+) -> DataFrame:
+    """The published score table of all receivables, train rows included, with the columns of ``extra`` that exist.
 
     The published columns travel along under other names, since the preprocessor replaces
     the model inputs in place; this saves a join of the table with itself.
@@ -231,6 +233,7 @@ def score_dataset(features: DataFrame, model: Model, preprocessor: Preprocessor)
             *contracts.IDENTIFIERS, *contracts.DATES, contracts.TARGET, *contracts.SCORE_CONTEXT
         ) if c in features.columns
     ]
+    kept += [c for c in extra if c in features.columns and c not in kept]
     carried = F.struct(*kept).alias("_kept")
     inputs = features.select(ROW_ID, *preprocessor.feature_columns, carried)
     assembled = preprocessor.transform(inputs)

@@ -114,7 +114,7 @@ def run(
     result.store("enriched/payments_enriched", enriched)
 
     importance, scored = train_and_score(result, table, settings)
-    publish(result, scored, table, importance)
+    publish(result, scored, importance)
     sinks.write_parquet(result.report(), f"{result.out}/run_report")
     return result
 
@@ -122,7 +122,10 @@ def run(
 def train_and_score(
     result: Run, table: DataFrame, settings: ml.Settings
 ) -> tuple[DataFrame, DataFrame]:
-    """Fit the models on the train rows; returns feature importance and the scored table."""
+    """Fit the models on the train rows; returns feature importance and the scored table with its details.
+
+    The details are scored along and stored once, so that no panel has to join the two widest tables.
+    """
     out = result.out
     split = prepare.stratified_split(prepare.select_features(table))
     split = result.store("ml/split", split, "split")
@@ -147,20 +150,22 @@ def train_and_score(
     )
     best = ml.best_model(metrics, settings.models)
     result.store("ml/evaluation/best_model", result.spark.createDataFrame([(best,)], "model string"))
-    scored = ml.score_dataset(table, models[best], fitted)
-    return importance, result.store("bi/boleto_scores", scored)
+    wide = ml.score_dataset(table, models[best], fitted, dashboard.DETAIL_COLUMNS)
+    return importance, result.store("detail/transactions", wide)
 
 
-def publish(result: Run, scored: DataFrame, table: DataFrame, importance: DataFrame) -> None:
-    """The seven portfolio tables and the dashboard datasets."""
+def publish(result: Run, scored: DataFrame, importance: DataFrame) -> None:
+    """The score table, the seven portfolio tables and the dashboard datasets."""
+    details = set(dashboard.DETAIL_COLUMNS) - set(contracts.SCORE_CONTEXT)
+    scores = result.store("bi/boleto_scores", scored.select(*[c for c in scored.columns if c not in details]))
     tables = {
         name: result.store(f"bi/{name}", df)
-        for name, df in portfolio.published_tables(scored).items()
+        for name, df in portfolio.published_tables(scores).items()
     }
     metrics = files.read_model_metrics(
         result.spark, f"{result.out}/ml/evaluation/model_evaluation"
     )
-    write_dashboard(result, dashboard.transaction_detail(scored, table), tables, importance, metrics)
+    write_dashboard(result, dashboard.transaction_detail(scored), tables, importance, metrics)
 
 
 def write_dashboard(
@@ -185,13 +190,23 @@ def build_dashboard(
     found, complete = files.read_published(spark, f"{result.out}/bi")
     metrics = files.read_model_metrics(spark, f"{result.out}/ml/evaluation/model_evaluation")
     if complete:
-        table = files.read_optional(spark, f"{result.out}/features/payments_features")
-        detail = dashboard.transaction_detail(found["boleto_scores"], table)
+        scored = files.read_optional(spark, f"{result.out}/detail/transactions")
+        if scored is not None:
+            detail = dashboard.transaction_detail(scored)
+        else:
+            table = files.read_optional(spark, f"{result.out}/features/payments_features")
+            detail = dashboard.transaction_detail(found["boleto_scores"], table)
         write_dashboard(result, detail, found, found.get("feature_importance"), metrics)
-        return "published tables"
+        return _stored_source(result, "published tables")
     payments = files.load_payments(spark, payments_path)
     auxiliary = files.load_auxiliary(spark, auxiliary_path)
     tables = portfolio.tables_from_raw(scoring.score_by_rules(payments, auxiliary))
     detail = dashboard.with_display_columns(tables["boleto_scores"])
     write_dashboard(result, detail, tables, metrics=metrics)
-    return "raw files"
+    return _stored_source(result, "raw files")
+
+
+def _stored_source(result: Run, source: str) -> str:
+    """Where the data of a dashboard came from, kept beside it."""
+    result.export("dashboard/source", result.spark.createDataFrame([(source,)], "generated_from string"))
+    return source

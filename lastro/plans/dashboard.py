@@ -34,19 +34,27 @@ class Filters:
     search: str = ""
 
 
+# What the detail shows besides the columns of the score table.
+DETAIL_COLUMNS = (
+    "dt_pagamento", "vlr_baixa", "tipo_baixa", "tipo_especie", "payment_delay_days",
+    "beneficiary_media_atraso_dias", "beneficiary_cedente_indice_liquidez_1m",
+    "beneficiary_sacado_indice_liquidez_1m", "beneficiary_indicador_liquidez_quantitativo_3m",
+    "beneficiary_share_vl_inad_pag_bol_6_a_15d", "payer_media_atraso_dias",
+    "payer_sacado_indice_liquidez_1m",
+)
+
+
 def transaction_detail(scores: DataFrame, features: DataFrame | None = None) -> DataFrame:
-    """Scored receivables with settlement details and display columns."""
-    extra = (
-        "dt_pagamento", "vlr_baixa", "tipo_baixa", "tipo_especie", "payment_delay_days",
-        "beneficiary_media_atraso_dias", "beneficiary_cedente_indice_liquidez_1m",
-        "beneficiary_sacado_indice_liquidez_1m", "beneficiary_indicador_liquidez_quantitativo_3m",
-        "beneficiary_share_vl_inad_pag_bol_6_a_15d", "payer_media_atraso_dias",
-        "payer_sacado_indice_liquidez_1m",
-    )
+    """Scored receivables with settlement details and display columns.
+
+    The details come with the scores (``score_dataset(extra=DETAIL_COLUMNS)``) or, where these were left out, from the
+    feature table by a join of the two.
+    """
     detail = scores
     if features is not None:
-        wanted = [c for c in extra if c in features.columns and c not in scores.columns]
-        detail = scores.join(features.select("id_boleto", *wanted), "id_boleto", "left")
+        wanted = [c for c in DETAIL_COLUMNS if c in features.columns and c not in scores.columns]
+        if wanted:
+            detail = scores.join(features.select("id_boleto", *wanted), "id_boleto", "left")
     return with_display_columns(detail)
 
 

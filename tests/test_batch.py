@@ -100,6 +100,7 @@ def test_dashboard_from_published_tables(spark, raw, finished, tmp_path):
     run, out = finished
     source = batch.build_dashboard(spark, str(out), str(root / "payments.csv"), str(root / "auxiliary.csv"))
     assert source == "published tables"
+    assert [r.generated_from for r in spark.read.json(f"{out}/dashboard/source").collect()] == [source]
     shown = spark.read.json(f"{out}/dashboard/transactions")
     assert shown.count() > 0 and "score_display" in shown.columns
     for name in ("summary", "filters", "beneficiaries", "payers", "feature_importance", "model_metrics"):
@@ -147,3 +148,17 @@ def test_columns_outside_the_contract_are_kept(spark, tmp_path):
     df = files.load_payments(spark, str(tmp_path / "p.csv"))
     assert [tuple(r) for r in df.collect()] == [("B1", None, "7"), ("B2", 1.5, None)]
     assert files.read_optional(spark, str(tmp_path / "absent")) is None
+
+
+def test_details_are_scored_along(spark, finished, capsys):
+    """The detail holds what a join of scores and features would, without one."""
+    from lastro.plans import dashboard
+
+    _, out = finished
+    stored, scores, table = (spark.read.parquet(f"{out}/{n}") for n in ("detail/transactions", "bi/boleto_scores", "features/payments_features"))
+    detail, joined = dashboard.transaction_detail(stored), dashboard.transaction_detail(scores, table)
+    detail.explain()
+    assert "Join" not in capsys.readouterr().out
+    columns = sorted(joined.columns)
+    assert sorted(detail.columns) == columns
+    assert detail.select(columns).exceptAll(joined.select(columns)).isEmpty() and detail.count() == joined.count()
