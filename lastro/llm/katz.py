@@ -12,8 +12,9 @@ N-grams are known by 64-bit hashes.  Texts are read once into blocks of about ``
 row of a table in the shared folder.  The blocks send their distinct n-grams of each order with their training counts,
 cut by hash into buckets; a bucket sums what the blocks sent and answers each block with the totals.  A frequent
 n-gram is one number per block, whatever its frequency, so no bucket is hot.  One of the blocks that hold an n-gram is
-its owner and adds it to the sums of its history, so every n-gram enters a(h) once.  All that is sent is packed into
-as few bytes as the numbers need.
+its owner and adds it to the sums of its history, so every n-gram enters a(h) once.  A history that one block alone holds
+is followed by n-grams of this block alone: its weight is found where it is needed, and only those that several blocks
+hold are exchanged.  All that is sent is packed into as few bytes as the numbers need.
 """
 
 from __future__ import annotations
@@ -32,10 +33,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from lastro.llm.text import split_words, text_of
-from lastro.session import stored
+from lastro.session import discard, stored
 
 BLOCK_TOKENS = 1 << 20
 BUCKET_KEYS = 1 << 20
+#: Parts in which blocks meet their answers one after the other, so that only a part of them lies in shuffle files.
+PARTS = 4
 #: Counts up to this one are discounted.
 DISCOUNTED = 5
 #: What larger counts lose.
@@ -205,7 +208,7 @@ def _send(order: int, buckets: int):
 
 
 def _sum(table: pa.Table) -> pa.Table:
-    """The totals of one bucket, sent back to its blocks; items that the block owns are marked."""
+    """The totals of one bucket, sent back to its blocks; items that the block owns, or shares with others, are marked."""
     table = table.sort_by("block")
     keys = [_unpacked_keys(x.as_py()) for x in table["keys"]]
     counts = [_unpacked(x.as_py()) for x in table["counts"]]
@@ -215,11 +218,12 @@ def _sum(table: pa.Table) -> pa.Table:
     trained = np.flatnonzero(added)
     owner = np.zeros(len(number), np.uint64)
     owner[trained[np.unique(number[trained], return_index=True)[1]]] = 1
+    shared = (np.bincount(number, minlength=len(distinct)) > 1).astype(np.uint64)
     of_counts = np.bincount(np.minimum(totals, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
     answers, at = [], 0
     for part in keys:
         span = slice(at, at + len(part))
-        answers.append(_packed(totals[number[span]] * np.uint64(2) + owner[span]))
+        answers.append(_packed((totals[number[span]] * np.uint64(2) + shared[number[span]]) * np.uint64(2) + owner[span]))
         at += len(part)
     rows = table.num_rows
     # The bucket's own figures travel with its first row.
@@ -236,7 +240,11 @@ def _exchange(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
     answers = sent.groupBy("bucket").applyInArrow(
         _sum, "bucket int, block bigint, answer binary, of_counts array<bigint>, distinct bigint, total bigint"
     )
-    return stored(answers, f"katz-{order}")
+    return stored(answers.withColumn("part", _part()), f"katz-{order}", "part")
+
+
+def _part() -> Column:
+    return F.pmod(F.xxhash64("block"), F.lit(PARTS)).cast("int")
 
 
 def _gathered(blocks: DataFrame, answers: DataFrame) -> DataFrame:
@@ -251,11 +259,11 @@ def _answers(row: dict, kind: str) -> list[bytes]:
     return [x["answer"] for x in row["answers"] or () if x["kind"] == kind]
 
 
-def _totals(row: dict, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Training counts of the block's n-grams, and which of them it owns."""
+def _totals(row: dict, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Training counts of the block's n-grams, which of them it owns, and which other blocks hold too."""
     pieces = [_unpacked(x) for x in _answers(row, f"count{order}")]
     both = np.concatenate(pieces) if pieces else np.zeros(0, np.uint64)
-    return (both >> np.uint64(1)).astype(np.float64), (both & np.uint64(1)).astype(bool)
+    return (both >> np.uint64(2)).astype(np.float64), (both & np.uint64(1)).astype(bool), (both & np.uint64(2)).astype(bool)
 
 
 @dataclass
@@ -308,7 +316,7 @@ def _evaluated(model: _Model, buckets: dict[int, int], rows: pa.RecordBatch, sha
     texts, weights = [], []
     for n in range(2, model.order + 1):
         (keys, histories), (_, numbers) = grams[n - 2], grams[n - 1]
-        (before, _), (followed, owned) = totals[n - 2], totals[n - 1]
+        (before, _, shared), (followed, owned, _) = totals[n - 2], totals[n - 1]
         at = np.flatnonzero(numbers >= 0)
         history, c = histories[at - 1], followed[numbers[at]]
         seen, there = before[history], c > 0
@@ -316,9 +324,6 @@ def _evaluated(model: _Model, buckets: dict[int, int], rows: pa.RecordBatch, sha
         # Unseen after a seen history: log a(h) is added later, without its division by c(h).
         backed = ~there & (seen > 0)
         logs[at[backed]] -= np.log10(seen[backed])
-        wanted, weight = np.unique(history[backed], return_inverse=True)
-        texts.append(_packed(of_text[at[backed]]))
-        weights.append(_packed(weight))
         # One token of each distinct n-gram that the block owns stands for it.
         first = np.unique(numbers[at], return_index=True)[1]
         first = first[owned[numbers[at[first]]]]
@@ -329,7 +334,14 @@ def _evaluated(model: _Model, buckets: dict[int, int], rows: pa.RecordBatch, sha
             lower = model.discounted(n - 1, before[histories[ends_at]]) / totals[n - 3][0][grams[n - 3][1][ends_at - 1]]
         freed = np.bincount(own, weights=c[first] - model.discounted(n, c[first]), minlength=len(keys))
         below = np.bincount(own, weights=lower, minlength=len(keys))
-        some = np.flatnonzero(np.bincount(own, minlength=len(keys)))
+        # The block holds all that follows a history of its own.
+        alone = backed & ~shared[history]
+        logs[at[alone]] += np.log10(freed[history[alone]] / np.maximum(1 - below[history[alone]], 1e-12))
+        backed &= shared[history]
+        wanted, weight = np.unique(history[backed], return_inverse=True)
+        texts.append(_packed(of_text[at[backed]]))
+        weights.append(_packed(weight))
+        some = np.flatnonzero((np.bincount(own, minlength=len(keys)) > 0) & shared)
         ends, ends_wanted = _cut(keys[some], buckets[n]), _cut(keys[wanted], buckets[n])
         used = sorted({*_some(ends), *_some(ends_wanted)})
         yield _shaped({
@@ -416,14 +428,14 @@ def score(
     held = F.coalesce(train, F.lit(False))
     texts = docs.select(docs[id_column].alias("id"), text_of(docs[text_column]).alias("text"), held.alias("train"))
     layout = f"ids array<{id_type}>, lengths array<int>, train array<boolean>, words binary, numbers binary, distinct int"
-    blocks = stored(
-        texts.mapInArrow(_blocks, layout).withColumn("block", F.monotonically_increasing_id()), "katz-blocks"
-    )
+    numbered = texts.mapInArrow(_blocks, layout).withColumn("block", F.monotonically_increasing_id())
+    blocks = stored(numbered.withColumn("part", _part()), "katz-blocks", "part")
     size = blocks.agg(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)")), F.sum("distinct")).first()
-    tokens, model, counts = int(size[0] or 0), _Model(order, []), []
+    tokens, model, counts, exchanged = int(size[0] or 0), _Model(order, []), [], []
     buckets = {n: (int(size[1] or 0) if n == 1 else tokens) // BUCKET_KEYS + 1 for n in range(1, order + 1)}
     for n in range(1, order + 1):
         counted = _exchange(blocks, n, buckets[n])
+        exchanged.append(counted)
         figures = counted.where("of_counts IS NOT NULL").agg(
             F.sum("distinct"), F.sum("total"), *[F.sum(F.col("of_counts")[r]) for r in range(DISCOUNTED + 2)]
         ).first()
@@ -435,14 +447,19 @@ def score(
             large = model.distinct - sum(of_counts[r] for r in range(1, DISCOUNTED + 1))
             left = sum((r - table[r]) * of_counts[r] for r in range(1, DISCOUNTED + 1)) + LARGE * large
             model.unknown = float(left / model.tokens) if model.tokens else 1.0
-        counts.append(counted.select("block", F.lit(f"count{n}").alias("kind"), "bucket", "answer"))
+        counts.append(counted.select("block", F.lit(f"count{n}").alias("kind"), "bucket", "answer", "part"))
     shape = _EVALUATED.format(id=id_type)
     arrow = to_arrow_schema(StructType.fromDDL(shape))
-    evaluated = stored(
-        _gathered(blocks, reduce(DataFrame.unionByName, counts)).select(
-            "block", "ids", "lengths", "train", "words", "numbers", "answers"
-        ).mapInArrow(_evaluate(model, {n: buckets[n - 1] for n in range(2, order + 1)}, arrow), shape), "katz-evaluated",
-    )
+    evaluate = _evaluate(model, {n: buckets[n - 1] for n in range(2, order + 1)}, arrow)
+    evaluated = []
+    for number in range(PARTS):
+        own, answered = (
+            t.where(F.col("part") == number).drop("part") for t in (blocks, reduce(DataFrame.unionByName, counts))
+        )
+        gathered = _gathered(own, answered).select("block", "ids", "lengths", "train", "words", "numbers", "answers")
+        evaluated.append(stored(gathered.mapInArrow(evaluate, shape), "katz-evaluated"))
+    evaluated = reduce(DataFrame.unionByName, evaluated)
+    discard(blocks, *exchanged)
     weights = evaluated.where("bucket >= 0").select("longer", "bucket", "block", "keys", "freed", "lower", "wanted")
     weights = weights.groupBy("longer", "bucket").applyInArrow(_backoff, "longer int, bucket int, block bigint, answer binary")
     weights = weights.select("block", F.concat(F.lit("weight"), "longer").alias("kind"), "bucket", "answer")
