@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 from operator import eq
 
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lastro.llm.katz import _answers, _cut, _gathered, _packed, _packed_keys, _some, _unpacked, _unpacked_keys
 from lastro.llm.text import text_of
-from lastro.session import stored
+from lastro.session import discard, stored
 
 #: Rows from which index vectors are made, by turning a row and by its sign.
 SLOTS = 1 << 14
@@ -36,6 +37,8 @@ HIDDEN = 24
 #: Labelled documents that the network learns from, about.
 LABELLED = 20_000
 EPOCHS = 30
+#: Parts in which blocks meet their answers one after the other, so that only a part of them lies in shuffle files.
+PARTS = 8
 _RUN = 1 << 17
 _KNOWN_WORDS = 1 << 19
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -215,15 +218,22 @@ def document_vectors(texts: DataFrame) -> DataFrame:
     """``id, text`` -> ``id, x``: the mean of the text's token vectors, with its length and two shares of repeats."""
     id_type = texts.schema["id"].dataType.simpleString()
     shape = f"ids array<{id_type}>, lengths array<int>, figures array<float>, keys binary, numbers binary, distinct int"
-    blocks = stored(texts.mapInArrow(_blocks, shape).withColumn("block", F.monotonically_increasing_id()), "quality-blocks")
+    part = F.pmod(F.xxhash64("block"), F.lit(PARTS)).cast("int")
+    numbered = texts.mapInArrow(_blocks, shape).withColumn("block", F.monotonically_increasing_id())
+    blocks = stored(numbered.withColumn("part", part), "quality-blocks", "part")
     buckets = int(blocks.agg(F.sum("distinct")).first()[0] or 0) // BUCKET_KEYS + 1
     sent = blocks.select("block", "lengths", "keys", "numbers").mapInArrow(
         _send(buckets), "bucket int, block bigint, keys binary, sums binary"
     )
     answers = sent.groupBy("bucket").applyInArrow(_sum, "bucket int, block bigint, answer binary")
-    answers = answers.select("block", F.lit("sums").alias("kind"), "bucket", "answer")
-    gathered = _gathered(blocks, answers).select("ids", "lengths", "figures", "keys", "numbers", "answers")
-    return stored(gathered.mapInArrow(_pooled, f"id {id_type}, x array<float>"), "quality-vectors")
+    answers = stored(answers.select("block", F.lit("sums").alias("kind"), "bucket", "answer", part.alias("part")), "quality-answers", "part")
+    pooled = []
+    for number in range(PARTS):
+        own, answered = (t.where(F.col("part") == number).drop("part") for t in (blocks, answers))
+        gathered = _gathered(own, answered).select("ids", "lengths", "figures", "keys", "numbers", "answers")
+        pooled.append(stored(gathered.mapInArrow(_pooled, f"id {id_type}, x array<float>"), "quality-vectors"))
+    discard(blocks, answers)
+    return reduce(DataFrame.unionByName, pooled)
 
 
 class Network:
@@ -319,7 +329,8 @@ def score(
     )
     truth = truth.join(held.select("id").distinct(), F.col("of") == F.col("id"), "left_semi")
     share = min(1.0, labelled / max(truth.count(), 1))
-    picked = truth.where(F.pmod(F.xxhash64("of"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    hashed = F.shiftrightunsigned(F.xxhash64("of"), 1)
+    picked = truth if share >= 1 else truth.where(hashed < F.lit(int(share * float(1 << 63))))
     rows = vectors.join(picked, F.col("id") == F.col("of")).select("id", "x", "y").toArrow().sort_by("id")
     x = np.array(rows["x"].to_pylist(), np.float64).reshape(rows.num_rows, 2 * SIZE + 3)
     network = Network(x, rows["y"].to_numpy().astype(np.float64))
