@@ -14,7 +14,7 @@ cut by hash into buckets; a bucket sums what the blocks sent and answers each bl
 n-gram is one number per block, whatever its frequency, so no bucket is hot.  One of the blocks that hold an n-gram is
 its owner and adds it to the sums of its history, so every n-gram enters a(h) once.  A history that one block alone holds
 is followed by n-grams of this block alone: its weight is found where it is needed, and only those that several blocks
-hold are exchanged.  All that is sent is packed into as few bytes as the numbers need.
+hold, one of them in a text that is held out, are exchanged.  All that is sent is packed into as few bytes as the numbers need.
 """
 
 from __future__ import annotations
@@ -68,12 +68,6 @@ def _unpacked(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def _packed_floats(values: np.ndarray) -> bytes:
-    return _packed(np.ascontiguousarray(values, np.float64).view(np.uint64))
-
-
-def _unpacked_floats(data: bytes) -> np.ndarray:
-    return _unpacked(data).view(np.float64)
 
 
 def _packed_keys(keys: np.ndarray) -> bytes:
@@ -85,6 +79,43 @@ def _unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data), dtype=np.uint64)
 
 
+def _joined(first: bytes, second: bytes) -> bytes:
+    return len(first).to_bytes(4, "little") + first + second
+
+
+def _parted(data: bytes) -> tuple[bytes, bytes]:
+    end = 4 + int.from_bytes(data[:4], "little")
+    return data[4:end], data[end:]
+
+
+def _packed_floats(values: np.ndarray) -> bytes:
+    """As they are, or as numbers of the distinct ones where many are equal."""
+    bits = np.ascontiguousarray(values, np.float64).view(np.uint64)
+    distinct, numbers = np.unique(bits, return_inverse=True)
+    if 2 * len(distinct) > len(bits):
+        return _joined(b"", _packed(bits))
+    return _joined(_packed_keys(distinct), _packed(numbers))
+
+
+def _unpacked_floats(data: bytes) -> np.ndarray:
+    distinct, rest = _parted(data)
+    bits = _unpacked_keys(distinct)[_unpacked(rest).astype(np.int64)] if distinct else _unpacked(rest)
+    return bits.view(np.float64)
+
+
+def _packed_numbers(numbers: np.ndarray) -> bytes:
+    """Numbers 0, 1, ... that all occur: how often each does, and their ranks by that, small where they are frequent."""
+    often = np.bincount(numbers)
+    ranks = np.empty(len(often), np.int64)
+    ranks[np.argsort(-often, kind="stable")] = np.arange(len(often))
+    return _joined(_packed(often), _packed(ranks[numbers]))
+
+
+def _unpacked_numbers(data: bytes) -> np.ndarray:
+    often, ranks = map(_unpacked, _parted(data))
+    return np.argsort(-often.astype(np.int64), kind="stable")[ranks.astype(np.int64)]
+
+
 def discounts(of_counts: dict[int, int], k: int = DISCOUNTED) -> np.ndarray:
     """Discounted counts of r = 0..k from the numbers of items seen r times.
 
@@ -136,7 +167,7 @@ def _block(held: list) -> pa.RecordBatch:
         "lengths": pa.array([lengths], pa.list_(pa.int32())),
         "train": pa.array([[t for _, _, t in held]], pa.list_(pa.bool_())),
         "words": pa.array([_packed_keys(words)], pa.binary()),
-        "numbers": pa.array([_packed(numbers)], pa.binary()),
+        "numbers": pa.array([_packed_numbers(numbers)], pa.binary()),
         "distinct": pa.array([len(words)], pa.int32()),
     })
 
@@ -154,7 +185,7 @@ class _Block:
     def read(cls, row: dict) -> "_Block":
         lengths = np.array(row["lengths"], np.int64)
         return cls(
-            _unpacked_keys(row["words"]), _unpacked(row["numbers"]).astype(np.int32), lengths,
+            _unpacked_keys(row["words"]), _unpacked_numbers(row["numbers"]).astype(np.int32), lengths,
             np.repeat(np.array(row["train"], bool), lengths),
         )
 
@@ -185,8 +216,9 @@ def _some(ends: np.ndarray) -> list[int]:
     return np.flatnonzero(np.diff(ends)).tolist()
 
 
-def _send(order: int, buckets: int):
-    """Blocks -> per bucket: the block's distinct n-grams and their training counts."""
+def _send(order: int, buckets: int, histories: bool):
+    """Blocks -> per bucket: the block's distinct n-grams, their training counts and, of ``histories``, whether they
+    occur in texts that are held out: the weights of others are never wanted."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,6 +227,9 @@ def _send(order: int, buckets: int):
                 block = _Block.read(row)
                 keys, numbers = block.grams(order)[-1]
                 counts = np.bincount(numbers[block.train & (numbers >= 0)], minlength=len(keys))
+                counts *= 2
+                if histories:
+                    counts[numbers[~block.train & (numbers >= 0)]] |= 1
                 ends = _cut(keys, buckets)
                 some = _some(ends)
                 yield pa.record_batch({
@@ -208,17 +243,20 @@ def _send(order: int, buckets: int):
 
 
 def _sum(table: pa.Table) -> pa.Table:
-    """The totals of one bucket, sent back to its blocks; items that the block owns, or shares with others, are marked."""
+    """The totals of one bucket, sent back to its blocks; items that the block owns are marked, and those that several
+    blocks hold and some block holds in a text that is held out."""
     table = table.sort_by("block")
     keys = [_unpacked_keys(x.as_py()) for x in table["keys"]]
     counts = [_unpacked(x.as_py()) for x in table["counts"]]
     distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
     added = np.concatenate(counts)
+    held_out = np.bincount(number, weights=added & np.uint64(1), minlength=len(distinct)) > 0
+    added = added >> np.uint64(1)
     totals = np.bincount(number, weights=added, minlength=len(distinct)).astype(np.uint64)
     trained = np.flatnonzero(added)
     owner = np.zeros(len(number), np.uint64)
     owner[trained[np.unique(number[trained], return_index=True)[1]]] = 1
-    shared = (np.bincount(number, minlength=len(distinct)) > 1).astype(np.uint64)
+    shared = ((np.bincount(number, minlength=len(distinct)) > 1) & held_out).astype(np.uint64)
     of_counts = np.bincount(np.minimum(totals, DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
     answers, at = [], 0
     for part in keys:
@@ -235,8 +273,8 @@ def _sum(table: pa.Table) -> pa.Table:
     })
 
 
-def _exchange(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
-    sent = blocks.mapInArrow(_send(order, buckets), "bucket int, block bigint, keys binary, counts binary")
+def _exchange(blocks: DataFrame, order: int, buckets: int, histories: bool) -> DataFrame:
+    sent = blocks.mapInArrow(_send(order, buckets, histories), "bucket int, block bigint, keys binary, counts binary")
     answers = sent.groupBy("bucket").applyInArrow(
         _sum, "bucket int, block bigint, answer binary, of_counts array<bigint>, distinct bigint, total bigint"
     )
@@ -260,7 +298,7 @@ def _answers(row: dict, kind: str) -> list[bytes]:
 
 
 def _totals(row: dict, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Training counts of the block's n-grams, which of them it owns, and which other blocks hold too."""
+    """Training counts of the block's n-grams, which of them it owns, and whose weights are exchanged if wanted."""
     pieces = [_unpacked(x) for x in _answers(row, f"count{order}")]
     both = np.concatenate(pieces) if pieces else np.zeros(0, np.uint64)
     return (both >> np.uint64(2)).astype(np.float64), (both & np.uint64(1)).astype(bool), (both & np.uint64(2)).astype(bool)
@@ -434,7 +472,7 @@ def score(
     tokens, model, counts, exchanged = int(size[0] or 0), _Model(order, []), [], []
     buckets = {n: (int(size[1] or 0) if n == 1 else tokens) // BUCKET_KEYS + 1 for n in range(1, order + 1)}
     for n in range(1, order + 1):
-        counted = _exchange(blocks, n, buckets[n])
+        counted = _exchange(blocks, n, buckets[n], n < order)
         exchanged.append(counted)
         figures = counted.where("of_counts IS NOT NULL").agg(
             F.sum("distinct"), F.sum("total"), *[F.sum(F.col("of_counts")[r]) for r in range(DISCOUNTED + 2)]
@@ -462,7 +500,8 @@ def score(
     discard(blocks, *exchanged)
     weights = evaluated.where("bucket >= 0").select("longer", "bucket", "block", "keys", "freed", "lower", "wanted")
     weights = weights.groupBy("longer", "bucket").applyInArrow(_backoff, "longer int, bucket int, block bigint, answer binary")
-    weights = weights.select("block", F.concat(F.lit("weight"), "longer").alias("kind"), "bucket", "answer")
+    kind = F.concat(F.lit("weight"), "longer").alias("kind")
+    weights = stored(weights.select("block", kind, "bucket", "answer"), "katz-weights")
     whole = evaluated.where("bucket < 0").select(
         "block", "ids", "held_out", "n_tokens", "n_known", "base", "partial", "text", "weight"
     )
