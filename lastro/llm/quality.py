@@ -22,13 +22,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lastro.llm.katz import _answers, _cut, _gathered, _packed, _packed_keys, _some, _unpacked, _unpacked_keys
+from lastro.llm.katz import (
+    _answers, _cut, _gathered, _packed, _packed_keys, _packed_numbers, _some, _unpacked, _unpacked_keys, _unpacked_numbers,
+)
 from lastro.llm.text import text_of
 from lastro.session import discard, stored
 
 #: Rows from which index vectors are made, by turning a row and by its sign.
 SLOTS = 1 << 14
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 22
 BUCKET_KEYS = 1 << 17
 SIZE = 32
 NONZERO = 4
@@ -40,6 +42,7 @@ EPOCHS = 30
 #: Parts in which blocks meet their answers one after the other, so that only a part of them lies in shuffle files.
 PARTS = 8
 _RUN = 1 << 17
+_STRETCH = 1 << 20
 _KNOWN_WORDS = 1 << 19
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -119,29 +122,30 @@ def _block(known: _Tokens, ids: list[pa.Array], held: list[np.ndarray], figures:
         "lengths": pa.array([[len(x) for x in held]], pa.list_(pa.int32())),
         "figures": pa.array([figures], pa.list_(pa.float32())),
         "keys": pa.array([_packed_keys(keys[order])], pa.binary()),
-        "numbers": pa.array([_packed(place[numbers])], pa.binary()),
+        "numbers": pa.array([_packed_numbers(place[numbers])], pa.binary()),
         "distinct": pa.array([len(keys)], pa.int32()),
     })
 
 
 def _texts(row: dict) -> list[np.ndarray]:
-    return np.split(_unpacked(row["numbers"]).astype(np.uint32), np.cumsum(row["lengths"])[:-1])
+    return np.split(_unpacked_numbers(row["numbers"]).astype(np.uint32), np.cumsum(row["lengths"])[:-1])
 
 
 def context_sums(slots: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     """Sum of the index vectors in the window around each token's occurrences, a row per row of the table but the last."""
     gap = np.full(WINDOW, len(table) - 1, np.uint32)
     line = np.concatenate([gap, *chain.from_iterable((s, gap) for s in slots)])
-    near = np.zeros((len(line) - 2 * WINDOW, SIZE), np.int8)
-    for step in range(2 * WINDOW + 1):
-        if step != WINDOW:
-            near += table[line[step : len(line) - 2 * WINDOW + step]]
-    middle = line[WINDOW : len(line) - WINDOW]
-    order = np.argsort(middle, kind="stable")
-    held, starts = np.unique(middle[order], return_index=True)
     sums = np.zeros((len(table), SIZE), np.int64)
-    if len(held):
-        sums[held] = np.add.reduceat(near[order], starts, axis=0, dtype=np.int64)
+    for begin in range(0, len(line) - 2 * WINDOW, _STRETCH):
+        stretch = line[begin : begin + _STRETCH + 2 * WINDOW]
+        near = np.zeros((len(stretch) - 2 * WINDOW, SIZE), np.int8)
+        for step in range(2 * WINDOW + 1):
+            if step != WINDOW:
+                near += table[stretch[step : len(stretch) - 2 * WINDOW + step]]
+        middle = stretch[WINDOW : len(stretch) - WINDOW]
+        order = np.argsort(middle, kind="stable")
+        held, starts = np.unique(middle[order], return_index=True)
+        sums[held] += np.add.reduceat(near[order], starts, axis=0, dtype=np.int64)
     return sums[:-1]
 
 
@@ -232,7 +236,9 @@ def document_vectors(texts: DataFrame) -> DataFrame:
         own, answered = (t.where(F.col("part") == number).drop("part") for t in (blocks, answers))
         gathered = _gathered(own, answered).select("ids", "lengths", "figures", "keys", "numbers", "answers")
         pooled.append(stored(gathered.mapInArrow(_pooled, f"id {id_type}, x array<float>"), "quality-vectors"))
-    discard(blocks, answers)
+        for read, whole in ((own, blocks), (answered, answers)):
+            read.stored_at = f"{whole.stored_at}/part={number}"
+            discard(read)
     return reduce(DataFrame.unionByName, pooled)
 
 
