@@ -75,6 +75,45 @@ def test_fit_without_rows_or_with_one_label(spark):
             assert (np.round(model.predict(x)) == y).all()
 
 
+def node_by_node(model, x):
+    """Predictions that follow each row of inputs through each tree, as the trees are written."""
+    found = []
+    for row in x:
+        leaves = []
+        for node in model.roots:
+            while model.left[node] != node:
+                node = model.left[node] + int(row[model.feature[node]] > model.threshold[node])
+            leaves.append(model.value[node])
+        found.append(1 / (1 + np.exp(-np.array(leaves).sum())) if model.boosted else np.array(leaves).mean())
+    return np.array(found)
+
+
+def test_predictions_are_those_of_every_tree_and_drop_rows_at_their_leaf(spark, monkeypatch):
+    x, y = some()
+    plans = {"f": trees.Plan(30, None, False), "b": trees.Plan(20, 4, True)}
+    fitted = rows_of(spark, x, y, {"f": np.ones(len(y)), "b": np.ones(len(y))}, plans)
+    odd = np.concatenate([x[:60], fitted["f"].threshold[:40, None].repeat(4, axis=1)])
+    odd[3], odd[4, 1], odd[5, 1], odd[6, 2] = np.nan, np.inf, -np.inf, -0.0
+    frame = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(odd)], "i int, x array<double>")
+    for model in fitted.values():
+        expected = node_by_node(model, odd)
+        assert np.array_equal(model.predict(odd), expected)
+        found = frame.repartition(3).select("i", model.probability(F.col("x")).alias("p")).orderBy("i").collect()
+        assert [r.p for r in found] == list(expected)
+        assert len(model.predict(odd[:0])) == 0
+    depths = []
+    for nodes in fitted["f"].walk.nodes:
+        level, deep = [0], 0
+        while level := [c for n in level if nodes[n] & 0xFFFF != 0xFFFF for c in (nodes[n] >> 32, (nodes[n] >> 32) + 1)]:
+            deep += 1
+        depths.append(deep)
+    assert max(depths) > 6
+    seen = []
+    monkeypatch.setattr(np, "flatnonzero", lambda a, plain=np.flatnonzero: seen.append(len(a)) or plain(a))
+    fitted["f"].predict(x)
+    assert min(seen) < len(x) / 2 and max(seen) == len(x)
+
+
 def matrix_of(spark, x, y):
     rows = [(Vectors.dense(v), int(t)) for v, t in zip(x, y)]
     return spark.createDataFrame(rows, ["features", contracts.TARGET])
