@@ -40,6 +40,17 @@ def test_enrich_keeps_every_receivable(book):
     assert len(df.columns) == 30
 
 
+def test_only_companies_that_occur_are_joined(book, monkeypatch):
+    expected = canonical(enrichment.enrich(book.payments, book.auxiliary))
+    joined = []
+    plain = enrichment.left_join_many_to_one
+    monkeypatch.setattr(enrichment, "left_join_many_to_one", lambda fact, dim, *a, **k: joined.append(dim) or plain(fact, dim, *a, **k))
+    assert canonical(enrichment.enrich(book.payments, book.auxiliary, small_bytes=0)) == expected
+    for dim, role in zip(joined, contracts.ROLES):
+        known = book.payments.select(role.key).distinct().join(dim.select(role.key), role.key)
+        assert dim.count() == known.count() < book.auxiliary.count()
+
+
 def test_null_company_key_matches_nothing(spark, book):
     df = book.payments.limit(20).withColumn("id_pagador", F.lit(None).cast("string"))
     assert enrichment.enrich_role(df, book.auxiliary, contracts.PAYER).where("payer_uf IS NOT NULL").count() == 0
