@@ -218,6 +218,11 @@ def _pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
+def _discard_part(read: DataFrame, whole: DataFrame, number: int) -> None:
+    read.stored_at = f"{whole.stored_at}/part={number}"
+    discard(read)
+
+
 def document_vectors(texts: DataFrame) -> DataFrame:
     """``id, text`` -> ``id, x``: the mean of the text's token vectors, with its length and two shares of repeats."""
     id_type = texts.schema["id"].dataType.simpleString()
@@ -229,16 +234,23 @@ def document_vectors(texts: DataFrame) -> DataFrame:
     sent = blocks.select("block", "lengths", "keys", "numbers").mapInArrow(
         _send(buckets), "bucket int, block bigint, keys binary, sums binary"
     )
-    answers = sent.groupBy("bucket").applyInArrow(_sum, "bucket int, block bigint, answer binary")
-    answers = stored(answers.select("block", F.lit("sums").alias("kind"), "bucket", "answer", part.alias("part")), "quality-answers", "part")
+    # Sums lie in files by part of their buckets and go once they are answered, so that sums, their shuffle files and
+    # answers never lie there in full at the same time.
+    sent = stored(sent.withColumn("part", F.col("bucket") % PARTS), "quality-sums", "part")
+    answers = []
+    for number in range(min(PARTS, buckets)):
+        own = sent.where(F.col("part") == number).drop("part")
+        answered = own.groupBy("bucket").applyInArrow(_sum, "bucket int, block bigint, answer binary")
+        answered = answered.select("block", F.lit("sums").alias("kind"), "bucket", "answer", part.alias("part"))
+        answers.append(stored(answered, "quality-answers", "part"))
+        _discard_part(own, sent, number)
     pooled = []
     for number in range(PARTS):
-        own, answered = (t.where(F.col("part") == number).drop("part") for t in (blocks, answers))
-        gathered = _gathered(own, answered).select("ids", "lengths", "figures", "keys", "numbers", "answers")
+        own, *answered = (t.where(F.col("part") == number).drop("part") for t in (blocks, *answers))
+        gathered = _gathered(own, reduce(DataFrame.unionByName, answered)).select("ids", "lengths", "figures", "keys", "numbers", "answers")
         pooled.append(stored(gathered.mapInArrow(_pooled, f"id {id_type}, x array<float>"), "quality-vectors"))
-        for read, whole in ((own, blocks), (answered, answers)):
-            read.stored_at = f"{whole.stored_at}/part={number}"
-            discard(read)
+        for read, whole in zip((own, *answered), (blocks, *answers)):
+            _discard_part(read, whole, number)
     return reduce(DataFrame.unionByName, pooled)
 
 
