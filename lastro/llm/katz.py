@@ -57,7 +57,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def _packed(values: np.ndarray) -> bytes:
     """64-bit numbers: the lowest bytes of all, then the next ones, as many as the largest needs, compressed."""
     width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    planes = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
     return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
@@ -106,14 +106,14 @@ def _unpacked_floats(data: bytes) -> np.ndarray:
 def _packed_numbers(numbers: np.ndarray) -> bytes:
     """Numbers 0, 1, ... that all occur: how often each does, and their ranks by that, small where they are frequent."""
     often = np.bincount(numbers)
-    ranks = np.empty(len(often), np.int64)
+    ranks = np.empty(len(often), np.uint32)
     ranks[np.argsort(-often, kind="stable")] = np.arange(len(often))
     return _joined(_packed(often), _packed(ranks[numbers]))
 
 
 def _unpacked_numbers(data: bytes) -> np.ndarray:
     often, ranks = map(_unpacked, _parted(data))
-    return np.argsort(-often.astype(np.int64), kind="stable")[ranks.astype(np.int64)]
+    return np.argsort(-often.view(np.int64), kind="stable").astype(np.uint32)[ranks.view(np.int64)]
 
 
 def discounts(of_counts: dict[int, int], k: int = DISCOUNTED) -> np.ndarray:

@@ -42,8 +42,9 @@ EPOCHS = 30
 #: Parts in which blocks meet their answers one after the other, so that only a part of them lies in shuffle files.
 PARTS = 8
 _RUN = 1 << 17
-_STRETCH = 1 << 20
-_KNOWN_WORDS = 1 << 19
+#: Tokens, or keys, whose vectors are held at once.
+_STRETCH = 1 << 16
+_KNOWN_WORDS = 1 << 18
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -61,10 +62,14 @@ _TABLE = index_vectors()
 
 def index_of(keys: np.ndarray) -> np.ndarray:
     """Index vectors of tokens by their hashes, and a last row of zeros."""
-    turn = (np.arange(SIZE) + (keys >> np.uint64(32)).astype(np.int64)[:, None]) % SIZE
-    sign = 1 - 2 * ((keys >> np.uint64(48)) & np.uint64(1)).astype(np.int8)
-    rows = np.take_along_axis(_TABLE[(keys % np.uint64(SLOTS)).astype(np.int64)], turn, axis=1) * sign[:, None]
-    return np.vstack([rows, np.zeros((1, SIZE), np.int8)])
+    rows = np.zeros((len(keys) + 1, SIZE), np.int8)
+    for begin in range(0, len(keys), _STRETCH):
+        some = keys[begin : begin + _STRETCH]
+        turn = (np.arange(SIZE) + (some >> np.uint64(32)).astype(np.int64)[:, None]) % SIZE
+        sign = 1 - 2 * ((some >> np.uint64(48)) & np.uint64(1)).astype(np.int8)
+        found = np.take_along_axis(_TABLE[(some % np.uint64(SLOTS)).astype(np.int64)], turn, axis=1)
+        rows[begin : begin + len(some)] = found * sign[:, None]
+    return rows
 
 
 class _Tokens(dict):
@@ -111,31 +116,32 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block(known: _Tokens, ids: list[pa.Array], held: list[np.ndarray], figures: list[float]) -> pa.RecordBatch:
-    used, numbers = np.unique(np.concatenate(held), return_inverse=True)
+    tokens = np.concatenate(held)
+    used = np.flatnonzero(np.bincount(tokens, minlength=len(known.keys)))
     keys = np.array(known.keys, np.uint64)[used]
     order = np.argsort(keys)
-    place = np.empty(len(keys), np.int64)
-    place[order] = np.arange(len(keys))
+    place = np.empty(len(known.keys), np.uint32)
+    place[used[order]] = np.arange(len(keys))
     whole = pa.concat_arrays(ids)
     return pa.record_batch({
         "ids": pa.ListArray.from_arrays(pa.array([0, len(whole)], pa.int32()), whole),
         "lengths": pa.array([[len(x) for x in held]], pa.list_(pa.int32())),
         "figures": pa.array([figures], pa.list_(pa.float32())),
         "keys": pa.array([_packed_keys(keys[order])], pa.binary()),
-        "numbers": pa.array([_packed_numbers(place[numbers])], pa.binary()),
+        "numbers": pa.array([_packed_numbers(place[tokens])], pa.binary()),
         "distinct": pa.array([len(keys)], pa.int32()),
     })
 
 
 def _texts(row: dict) -> list[np.ndarray]:
-    return np.split(_unpacked_numbers(row["numbers"]).astype(np.uint32), np.cumsum(row["lengths"])[:-1])
+    return np.split(_unpacked_numbers(row["numbers"]).astype(np.uint32, copy=False), np.cumsum(row["lengths"])[:-1])
 
 
 def context_sums(slots: list[np.ndarray], table: np.ndarray) -> np.ndarray:
     """Sum of the index vectors in the window around each token's occurrences, a row per row of the table but the last."""
     gap = np.full(WINDOW, len(table) - 1, np.uint32)
     line = np.concatenate([gap, *chain.from_iterable((s, gap) for s in slots)])
-    sums = np.zeros((len(table), SIZE), np.int64)
+    sums = np.zeros((len(table), SIZE), np.int32 if 2 * WINDOW * len(line) < 1 << 31 else np.int64)
     for begin in range(0, len(line) - 2 * WINDOW, _STRETCH):
         stretch = line[begin : begin + _STRETCH + 2 * WINDOW]
         near = np.zeros((len(stretch) - 2 * WINDOW, SIZE), np.int8)
@@ -145,13 +151,14 @@ def context_sums(slots: list[np.ndarray], table: np.ndarray) -> np.ndarray:
         middle = stretch[WINDOW : len(stretch) - WINDOW]
         order = np.argsort(middle, kind="stable")
         held, starts = np.unique(middle[order], return_index=True)
-        sums[held] += np.add.reduceat(near[order], starts, axis=0, dtype=np.int64)
+        sums[held] += np.add.reduceat(near[order], starts, axis=0, dtype=sums.dtype)
     return sums[:-1]
 
 
 def _packed_sums(sums: np.ndarray) -> bytes:
     """Small numbers in few bytes, whatever their sign."""
-    return _packed(((sums << 1) ^ (sums >> 63)).astype(np.uint64).ravel())
+    sums = sums.astype(np.int64, copy=False)
+    return _packed(((sums << 1) ^ (sums >> 63)).view(np.uint64).ravel())
 
 
 def _unpacked_sums(data: bytes) -> np.ndarray:
@@ -198,11 +205,15 @@ def _pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             rows = batch.slice(i, 1)
             row = rows.drop_columns(["ids"]).to_pylist()[0]
-            parts = [_unpacked_sums(x) for x in _answers(row, "sums")]
-            sums = np.concatenate(parts) if parts else np.zeros((0, SIZE), np.int64)
-            contexts = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1)).astype(np.float32)
-            index = index_of(_unpacked_keys(row["keys"]))[:-1] / np.float32(np.sqrt(NONZERO))
-            vectors, texts = np.hstack([contexts, index]), _texts(row)
+            index = index_of(_unpacked_keys(row["keys"]))[:-1]
+            vectors, texts, done = np.empty((len(index), 2 * SIZE), np.float32), _texts(row), 0
+            np.divide(index, np.float32(np.sqrt(NONZERO)), out=vectors[:, SIZE:])
+            for packed in _answers(row, "sums"):
+                sums = _unpacked_sums(packed)
+                vectors[done : done + len(sums), :SIZE] = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1)
+                done += len(sums)
+            if done < len(index):
+                raise ValueError(f"answers for {done} of {len(index)} tokens")
             means, lengths = np.zeros((len(texts), 2 * SIZE), np.float32), np.array(row["lengths"])
             parted = np.cumsum(lengths) // _RUN
             for part in np.unique(parted):

@@ -1,7 +1,9 @@
 import collections
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -60,6 +62,28 @@ def test_every_word_has_a_vector_of_its_own(spark, monkeypatch, tokens, keys):
         assert one != two and (vector(one) != vector(two)).any()
 
 
+def test_memory_follows_the_distinct_tokens_of_a_block():
+    """Vectors of all occurrences, or wide copies of the sums, are never held at once."""
+    texts = [" ".join(f"w{i * j % 200_000}" for j in range(200_000)) for i in (1, 3, 7)]
+    batch = pa.record_batch({"id": [0, 1, 2], "text": texts})
+    (block,) = quality._blocks(iter([batch]))
+    block = block.append_column("block", pa.array([0], pa.int64()))
+    peaks = []
+
+    def peak(steps):
+        tracemalloc.start()
+        found = list(steps)
+        peaks.append(tracemalloc.get_traced_memory()[1] / block["distinct"][0].as_py())
+        tracemalloc.stop()
+        return found
+
+    (sent,) = peak(quality._send(4)(iter([block])))
+    answers = [{"kind": "sums", "bucket": r["bucket"], "answer": r["sums"]} for r in sent.to_pylist()]
+    (pooled,) = peak(quality._pooled(iter([block.append_column("answers", pa.array([answers]))])))
+    assert pooled.num_rows == 3
+    assert peaks[0] < 600 and peaks[1] < 1200  # bytes a token; it has 32 sums and 64 numbers of its vectors
+
+
 def test_network_learns_and_is_calibrated():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(3000, 6))
