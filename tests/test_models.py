@@ -114,6 +114,16 @@ def test_predictions_are_those_of_every_tree_and_drop_rows_at_their_leaf(spark,
     assert min(seen) < len(x) / 2 and max(seen) == len(x)
 
 
+def test_a_batch_walks_each_tree_once(spark, monkeypatch):
+    x, y = some()
+    model = rows_of(spark, x, y, {"b": np.ones(len(y))}, {"b": trees.Plan(5, 3, True)})["b"]
+    batch = np.resize(x, (int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")), x.shape[1]))
+    walks, plain = [], trees.Walk.leaves
+    monkeypatch.setattr(trees.Walk, "leaves", staticmethod(lambda *a: walks.append(a[2]) or plain(*a)))
+    assert np.array_equal(model.predict(batch), np.resize(model.predict(x), len(batch)))
+    assert walks[:5] == [len(batch)] * 5 and len(walks) == 10
+
+
 def matrix_of(spark, x, y):
     rows = [(Vectors.dense(v), int(t)) for v, t in zip(x, y)]
     return spark.createDataFrame(rows, ["features", contracts.TARGET])
