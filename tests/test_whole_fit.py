@@ -72,7 +72,7 @@ def test_trees_are_the_same_in_parts(spark, monkeypatch):
         assert shape(whole[model]) == shape(held[model])
     assert max(np.diff(np.append(whole["f"].roots, len(whole["f"].left)))) > 500
     monkeypatch.setattr(blocks, "ROWS", 500)
-    monkeypatch.setattr(blocks, "PART", 2)
+    monkeypatch.setattr(trees, "ALONE", 0)
     over, plain = [], trees._boosted_over_parts
     monkeypatch.setattr(trees, "_boosted_over_parts", lambda *a: over.append(len(a[1].parts)) or plain(*a))
     blocked = fitted(spark, x, y)
